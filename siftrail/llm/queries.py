@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftrail.llm import language_id
+from siftrail.llm import bpe, language_id
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language_id.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
 
 
+def word_vocabulary() -> str:
+    """The vocabulary file of the queries, on whichever machine asks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded, as digests."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode_decode(docs, word_vocabulary, ids="ids_sha256", decoded="decoded_sha256", digests=True)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_bpe_round_trip": op7_bpe_round_trip,
     "op10_language_id": op10_language_id,
 }
 
