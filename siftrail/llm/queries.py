@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftrail.llm import bpe, language_id
+from siftrail.llm import bpe, language_id, tiff
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language_id.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
 
 
+def op6_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as TIFF pages, read back and described."""
+    return tiff.media_digests(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def word_vocabulary() -> str:
     """The vocabulary file of the queries, on whichever machine asks."""
     import public_tokenizers
@@ -36,6 +41,7 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_tiff_media": op6_tiff_media,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op10_language_id": op10_language_id,
 }
