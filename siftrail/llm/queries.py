@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftrail.llm import bpe, language_id, tiff
+from siftrail.llm import bpe, language_id, tiff, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to a WARC archive and read back."""
+    read = warc.round_trip(spark, _table(spark, sf_dir, "pages").select("page_id", "html"))
+    return read.select(read.key.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of the four folds."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -43,7 +49,18 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_tiff_media": op6_tiff_media,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_warc": op8_warc,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+        f AS (SELECT payload_digest, min(page_id) AS first_id FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first_id IS NULL OR page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM d LEFT JOIN f USING (payload_digest)
+    """,
+}
