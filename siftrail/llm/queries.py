@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftrail.llm import bpe, language_id, tiff, warc
+from siftrail.llm import bpe, html_text, language_id, tiff, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(read.key.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of the four folds."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_tiff_media": op6_tiff_media,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_warc": op8_warc,
+    "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
 }
 
