@@ -148,6 +148,7 @@ def blocks(page: str, weights: Weights) -> list[str]:
                 parts.append([])
             now = furniture or what == "head" or (what not in ("html", "body", *HOME) and not (what == "header" and home) and weights.is_furniture(features(what, attrs))) or bool(attrs and HIDDEN.search(attrs))
             stack.append((what, now, home or what in HOME))
+            furniture, home = now, stack[-1][2]
         else:
             if what in BLOCKS and parts[-1]:
                 parts.append([])
@@ -157,9 +158,10 @@ def blocks(page: str, weights: Weights) -> list[str]:
                     break
                 if stack[depth][0] in ("article", "body") and what not in ("html", "body"):
                     break
-        if not furniture:
+        if not furniture and what in BLOCKS or what in HOME:
             cut = False
-            tokens.append((-weights.cost(what), -1))
+        if not furniture:
+            tokens.append((-weights.least_cost if home else -weights.cost(what), -1))
     first, last = best_run([t[0] for t in tokens])
     chosen = {t[1] for t in tokens[first:last] if t[1] >= 0}
     # A text that began before the run or goes on after it belongs to the run's block all the same.
