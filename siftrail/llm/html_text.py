@@ -49,7 +49,7 @@ class Weights:
         return any(self.features.get(f, 0.0) <= (self.cut_tag if f.startswith("tag ") else self.cut_word) for f in found)
 
     def cost(self, tag: str) -> float:
-        return max(self.least_cost, min(3.0, -self.features.get(f"tag {tag}", 0.0)))
+        return max(self.least_cost, min(0.5, -self.features.get(f"tag {tag}", 0.0)))
 
 
 def features(tag: str, attrs: str) -> list[str]:
