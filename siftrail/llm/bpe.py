@@ -39,7 +39,7 @@ def byte_letters() -> dict[int, str]:
 class WordBpe:
     """A byte-level BPE vocabulary with word ends, read from its JSON file."""
 
-    def __init__(self, path: str, cached_words: int = 250_000) -> None:
+    def __init__(self, path: str, cached_words: int = 500_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -63,7 +63,7 @@ class WordBpe:
         self.whole: dict[int, bool] = {}
         self.good = np.empty(0, np.int64)
         self.bad = np.empty(0, np.int64)
-        self.cache: dict[str, Word] = {}
+        self.cache: dict[str | int, Word] = {t: (1, str(t), name) for name, t in self.specials.items()}
         self.cached_words = cached_words
 
     # Exact merging, for pairs seen for the first time and for words whose guess failed.
@@ -154,8 +154,6 @@ class WordBpe:
 
     def learn(self, words: list[str]) -> None:
         """Put the encodings of new words into the cache."""
-        if len(self.cache) + len(words) > self.cached_words:
-            self.cache.clear()
         raws = [w.encode("utf-8") for w in words]
         guesses = [self.guess(r.decode("latin-1").translate(self.table)) for r in raws]
         lengths = np.fromiter(map(len, guesses), np.int64, len(guesses))
@@ -188,30 +186,17 @@ class WordBpe:
     def encode(self, texts: Iterable[str | None]) -> Iterator[list[Word]]:
         """For each text, its words' counts, ids and tokens."""
         split = [list(self.pieces(t)) if t else [] for t in texts]
-        new = {w for words in split for w in words if isinstance(w, str)} - self.cache.keys()
+        distinct: set[str | int] = set().union(*split)
+        new = distinct - self.cache.keys()
+        if len(self.cache) + len(new) > self.cached_words:
+            self.cache = {t: (1, str(t), name) for name, t in self.specials.items()}
+            new = distinct - self.cache.keys()
         new = sorted(new)
-        parts = [new[i : i + 100_000] for i in range(0, len(new), 100_000)]
-        if len(parts) <= 1 and len(self.cache) + len(new) > self.cached_words:
-            new = sorted({w for words in split for w in words if isinstance(w, str)})
-            self.cache.clear()
-            parts = [new[i : i + 100_000] for i in range(0, len(new), 100_000)]
-        known: dict[str, Word] = {}
-        for part in parts:
-            self.learn(part)
-            if len(parts) > 1:
-                known |= {w: self.cache[w] for w in part}
+        for at in range(0, len(new), 100_000):
+            self.learn(new[at : at + 100_000])
+        known = self.cache.__getitem__
         for words in split:
-            out = []
-            for w in words:
-                if isinstance(w, int):
-                    out.append((1, str(w), self.names[w]))
-                else:
-                    hit = self.cache.get(w) or known.get(w)
-                    if hit is None:
-                        self.learn([w])
-                        hit = self.cache[w]
-                    out.append(hit)
-            yield out
+            yield list(map(known, words))
 
     def token_ids(self, text: str | None) -> list[int]:
         return [int(t) for _, ids, _ in next(self.encode([text])) for t in ids.split()]
@@ -252,7 +237,7 @@ def encode_decode(docs: DataFrame, vocabulary: Callable[[], str], text: str = "t
             columns: list[list] = [[], [], []]
             for words in bpe.encode(t.as_py() for t in batch.column(at)):
                 joined, back = " ".join([w[1] for w in words]), " ".join([w[2] for w in words])
-                columns[0].append(sum([w[0] for w in words]))
+                columns[0].append(joined.count(" ") + 1 if joined else 0)
                 columns[1].append(sha(joined) if digests else [int(x) for x in joined.split()])
                 columns[2].append(sha(back) if digests else back)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, k) for c, k in zip(columns, arrow, strict=True)]], names=schema.names)
