@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftrail.llm import bpe, html_text, language_id, tiff, warc
+from siftrail.llm import bpe, html_text, language_id, simhash, tiff, url_filters, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,36 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language_id.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _hash31(text: str) -> str:
+    return f"CAST(conv(substr(md5({text}), 1, 8), 16, 10) AS BIGINT)"
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by a dated list log; neither is in the tables, so a rule gives both.
+
+    Page ids give fetch times in 2024. Each host, its parent domain and its /en/ folder have
+    log entries whose moment, list and action follow from a hash.
+    """
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched", F.expr("timestamp_seconds(1704067200 + pmod(page_id * 7919, 31536000))"))
+    hosts = pages.select(url_filters.host_of(F.col("url")).alias("host")).where("host != ''").distinct()
+    log = hosts.select("host", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k")).withColumn("h", F.expr(_hash31("concat(host, '#', k)"))).where("h % 2 = 0")
+    entries = log.select(
+        F.expr("element_at(array('malware', 'spam', 'adult'), cast(h div 2 % 3 AS INT) + 1)").alias("list"),
+        F.expr("CASE WHEN k < 3 THEN host WHEN k < 5 AND size(split(host, '[.]')) > 2 THEN substr(host, instr(host, '.') + 1) ELSE concat(host, '/en/') END").alias("pattern"),
+        F.expr("timestamp_seconds(1704067200 + h div 6 % 31536000)").alias("at"),
+        F.expr("CASE WHEN h div 17 % 3 = 0 THEN 'remove' ELSE 'add' END").alias("action"),
+    )
+    judged = url_filters.judge(captures, entries)
+    return judged.select("page_id", "blocked", "list", "pattern", F.unix_micros("since").alias("since_us"), "n_entries")
+
+
 def op6_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as TIFF pages, read back and described."""
     return tiff.media_digests(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -52,6 +83,8 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash": op3_simhash,
+    "op5_url_filters": op5_url_filters,
     "op6_tiff_media": op6_tiff_media,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_warc": op8_warc,
@@ -60,6 +93,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_url_filters": r"""
+        WITH cap AS (
+            SELECT page_id, url, TIMESTAMP '2024-01-01' + to_seconds((page_id * 7919) % 31536000) AS fetched,
+                   regexp_replace(lower(regexp_extract(url, '(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '[.]$', '') AS host,
+                   regexp_extract(url, '(?i)^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        hosts AS (SELECT DISTINCT host FROM cap WHERE host != ''),
+        log AS (SELECT host, k, CAST('0x' || substr(md5(host || '#' || k), 1, 8) AS BIGINT) AS h FROM hosts, range(6) r(k)),
+        entries AS (
+            SELECT ['malware', 'spam', 'adult'][(h // 2) % 3 + 1] AS list,
+                   CASE WHEN k < 3 THEN host WHEN k < 5 AND len(string_split(host, '.')) > 2 THEN substr(host, instr(host, '.') + 1) ELSE host || '/en/' END AS pattern,
+                   TIMESTAMP '2024-01-01' + to_seconds((h // 6) % 31536000) AS moment, (h // 17) % 3 = 0 AS gone
+            FROM log WHERE h % 2 = 0),
+        states AS (SELECT list, pattern, moment, bool_or(gone) AS gone FROM entries GROUP BY ALL),
+        spans AS (SELECT *, lead(moment) OVER (PARTITION BY list, pattern ORDER BY moment) AS until FROM states),
+        hits AS (
+            SELECT c.page_id, s.list, s.pattern, s.moment
+            FROM cap c JOIN spans s ON c.fetched >= s.moment AND (s.until IS NULL OR c.fetched < s.until) AND NOT s.gone
+             AND c.host != '' AND (c.host = s.pattern OR ends_with(c.host, '.' || s.pattern)
+                 OR (contains(s.pattern, '/') AND starts_with(c.host || c.path, s.pattern)))),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, list, pattern) AS r,
+                          count(*) OVER (PARTITION BY page_id) AS n FROM hits)
+        SELECT cap.page_id, r IS NOT NULL AS blocked, list, pattern, epoch_us(moment) AS since_us, coalesce(n, 0) AS n_entries
+        FROM cap LEFT JOIN ranked ON cap.page_id = ranked.page_id AND r = 1
+    """,
     "op8_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
