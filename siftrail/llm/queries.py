@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.llm import bpe, html_text, language_id, simhash, tiff, url_filters, warc
+from siftrail.llm import bpe, html_text, language_id, tiff, url_filters, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,12 +33,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language_id.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
 
 
-def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fingerprint and near-duplicate class of every document."""
-    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
 def _hash31(text: str) -> str:
     return f"CAST(conv(substr(md5({text}), 1, 8), 16, 10) AS BIGINT)"
 
@@ -83,7 +77,6 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_simhash": op3_simhash,
     "op5_url_filters": op5_url_filters,
     "op6_tiff_media": op6_tiff_media,
     "op7_bpe_round_trip": op7_bpe_round_trip,
