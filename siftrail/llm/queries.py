@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.llm import bpe, html_text, language_id, simhash, tiff, url_filters, warc
+from siftrail.llm import bpe, decontaminate, html_text, language_id, line_dedup, simhash, tiff, url_filters, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language_id.held_out(scored.doc_id).alias("held_out"), "lang_pred", "score")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the boilerplate lines of its source."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(docs, n_lines="n_lines", n_dropped="n_dropped")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item in every document that contains it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, _table(spark, sf_dir, "benchmark"))
+    each = found.select("doc_id", F.explode("matches").alias("m"))
+    return each.select("doc_id", "m.item_id", "m.n_shingles", "m.n_shared", F.round(F.col("m.n_shared") / F.col("m.n_shingles"), 6).alias("containment"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and near-duplicate class of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -83,6 +97,8 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
     "op5_url_filters": op5_url_filters,
     "op6_tiff_media": op6_tiff_media,
@@ -93,6 +109,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": """
+        WITH lines AS (SELECT DISTINCT doc_id, source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
+        counts AS (SELECT source, line, count(*) AS n FROM lines WHERE line != '' AND source IS NOT NULL GROUP BY ALL),
+        totals AS (SELECT source, count(*) AS total FROM documents GROUP BY ALL),
+        bad AS (SELECT source, list(line) AS bad FROM counts JOIN totals USING (source) WHERE n >= 10 AND n > total * 0.1 GROUP BY ALL),
+        parts AS (SELECT doc_id, d.source, string_split(text, chr(10)) AS parts, coalesce(bad, []) AS bad
+                  FROM documents d LEFT JOIN bad ON d.source = bad.source),
+        kept AS (SELECT *, list_filter(parts, lambda x: NOT list_contains(bad, trim(x))) AS kept FROM parts)
+        SELECT doc_id, source, array_to_string(kept, chr(10)) AS text, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines,
+               CAST(coalesce(len(parts) - len(kept), 0) AS BIGINT) AS n_dropped
+        FROM kept
+    """,
+    "op2_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+        ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) >= 5),
+        bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) >= 5),
+        n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY ALL),
+        hits AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
+        SELECT doc_id, item_id, n_shingles, n_shared, round(n_shared / n_shingles, 6) AS containment
+        FROM hits JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles - 1e-9
+    """,
     "op5_url_filters": r"""
         WITH cap AS (
             SELECT page_id, url, TIMESTAMP '2024-01-01' + to_seconds((page_id * 7919) % 31536000) AS fetched,
