@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.llm import bpe, decontaminate, html_text, language_id, line_dedup, simhash, tiff, url_filters, warc
+from siftrail.llm import bpe, decontaminate, html_text, language_id, line_dedup, repeats, simhash, tiff, url_filters, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that stand earlier in the corpus."""
+    return repeats.digest(repeats.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 def _hash31(text: str) -> str:
     return f"CAST(conv(substr(md5({text}), 1, 8), 16, 10) AS BIGINT)"
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_repeated_passages": op4_repeated_passages,
     "op5_url_filters": op5_url_filters,
     "op6_tiff_media": op6_tiff_media,
     "op7_bpe_round_trip": op7_bpe_round_trip,
