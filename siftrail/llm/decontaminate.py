@@ -54,7 +54,7 @@ class _Hashes:
         known = self.known
         if len(known) > self.room:
             known.clear()
-        for w in set(found) - known.keys():
+        for w in {w for w in found if w not in known}:
             known[w] = xxhash.xxh64_intdigest(w.encode())
         h = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
         n = len(h) - WORDS + 1
