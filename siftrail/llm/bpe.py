@@ -187,11 +187,11 @@ class WordBpe:
         """For each text, its words' counts, ids and tokens."""
         split = [list(self.pieces(t)) if t else [] for t in texts]
         distinct: set[str | int] = set().union(*split)
-        new = distinct - self.cache.keys()
+        new = [w for w in distinct if w not in self.cache]
         if len(self.cache) + len(new) > self.cached_words:
             self.cache = {t: (1, str(t), name) for name, t in self.specials.items()}
-            new = distinct - self.cache.keys()
-        new = sorted(new)
+            new = [w for w in distinct if w not in self.cache]
+        new.sort()
         for at in range(0, len(new), 100_000):
             self.learn(new[at : at + 100_000])
         known = self.cache.__getitem__
