@@ -59,3 +59,8 @@ def file_name(path: Column) -> Column:
 
 def stem(path: Column) -> Column:
     return F.regexp_replace(file_name(path), r"\.[^.]*$", "")
+
+
+def plain_path(path: Column) -> Column:
+    """A file's path as file listings give it: one slash after ``file:``, blanks as they are."""
+    return F.replace(F.regexp_replace(path, "^file:/+", "file:/"), F.lit("%20"), F.lit(" "))

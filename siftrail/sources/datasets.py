@@ -127,7 +127,7 @@ def label_rows(lines: DataFrame, text: str = "value") -> DataFrame:
 def labels(spark: SparkSession, root: str) -> DataFrame:
     """(split, stem, class_id, xc, yc, w, h) of all label files of a dataset."""
     files = dataset_files(spark, root).where("kind = 'labels' AND suffix = 'txt'").select("split", "stem", "path")
-    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(root).select(F.input_file_name().alias("path"), "value")
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(root).select(logs.plain_path(F.input_file_name()).alias("path"), "value")
     return label_rows(text.join(files, "path").select("split", "stem", "value"))
 
 

@@ -34,7 +34,7 @@ def log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     Files are read whole, for only so a line's number is certain; a log is some megabytes at most.
     """
-    whole = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    whole = spark.read.text(paths, wholetext=True).select(logs.plain_path(F.input_file_name()).alias("file"), "value")
     return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
 
 

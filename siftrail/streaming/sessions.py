@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def _stateful(rows: DataFrame, keys: list[str], step: Any, out: str, state: str, timeout: str) -> DataFrame:
-    return rows.groupBy(*keys).applyInPandasWithState(step, out, state, "append", timeout)
+def _stateful(rows: DataFrame, keys: list[str], step: Any, out: str, state: str) -> DataFrame:
+    return rows.groupBy(*keys).applyInPandasWithState(step, out, state, "append", GroupStateTimeout.NoTimeout)
 
 
 def _in_order(parts: Iterator[pd.DataFrame], by: str) -> pd.DataFrame:
@@ -37,7 +37,7 @@ def spaced(rows: DataFrame, key: str, place: str, gap: int) -> DataFrame:
         yield pd.DataFrame({key: [k[0]] * len(picked), place: picked})
 
     kind = dict(rows.dtypes)[key]
-    return _stateful(rows.select(key, F.col(place).cast("bigint").alias(place)), [key], step, f"{key} {kind}, {place} bigint", "last bigint", GroupStateTimeout.NoTimeout)
+    return _stateful(rows.select(key, F.col(place).cast("bigint").alias(place)), [key], step, f"{key} {kind}, {place} bigint", "last bigint")
 
 
 def debounced(rows: DataFrame, key: str, place: str, status: str, interval: int) -> DataFrame:
@@ -56,33 +56,29 @@ def debounced(rows: DataFrame, key: str, place: str, status: str, interval: int)
         yield pd.DataFrame(kept, columns=[key, place, status])
 
     kind = dict(rows.dtypes)[key]
-    return _stateful(rows.select(key, F.col(place).cast("bigint").alias(place), status), [key], step, f"{key} {kind}, {place} bigint, {status} boolean", "now boolean, held int, switched boolean", GroupStateTimeout.NoTimeout)
+    return _stateful(rows.select(key, F.col(place).cast("bigint").alias(place), status), [key], step, f"{key} {kind}, {place} bigint, {status} boolean", "now boolean, held int, switched boolean")
 
 
-def closed_islands(rows: DataFrame, key: str, place: str, active: str, idle_ms: int = 60_000) -> DataFrame:
-    """(key, start, end, n) of runs of active rows, when an inactive row or ``idle_ms`` ends them."""
+def closed_islands(rows: DataFrame, key: str, place: str, active: str) -> DataFrame:
+    """(key, start, end, n) of runs of active rows, each when the next inactive row ends it."""
 
     def step(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         start, end, n = state.get if state.exists else (0, 0, 0)
         done = []
-        if state.hasTimedOut:
-            done, n = [(k[0], start, end, n)], 0
-        else:
-            for at, on in _in_order(parts, place)[[place, active]].itertuples(index=False):
-                if on:
-                    start, end, n = (int(at) if not n else start), int(at), n + 1
-                elif n:
-                    done.append((k[0], start, end, n))
-                    n = 0
+        for at, on in _in_order(parts, place)[[place, active]].itertuples(index=False):
+            if on:
+                start, end, n = (int(at) if not n else start), int(at), n + 1
+            elif n:
+                done.append((k[0], start, end, n))
+                n = 0
         if n:
             state.update((start, end, n))
-            state.setTimeoutDuration(idle_ms)
         elif state.exists:
             state.remove()
         yield pd.DataFrame(done, columns=[key, "start", "end", "n"])
 
     kind = dict(rows.dtypes)[key]
-    return _stateful(rows.select(key, F.col(place).cast("bigint").alias(place), active), [key], step, f"{key} {kind}, start bigint, end bigint, n bigint", "start bigint, end bigint, n bigint", GroupStateTimeout.ProcessingTimeTimeout)
+    return _stateful(rows.select(key, F.col(place).cast("bigint").alias(place), active), [key], step, f"{key} {kind}, start bigint, end bigint, n bigint", "start bigint, end bigint, n bigint")
 
 
 def windowed_counts(rows: DataFrame, ts: str, by: str, late: str = "10 minutes", size: str = "5 minutes") -> DataFrame:
