@@ -4,11 +4,13 @@ A reading task is given a file and a range of bytes. It scans the range for the
 a place for the start of a record only if what unpacks there is a WARC header, the whole member
 unpacks with a right checksum, and another member or the end of the file follows; it owns the
 records that start inside its range and reads the last one to its end, past the range if need be.
+The first record of a range is believed only if the next few behind it are no dead end, as those of
+an archive that lies unpacked within a record are.
 
 Edge cases: null payloads are stored as empty ones. Payloads of fewer than ``least`` bytes are
 always responses. Rows that repeat the smallest id of their payload are responses too; a row
 without an id revisits the smallest id there is, or is a response if there is none. An empty table
-gives an empty archive and no rows. Bytes between records are passed over.
+gives an empty archive and no rows. What is no record, or a damaged one, is passed over.
 """
 
 from __future__ import annotations
@@ -126,8 +128,11 @@ class _Window:
         self.data, self.start = self.data[upto - self.start :], upto
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
-    """The whole member that starts at ``at`` and the place behind it, if it is a WARC record."""
+def _member(window: _Window, at: int) -> tuple[bytes, int, bool] | None:
+    """The member that starts at ``at``, the place behind it, and whether a member or the end follows.
+
+    None if it is no intact WARC record.
+    """
     unpacker, out, pos, checked = zlib.decompressobj(31), bytearray(), at - window.start, False
     while True:
         if pos >= len(window.data) and not window.more():
@@ -150,13 +155,25 @@ def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
     while len(window.data) - pos < len(MAGIC) and window.more():
         pass
     follows = window.data[pos : pos + len(MAGIC)]
-    return (bytes(out), end) if not follows or follows == MAGIC[: len(follows)] else None
+    return bytes(out), end, not follows or follows == MAGIC[: len(follows)]
+
+
+def _is_dead_end(window: _Window, at: int, ahead: int = 4) -> bool:
+    """Whether the intact members from ``at`` on soon run into bytes that are no member."""
+    for _ in range(ahead):
+        found = _member(window, at)
+        if found is None:
+            return False
+        if not found[2]:
+            return True
+        at = found[1]
+    return False
 
 
 def read_range(file: pa.NativeFile, start: int, end: int) -> Iterator[bytes]:
     """The unpacked records that start in [start, end) of a file."""
     window = _Window(file, start)
-    at = start
+    at, believed = start, start == 0
     while at < end:
         place = window.data.find(MAGIC, at - window.start)
         if place < 0:
@@ -169,9 +186,10 @@ def read_range(file: pa.NativeFile, start: int, end: int) -> Iterator[bytes]:
         if at >= end:
             return
         found = _member(window, at)
-        if found is None:
+        if found is None or not found[2] or not believed and _is_dead_end(window, found[1]):
             at += 1
             continue
+        believed = True
         yield found[0]
         at = found[1]
         window.drop(at)
