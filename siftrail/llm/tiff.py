@@ -252,7 +252,8 @@ def _page(media: bytes, order: str, index: int, tags: dict[int, list[int]]) -> P
         data = media[offsets[k] : offsets[k] + counts[k]]
         block = np.frombuffer(_unpacked(data, scheme, rows * wide * per * bits // 8), kind).reshape(rows, wide, per)
         if predictor == 2:
-            block = np.add.accumulate(block, axis=1, dtype=kind)
+            native = kind.newbyteorder("=")
+            block = np.add.accumulate(block.astype(native), axis=1, dtype=native)
         pixels[plane, row : row + rows, left : left + wide] = block[: height - row, : width - left]
     flat = pixels.transpose(1, 2, 0, 3) if planes > 1 else pixels
     return Page(index, width, height, bits, samples, scheme, predictor, flat.astype(kind.newbyteorder("<")).tobytes())
