@@ -81,7 +81,12 @@ def cut_phrases(data: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator
 
 
 def _phrase_rows(length: int, gram: int) -> Callable:
-    """(trigger, phrase, doc, place) of every phrase; place has the text's hash above the offset."""
+    """(trigger, phrase, doc, place, later) of every phrase; place has the text's hash above the offset.
+
+    Of the phrases of one batch that are equal, all but the first in corpus order are known to be
+    later ones already. They are dealt out by their place, so a phrase that a third of all
+    documents share comes together once for each batch and not once for each document.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = xxhash.xxh3_64_intdigest
@@ -97,7 +102,13 @@ def _phrase_rows(length: int, gram: int) -> Callable:
                     held[2].append(np.full(len(starts), doc, np.int64))
                     held[3].append(starts | mark << 32)
             if held[0]:
-                yield _rows(["trigger", "phrase", "doc", "place"], [np.concatenate(h) for h in held])
+                trigger, phrase, doc, place = (np.concatenate(h) for h in held)
+                order = np.lexsort((place, doc, phrase, trigger))
+                trigger, phrase, doc, place = (c[order] for c in (trigger, phrase, doc, place))
+                new = np.concatenate([[True], (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])])
+                first = np.flatnonzero(new)[np.cumsum(new) - 1]
+                later = (doc != doc[first]) | (place != place[first])
+                yield _rows(["trigger", "phrase", "doc", "place", "later"], [trigger, phrase, doc, place, later])
 
     return run
 
@@ -109,12 +120,20 @@ def _rows(names: list[str], columns: list) -> pa.RecordBatch:
 def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over phrases in order: later occurrences (``open`` false), and firsts that are not alone.
 
-    What is carried from batch to batch is one first occurrence.
+    Rows that are known to be later ones go straight through. What is carried from batch to batch
+    is one first occurrence.
     """
     carried: list[int] | None = None  # trigger, phrase, doc, place of the phrase at hand
     told = False  # whether it was given out as one of several
     for batch in batches:
-        t, p, d, at = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+        t, p, d, at = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:4])
+        if batch.num_columns > 4:
+            known = batch.column(4).to_numpy(zero_copy_only=False).astype(bool)
+            if known.any():
+                yield _rows(["trigger", "doc", "place", "runs", "open"], [t[known], d[known], at[known], ((p[known] & WIDTH_MASK) + 1).astype(np.int32), np.zeros(int(known.sum()), bool)])
+                t, p, d, at = (c[~known] for c in (t, p, d, at))
+        if not len(t):
+            continue
         if carried is not None:
             t, p, d, at = (np.concatenate([[x], c]) for x, c in zip(carried, (t, p, d, at), strict=True))
         new = np.concatenate([[True], (t[1:] != t[:-1]) | (p[1:] != p[:-1])])
@@ -214,11 +233,12 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     rows = _keyed(docs, doc_id, text)
     long = rows.where(F.octet_length("text") >= length)
     small_batches(spark)
-    parsed = long.mapInArrow(_phrase_rows(length, gram), "trigger bigint, phrase bigint, doc bigint, place bigint")
+    parsed = long.mapInArrow(_phrase_rows(length, gram), "trigger bigint, phrase bigint, doc bigint, place bigint, later boolean")
+    deal = F.when(F.col("later"), F.xxhash64("doc", "place")).otherwise(F.col("trigger"))
     order = ["trigger", "phrase", "doc", "place"]
     kind = "trigger bigint, doc bigint, place bigint, runs int, open boolean"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4096)
-    first = written(parsed.repartition("trigger").sortWithinPartitions(*order).mapInArrow(_repeated, kind), "phrases")
+    first = written(parsed.repartition(deal).sortWithinPartitions(*order).mapInArrow(_repeated, kind), "phrases")
     _free(spark)
     small_batches(spark)
     place = [F.shiftright("place", 32).alias("mark"), F.expr("cast(place & 4294967295 AS int)").alias("lo")]
