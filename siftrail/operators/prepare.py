@@ -83,6 +83,20 @@ def replay(candidates: DataFrame, existing: DataFrame, max_new: int, max_total:
     return existing.select("key", "age").unionByName(new).orderBy("age", "key").limit(max_total)
 
 
+def replay_candidates(images: DataFrame, judged: DataFrame, labels: DataFrame, image: str = "image", age: str = "age") -> DataFrame:
+    """(key, confidence, is_error, is_empty, age) of each image, from predictions matched to labels.
+
+    An image is an error if it has a false prediction or a label that no prediction found; its
+    confidence is that of its least certain true find; it is empty without labels and predictions.
+    """
+    found = judged.groupBy(image).agg(F.count_if("is_tp").alias("hits"), F.count_if(~F.col("is_tp")).alias("false"), F.min(F.when(F.col("is_tp"), F.col("confidence"))).alias("confidence"))
+    wanted = labels.groupBy(image).agg(F.count("*").alias("wanted"))
+    rows = images.select(image, age).join(found, image, "left").join(wanted, image, "left").na.fill(0, ["hits", "false", "wanted"])
+    error = (F.col("false") > 0) | (F.col("hits") < F.col("wanted"))
+    empty = (F.col("wanted") == 0) & (F.col("hits") + F.col("false") == 0)
+    return rows.select(F.col(image).alias("key"), "confidence", error.alias("is_error"), empty.alias("is_empty"), F.col(age).alias("age"))
+
+
 def top_by(df: DataFrame, group: list[str], order: list[Column], n: int, out: str = "place") -> DataFrame:
     """The first ``n`` rows of each group; Spark drops rows beyond it before it exchanges any."""
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col(out) <= n)

@@ -73,6 +73,12 @@ def raw_files(spark: SparkSession, root: str) -> DataFrame:
     return files.select(group(1).alias("split"), group(2).alias("source"), group(3).alias("kind"), "path", "name", logs.stem(F.col("path")).alias("stem")).where("split <> ''")
 
 
+def has_test_images(files: DataFrame) -> bool:
+    """Whether raw files have a test folder with images, which then is the test split."""
+    suffix = F.lower(F.regexp_extract("name", r"\.([^.]*)$", 1))
+    return not files.where((F.col("split") == "test") & (F.col("kind") == "images") & suffix.isin(*IMAGE_SUFFIXES)).isEmpty()
+
+
 def image_size(head: bytes) -> tuple[int, int] | None:
     """Width and height from the first bytes of a PNG, JPEG, BMP, WebP (lossy) or GIF file."""
     if head[:8] == b"\x89PNG\r\n\x1a\n" and len(head) >= 24:

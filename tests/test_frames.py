@@ -119,3 +119,11 @@ def test_one_label_one_hit(spark):
     preds = spark.createDataFrame([("i", 1, 0, 0.9, 0.5, 0.5, 0.2, 0.2), ("i", 2, 0, 0.8, 0.5, 0.5, 0.2, 0.2), ("i", 3, 1, 0.8, 0.5, 0.5, 0.2, 0.2), ("i", 4, 0, 0.7, 0.9, 0.9, 0.1, 0.1)], "image string, pred_id int, class_id int, confidence double, xc double, yc double, w double, h double")
     got = {r["pred_id"]: r["is_tp"] for r in metrics.matches(preds, labels, ["image"]).collect()}
     assert got == {1: True, 2: False, 3: False, 4: False}
+
+
+def test_replay_candidates(spark):
+    images = spark.createDataFrame([(i, 0) for i in "abcde"], "image string, age int")
+    judged = spark.createDataFrame([("a", 0.9, True), ("a", 0.4, True), ("b", 0.8, False), ("c", 0.9, True)], "image string, confidence double, is_tp boolean")
+    labels = spark.createDataFrame([("a",), ("a",), ("c",), ("c",), ("d",)], "image string")
+    got = {r["key"]: (r["confidence"], r["is_error"], r["is_empty"]) for r in prepare.replay_candidates(images, judged, labels).collect()}
+    assert got == {"a": (0.4, False, False), "b": (None, True, False), "c": (0.9, True, False), "d": (None, True, False), "e": (None, False, True)}

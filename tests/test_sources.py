@@ -105,7 +105,9 @@ def test_raw_layout_and_tables(spark, tmp_path):
     p = tmp_path / "raw/train/s1/images/a.jpg"
     p.parent.mkdir(parents=True)
     p.write_bytes(b"x")
-    (row,) = datasets.raw_files(spark, str(tmp_path)).collect()
+    raw = datasets.raw_files(spark, str(tmp_path))
+    assert not datasets.has_test_images(raw)
+    (row,) = raw.collect()
     assert (row["split"], row["source"], row["kind"], row["stem"]) == ("train", "s1", "images", "a")
     (tmp_path / "r.csv").write_text("MODEL,precision,recall,map50,map,f1,fitness\nm,0.5,0.6,0.4,0.3,,0.42\n")
     assert datasets.results_table(spark, str(tmp_path / "r.csv")).first()["fitness"] == 0.42
