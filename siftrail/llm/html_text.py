@@ -45,8 +45,17 @@ class Weights:
     cut_tag: float = -3.0
 
     def is_furniture(self, found: list[str]) -> bool:
-        """Whether a class word, or a tag that hardly ever stood in a main text, says so."""
-        return any(self.features.get(f, 0.0) <= (self.cut_tag if f.startswith("tag ") else self.cut_word) for f in found)
+        """Whether a tag that hardly ever stood in a main text says so, or the class words do.
+
+        Words of furniture can be outweighed by words of content. An article or main element is
+        furniture only if most of its words are of furniture, as those of a reader's comment.
+        """
+        tag, *words = found
+        weights = [self.features.get(w, 0.0) for w in words]
+        cut = sum(w <= self.cut_word for w in weights)
+        if tag in ("tag article", "tag main"):
+            return cut * 2 > len(words)
+        return self.features.get(tag, 0.0) <= self.cut_tag or cut > 0 and sum(weights) < 0
 
     def cost(self, tag: str) -> float:
         return max(self.least_cost, min(0.5, -self.features.get(f"tag {tag}", 0.0)))
@@ -146,7 +155,7 @@ def blocks(page: str, weights: Weights) -> list[str]:
                 furniture, home = (stack[-1][1], stack[-1][2]) if stack else (False, False)
             if what in BLOCKS and parts[-1]:
                 parts.append([])
-            now = furniture or what == "head" or (what not in ("html", "body", *HOME) and not (what == "header" and home) and weights.is_furniture(features(what, attrs))) or bool(attrs and HIDDEN.search(attrs))
+            now = furniture or what == "head" or (what not in ("html", "body") and not (what == "header" and home) and weights.is_furniture(features(what, attrs))) or bool(attrs and HIDDEN.search(attrs))
             stack.append((what, now, home or what in HOME))
             furniture, home = now, stack[-1][2]
         else:

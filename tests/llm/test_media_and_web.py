@@ -182,6 +182,9 @@ CASES = [
     ("<main><p>In</main><div>outside of the main part, at some length, still not wanted</div>", "In"),
     ("<article><p>a<!-- <p>gone</p> --> b</p><p hidden>secret</p></article>", "a b"),
     ("<article>a<", "a<"),
+    ('<main class="has-sidebar"><p>kept</p></main>', "kept"),
+    ('<article><p>kept</p><article id="comment-7" class="comment reply odd"><p>a reader says so</p></article></article>', "kept"),
+    ('<div class="content with-sidebar"><p>kept</p></div>', "kept"),
     ("<article><p>x</p><!-- never closed <p>y</p>", "x"),
     ("<head><title>T</title></head><body><article>body text</article></body>", "body text"),
 ]
