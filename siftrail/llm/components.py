@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import drop_path, new_path
+from siftrail.llm.common import drop_path, new_path, written
 
 
 def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,19 +44,20 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) for every node of an edge list of two bigint columns; root is the smallest node.
 
     Edges with a null end, loops and repeats are passed over. Each task first shrinks its own edges
-    to a forest. Then large and small stars alternate until no edge changes; every round is written
-    to the shared folder, so a lost executor costs one round at most.
+    to a forest. Then large and small stars alternate until no edge changes; every star is written
+    to the shared folder, so a lost executor costs one star at most.
     """
     spark = edges.sparkSession
     now = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    now, path, seen = now.mapInArrow(_forest, "u bigint, v bigint"), None, None
+    now, path, seen = written(now.mapInArrow(_forest, "u bigint, v bigint"), "forest"), None, None
     while True:
-        new = new_path(spark, "stars")
-        _small(_large(now)).write.parquet(new)
-        now = spark.read.schema("u bigint, v bigint").parquet(new)
-        if path:
-            drop_path(spark, path)
-        path = new
+        for star in (_large, _small):
+            new, least = new_path(spark, "stars"), new_path(spark, "least")
+            star(now, least).write.parquet(new)
+            now = spark.read.schema("u bigint, v bigint").parquet(new)
+            for old in filter(None, (path, least)):
+                drop_path(spark, old)
+            path = new
         mark = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 40)))).first()
         if mark == seen:
             break
@@ -65,16 +66,26 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select(F.col("v").alias("node"), F.col("v").alias("root")))
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _least(edges: DataFrame, value: Column, path: str) -> DataFrame:
+    """(u, m): the least value of each node, written, so that Spark knows its size.
+
+    It is sent to all tasks if it is small; if not, both sides of the join with it are exchanged for
+    the join alone, and Spark splits the rows of a node that has very many.
+    """
+    edges.groupBy("u").agg(value.alias("m")).write.parquet(path)
+    return edges.sparkSession.read.schema("u bigint, m bigint").parquet(path)
+
+
+def _large(edges: DataFrame, path: str) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = _least(both, F.least(F.min("v"), F.first("u")), path)
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, path: str) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = _least(down, F.min("v"), path)
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
