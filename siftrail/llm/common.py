@@ -62,8 +62,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Hand Python at most ``rows`` texts at a time, so long documents stay in bounds."""
+    """Hand Python at most ``rows`` texts and 32 MB at a time, so long documents stay in bounds."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)
 
 
 def free_name(df: DataFrame, stem: str) -> str:
