@@ -24,13 +24,15 @@ def matches(predictions: DataFrame, labels: DataFrame, image: list[str], thresho
     """
     preds = predictions.where(F.col("confidence") >= least_confidence)
     truth = labels.select(*image, "class_id", "label_id", *[F.col(c).alias(f"t_{c}") for c in BOX])
-    met = preds.join(truth, [*image, "class_id"]).withColumn("overlap", F.round(iou(tuple(map(F.col, BOX)), tuple(F.col(f"t_{c}") for c in BOX)), 9)).where(F.col("overlap") >= threshold)
-    best = met.groupBy(*image, "class_id", "pred_id").agg(F.min(F.struct((-F.col("overlap")).alias("o"), "label_id", "confidence")).alias("b"))
-    best = best.select(*image, "class_id", "pred_id", F.col("b.label_id").alias("label_id"), (-F.col("b.o")).alias("overlap"), F.col("b.confidence").alias("confidence"))
-    won = best.groupBy(*image, "class_id", "label_id").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "pred_id")).alias("b")).select(*image, "class_id", "label_id", F.col("b.pred_id").alias("winner"))
-    judged = best.join(won, [*image, "class_id", "label_id"]).select(*image, "class_id", "pred_id", F.col("label_id"), "overlap", (F.col("pred_id") == F.col("winner")).alias("is_tp"))
-    out = preds.select(*image, "class_id", "pred_id", "confidence").join(judged, [*image, "class_id", "pred_id"], "left")
-    return out.select(*image, "class_id", "pred_id", "confidence", "label_id", "overlap", F.coalesce("is_tp", F.lit(False)).alias("is_tp"))
+    overlap = F.round(iou(tuple(map(F.col, BOX)), tuple(F.col(f"t_{c}") for c in BOX)), 9)
+    met = preds.join(truth, [*image, "class_id"], "left").withColumn("overlap", F.when(overlap >= threshold, overlap))
+    met = met.withColumn("label_id", F.when(F.col("overlap").isNotNull(), F.col("label_id")))
+    # Both windows keep within an image and class, as the join has dealt the rows already.
+    by_pred = Window.partitionBy(*image, "class_id", "pred_id").orderBy(F.desc_nulls_last("overlap"), "label_id")
+    best = met.withColumn("place", F.row_number().over(by_pred)).where("place = 1")
+    by_label = Window.partitionBy(*image, "class_id", "label_id").orderBy(F.desc("confidence"), "pred_id")
+    first = F.col("label_id").isNotNull() & (F.row_number().over(by_label) == 1)
+    return best.select(*image, "class_id", "pred_id", "confidence", "label_id", "overlap", first.alias("is_tp"))
 
 
 def curve(judged: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
