@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftrail.functions.boxes import label_line
+from siftrail.functions.session import importable
 from siftrail.operators.ordered import greedy_spacing
 
 
@@ -21,6 +22,8 @@ def every_nth(frames: DataFrame, number: str, seconds: float, fps: float) -> Dat
 def detect(frames: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Detections of a pluggable model; filters on frames belong before this call, not after."""
 
+    importable(frames.sparkSession)
+
     def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             yield model(part)

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftrail.functions.session import importable
+
 Keys = list[str]
 
 
@@ -112,6 +114,7 @@ def greedy_spacing(df: DataFrame, keys: Keys, place: str, gap: int) -> DataFrame
     window function expresses it. Rows come sorted and are streamed: what a task remembers is the
     last place picked, however long a recording is. Of rows at one place the first is picked.
     """
+    importable(df.sparkSession)
     frame = df.repartition(*keys).sortWithinPartitions(*keys, place)
     names = frame.columns
     key_at, place_at = [names.index(k) for k in keys], names.index(place)
