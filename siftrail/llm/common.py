@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siftrail.functions.session import importable
+
 _WRITTEN: list[str] = []
 
 
@@ -63,6 +65,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Hand Python at most ``rows`` texts and 32 MB at a time, so long documents stay in bounds."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftrail.functions.session import importable
 from siftrail.llm.common import drop_path, new_path, written
 
 
@@ -48,6 +49,7 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     to the shared folder, so a lost executor costs one star at most.
     """
     spark = edges.sparkSession
+    importable(spark)
     now = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     now, path, seen = written(now.mapInArrow(_forest, "u bigint, v bigint"), "forest"), None, None
     while True:

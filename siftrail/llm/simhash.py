@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import add_columns, col, free_name, written
+from siftrail.llm.common import add_columns, col, free_name, small_batches, written
 from siftrail.llm.components import components
 
 SHINGLE, SEED, MOST_BITS = 4, 42, 4
@@ -212,7 +212,7 @@ def _link_runs(run_rows: int):  # noqa: ANN202
 def links(fps: DataFrame, run_rows: int = 100_000, block_rows: int = 20_000) -> DataFrame:
     """Links (u, v) between distinct fingerprints that connect all that differ in four bits or less."""
     spark = fps.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20_000)
+    small_batches(spark, 20_000)
     kind = "u bigint, v bigint, key bigint"
     keyed = fps.mapInArrow(_emit_keys, "key int, fp bigint").repartition("key").sortWithinPartitions("key")
     found = written(keyed.mapInArrow(_link_runs(run_rows), kind), "links")
