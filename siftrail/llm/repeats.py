@@ -21,6 +21,7 @@ Matches never cross documents, and runs are judged on the input, not on what is
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -213,9 +214,14 @@ def _found(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _free(spark: SparkSession) -> None:
-    """Let Spark drop the exchange files of what is written and no longer needed."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the exchange files of what is written and no longer needed.
+
+    Spark drops them when the driver's JVM finds that nothing refers to them, in the background.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -237,7 +243,7 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     deal = F.when(F.col("later"), F.xxhash64("doc", "place")).otherwise(F.col("trigger"))
     order = ["trigger", "phrase", "doc", "place"]
     kind = "trigger bigint, doc bigint, place bigint, runs int, open boolean"
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4096)
+    small_batches(spark, 4096)
     first = written(parsed.repartition(deal).sortWithinPartitions(*order).mapInArrow(_repeated, kind), "phrases")
     _free(spark)
     small_batches(spark)
