@@ -22,17 +22,27 @@ def matches(predictions: DataFrame, labels: DataFrame, image: list[str], thresho
     Predictions have (image, pred_id, class_id, confidence, box), labels (image, label_id,
     class_id, box). Overlaps are compared to nine decimals; ties go to the smaller id.
     """
+    return matches_at(predictions, labels, image, (threshold,), least_confidence).drop("threshold")
+
+
+def matches_at(predictions: DataFrame, labels: DataFrame, image: list[str], thresholds: tuple[float, ...], least_confidence: float = 0.0) -> DataFrame:
+    """The rows of ``matches`` for each threshold; boxes are joined once for all of them."""
     preds = predictions.where(F.col("confidence") >= least_confidence)
     truth = labels.select(*image, "class_id", "label_id", *[F.col(c).alias(f"t_{c}") for c in BOX])
     overlap = F.round(iou(tuple(map(F.col, BOX)), tuple(F.col(f"t_{c}") for c in BOX)), 9)
-    met = preds.join(truth, [*image, "class_id"], "left").withColumn("overlap", F.when(overlap >= threshold, overlap))
+    met = preds.join(truth, [*image, "class_id"], "left").withColumn("overlap", overlap).withColumn("threshold", F.explode(_list(thresholds)))
+    met = met.withColumn("overlap", F.when(F.col("overlap") >= F.col("threshold"), F.col("overlap")))
     met = met.withColumn("label_id", F.when(F.col("overlap").isNotNull(), F.col("label_id")))
     # Both windows keep within an image and class, as the join has dealt the rows already.
-    by_pred = Window.partitionBy(*image, "class_id", "pred_id").orderBy(F.desc_nulls_last("overlap"), "label_id")
+    by_pred = Window.partitionBy(*image, "class_id", "threshold", "pred_id").orderBy(F.desc_nulls_last("overlap"), "label_id")
     best = met.withColumn("place", F.row_number().over(by_pred)).where("place = 1")
-    by_label = Window.partitionBy(*image, "class_id", "label_id").orderBy(F.desc("confidence"), "pred_id")
+    by_label = Window.partitionBy(*image, "class_id", "threshold", "label_id").orderBy(F.desc("confidence"), "pred_id")
     first = F.col("label_id").isNotNull() & (F.row_number().over(by_label) == 1)
-    return best.select(*image, "class_id", "pred_id", "confidence", "label_id", "overlap", first.alias("is_tp"))
+    return best.select("threshold", *image, "class_id", "pred_id", "confidence", "label_id", "overlap", first.alias("is_tp"))
+
+
+def _list(thresholds: tuple[float, ...]) -> Column:
+    return F.array(*[F.lit(float(t)) for t in thresholds])
 
 
 def curve(judged: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,11 +88,10 @@ def f1(precision: Column, recall: Column) -> Column:
 
 def mean_over_thresholds(predictions: DataFrame, labels: DataFrame, image: list[str], thresholds: tuple[float, ...] = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)) -> DataFrame:
     """(class_id, ap50, ap): average precision at the first threshold and over all of them."""
-    each = None
-    for t in thresholds:
-        one = average_precision(matches(predictions, labels, image, t), labels, ["class_id"]).select("class_id", F.lit(t).alias("threshold"), "ap")
-        each = one if each is None else each.unionByName(one)
-    return each.groupBy("class_id").agg(F.max(F.when(F.col("threshold") == thresholds[0], F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap"))
+    judged = matches_at(predictions, labels, image, thresholds)
+    wanted = labels.select("class_id", F.explode(_list(thresholds)).alias("threshold"))
+    each = average_precision(judged, wanted, ["class_id", "threshold"])
+    return each.groupBy("class_id").agg(F.max(F.when(F.col("threshold") == float(thresholds[0]), F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap"))
 
 
 def merged_breakdown(per_source: DataFrame, names: dict[int, str], merged: dict[int, str]) -> DataFrame:
