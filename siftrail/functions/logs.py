@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftrail.functions.geo import degrees
@@ -27,17 +27,25 @@ def split_line(line: Column) -> tuple[Column, Column]:
     return F.when(has, parts[0]), F.when(has, parts[1])
 
 
-def fix(sentence: Column) -> Column:
-    """struct(quality, lat, lon) of a fix sentence with seven fields or more; null for any other.
+def fix(fields: Column) -> Column:
+    """struct(quality, lat, lon) of the fields of a fix sentence, seven or more; null of any other.
 
     Quality is 0 unless it is all digits; a missing or odd coordinate is null.
     """
-    f = F.split(sentence, ",")
-    quality = F.when(F.get(f, F.lit(6)).rlike("^[0-9]+$"), F.get(f, F.lit(6)).try_cast("int")).otherwise(0)
-    lat = degrees(F.get(f, F.lit(2)), F.get(f, F.lit(3)))
-    lon = degrees(F.get(f, F.lit(4)), F.get(f, F.lit(5)))
-    read = F.struct(F.coalesce(quality, F.lit(0)).alias("quality"), lat.alias("lat"), lon.alias("lon"))
-    return F.when(sentence.startswith(FIX) & (F.size(f) >= 7), read)
+    at = lambda i: F.get(fields, F.lit(i))
+    quality = F.when(at(6).rlike("^[0-9]+$"), at(6).try_cast("int")).otherwise(0)
+    read = F.struct(F.coalesce(quality, F.lit(0)).alias("quality"), degrees(at(2), at(3)).alias("lat"), degrees(at(4), at(5)).alias("lon"))
+    return F.when((F.size(fields) >= 7) & at(0).startswith(FIX), read)
+
+
+def with_fix(df: DataFrame, sentence: str, out: str = "fix") -> DataFrame:
+    """``df`` with the fix of a sentence.
+
+    It passes through a generator of one row, so that the sentence is cut once and filters on the
+    fix do not read it again.
+    """
+    fixes = F.transform(F.array(F.split(sentence, ",")), fix)
+    return df.select("*", F.explode(fixes).alias(out))
 
 
 RECORDING = r"^(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})_video\.(mkv|mp4|avi)$"

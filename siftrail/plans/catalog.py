@@ -246,7 +246,7 @@ _SENTENCE = """CASE WHEN event_id % 11 = 0 THEN '$GNGGA' ELSE '$GPGGA' END || ',
 def nmea_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(F.lit("2025-07-17T14:11:13,772495840+02:00;"), F.expr(_SENTENCE.replace("VARCHAR", "STRING")))
     sentence = logs.split_line(line)[1]
-    read = _table(spark, sf_dir, "events", "event_id").select("event_id", logs.fix(sentence).alias("f"))
+    read = logs.with_fix(_table(spark, sf_dir, "events", "event_id").select("event_id", sentence.alias("sentence")), "sentence", "f")
     return read.where("f.quality > 0").select("event_id", "f.quality", F.round("f.lat", 7).alias("lat"), F.round("f.lon", 7).alias("lon"))
 
 

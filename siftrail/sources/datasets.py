@@ -124,10 +124,15 @@ def label_rows(lines: DataFrame, text: str = "value") -> DataFrame:
     A label has five tokens or more, all of the first five numbers and the first whole. Of longer
     lines, outlines of areas, the tokens at the places of width and height are read as such.
     """
-    t = F.split(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")), " ")
-    kept = lines.where(F.size(t) >= 5)
-    parsed = kept.withColumns({"class_id": t[0].try_cast("int")} | {c: t[i].try_cast("double") for i, c in enumerate(("xc", "yc", "w", "h"), 1)})
-    return parsed.where("class_id IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL").drop(text)
+    tokens = F.split(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")), " ")
+
+    def read(t: Column) -> Column:
+        at = lambda i: F.get(t, F.lit(i))
+        return F.struct(at(0).try_cast("int").alias("class_id"), *[at(i).try_cast("double").alias(c) for i, c in enumerate(("xc", "yc", "w", "h"), 1)])
+
+    # A generator of one row: the line is cut once, and the filter does not read it again.
+    rows = lines.select(*[c for c in lines.columns if c != text], F.inline(F.transform(F.array(tokens), read)))
+    return rows.where("class_id IS NOT NULL AND xc IS NOT NULL AND yc IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL")
 
 
 def labels(spark: SparkSession, root: str) -> DataFrame:

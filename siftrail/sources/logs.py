@@ -44,7 +44,8 @@ def parsed(lines: DataFrame) -> DataFrame:
     Time zero is the first readable time of the file, whatever its sentence is.
     """
     when, sentence = logs.split_line(F.col("line"))
-    timed = lines.where(F.trim("line") != "").select("file", "line_no", F.trim("line").alias("line"), logs.timestamp(when).alias("ts"), logs.fix(sentence).alias("fix")).where("ts IS NOT NULL")
+    timed = lines.where(F.trim("line") != "").select("file", "line_no", F.trim("line").alias("line"), logs.timestamp(when).alias("ts"), sentence.alias("sentence")).where("ts IS NOT NULL")
+    timed = logs.with_fix(timed, "sentence").drop("sentence")
     return first_offset(timed, ["file"], ["line_no"], "ts")
 
 
