@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.llm import bpe, decontaminate, language_id, line_dedup, simhash
+from siftrail.llm import bpe, decontaminate, language_id, line_dedup
 from siftrail.llm.common import written
+from siftrail.llm.near_copies import keep_first
 from siftrail.llm.queries import word_vocabulary
 
 
@@ -22,8 +23,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    return simhash.keep_first(docs)
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return keep_first(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from siftrail.llm import components, repeats, simhash
+import corpus_pipeline
+from siftrail.llm import components, near_copies, repeats, simhash
 
 DOC = "doc_id long, text string, source string"
 
@@ -176,3 +177,40 @@ def test_long_text_over_blocks(monkeypatch):
     parts = [(t, s, n) for ts, ss, ns in repeats.cut_phrases(data) for t, s, n in zip(ts.tolist(), ss.tolist(), ns.tolist(), strict=True)]
     spread = lambda rows: {s + k: t for t, s, n in rows for k in range(n)}
     assert spread(whole) == spread(parts) and len(spread(whole)) == len(data) - 99
+
+
+# Near copies of the pipeline's stage.
+
+
+def edited(rng, words, share):
+    """A copy with ``share`` of its words replaced at one place."""
+    n = max(1, int(len(words) * share))
+    at = rng.randrange(len(words) - n)
+    return [*words[:at], *(f"new{rng.random()}" for _ in range(n)), *words[at + n :]]
+
+
+@pytest.mark.parametrize("short_run", [8, 1])
+def test_stage_takes_all_copies_of_similarity_080(spark, short_run):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(25):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([30, 150, 400]))]
+        texts += [" ".join(words), *(" ".join(edited(rng, words, share)) for share in (0.02, 0.05, 0.08, 0.1, 0.3))]
+    texts += [" ".join(edited(rng, texts[0].split(), 0.03)) for _ in range(20)]
+    texts += ["", None, " \t", "one two", "ONE  two", "one two three", "x " * 9, "x " * 50]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [near_copies.shingles(t) for t in texts]
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if near_copies.similarity(sets[i], sets[j]) >= 0.8:
+            root[max(find(i), find(j))] = min(find(i), find(j))
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], DOC).repartition(5)
+    got = sorted(r["doc_id"] for r in near_copies.keep_first(df, short_run=short_run).collect())
+    assert got == sorted({find(i) for i in range(len(texts))})
+    if short_run == 8:
+        assert got == sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, df, "").collect())
