@@ -6,12 +6,14 @@ its longest known character n-grams, position by position, from ``max_n`` down t
 Edge cases: a null text, or one without a letter, gives ``und`` with score 0; so does every
 text if nothing could be learned. Equal scores go to the language that sorts first. Rows
 without a language or an id teach nothing; rows without an id count as not held out.
-Repeated rows are scored one by one, and other columns pass through untouched.
+Repeated rows are scored one by one, and other columns pass through untouched. A run of letters
+without spaces counts as one word however long it is, and all of it is read, in blocks.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +25,7 @@ from siftrail.llm.common import add_columns, col, free_name, slices
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNKNOWN = "und"
+LONG, BLOCK = 200, 1 << 14  # longer words are not remembered; n-grams that begin within a block are walked at once
 
 
 @dataclass
@@ -51,9 +54,12 @@ class LanguageModel:
 
     def _known_grams(self, word: str) -> list[int]:
         """The longest known n-gram at each place of an unseen word."""
-        padded, get, top = f"^{word[:200]}$", self.grams.get, self.max_n
+        return [g for block in blocks(word, self.max_n) for g in self._block_grams(*block)]
+
+    def _block_grams(self, padded: str, places: int) -> list[int]:
+        get, top = self.grams.get, self.max_n
         found = []
-        for at in range(len(padded)):
+        for at in range(places):
             for n in range(top, 0, -1):
                 hit = get(padded[at : at + n])
                 if hit is not None:
@@ -74,6 +80,15 @@ class LanguageModel:
         self._table[start : start + len(words)] = np.add.reduceat(scores, np.concatenate([[0], sizes.cumsum()[:-1]])) / sizes[:, None]
         self._rows.update(zip(words, range(start, start + len(words)), strict=True))
 
+    def _long_score(self, word: str) -> np.ndarray:
+        """What ``_learn`` would give a long unseen word, block by block and without keeping it."""
+        total, n = np.zeros(self._table.shape[1]), 0
+        for block in blocks(word, self.max_n):
+            if found := self._block_grams(*block):
+                total += self.gram_scores[found].sum(axis=0)
+                n += len(found)
+        return total / max(n, 1)
+
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs:
             return UNKNOWN, 0.0
@@ -83,8 +98,10 @@ class LanguageModel:
         n = counts.total()
         if not n:
             return UNKNOWN, 0.0
-        words = list(counts)
         total = np.zeros(len(self.langs))
+        for w in [w for w in counts if len(w) > LONG and w not in self.words]:
+            total += counts.pop(w) * self._long_score(w)
+        words = list(counts)
         for at in range(0, len(words), 20_000):
             part = words[at : at + 20_000]
             if len(self._rows) + len(part) > self._room:
@@ -99,6 +116,13 @@ class LanguageModel:
         return self.langs[best], float(odds[best] / odds.sum())
 
 
+def blocks(word: str, max_n: int) -> Iterator[tuple[str, int]]:
+    """A word between its marks in blocks that overlap by ``max_n`` - 1, and the places that are each block's own."""
+    padded = f"^{word}$"
+    for at in range(0, len(padded), BLOCK):
+        yield padded[at : at + BLOCK + max_n - 1], min(BLOCK, len(padded) - at)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document belongs to the fold that nothing is learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -133,11 +157,11 @@ def build(by_lang: dict[str, dict[str, int]], max_n: int = 4) -> LanguageModel:
         known = by_lang[lang]
         for word, n in known.items():
             words[word][k] = n
-            padded = f"^{word[:200]}$"
-            for size in range(1, max_n + 1):
-                for at in range(len(padded) - size + 1):
-                    g = grams[padded[at : at + size]]
-                    g[k] = g.get(k, 0) + n
+            for padded, places in blocks(word, max_n):
+                for size in range(1, max_n + 1):
+                    for at in range(min(places, len(padded) - size + 1)):
+                        g = grams[padded[at : at + size]]
+                        g[k] = g.get(k, 0) + n
 
     def logs(table: dict[str, dict[int, int]], keys: list[str]) -> np.ndarray:
         seen = np.zeros((len(keys), len(langs)))

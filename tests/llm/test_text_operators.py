@@ -54,6 +54,23 @@ def test_equal_scores_go_to_the_first_language():
     assert model.predict("x") == ("a", 0.5)
 
 
+def test_words_without_end_are_read_whole(monkeypatch):
+    a, b = "abcabbac", "xyzxyyzx"
+    model = language_id.build({"a": {a: 5, a[::-1]: 5}, "b": {b: 5, b[::-1]: 5}})
+    assert model.predict(a * 25 + b * 5000)[0] == "b" and model.predict(b * 25 + a * 5000)[0] == "a"
+    model = language_id.build({"a": {"q" * 200 + a * 20: 1}, "b": {"q" * 200 + b * 20: 1}})
+    assert model.predict(b)[0] == "b" and model.predict(a)[0] == "a"
+    words = {"a": {a * 40: 2, "ab": 1}, "b": {b * 40: 3}}
+    whole = language_id.build(words)
+    score = whole._long_score(a * 90 + b * 41)
+    monkeypatch.setattr(language_id, "BLOCK", 7)
+    parts = language_id.build(words)
+    assert parts.grams.keys() == whole.grams.keys()
+    assert {g: tuple(parts.gram_scores[i]) for g, i in parts.grams.items()} == {g: tuple(whole.gram_scores[i]) for g, i in whole.grams.items()}
+    assert parts._long_score(a * 90 + b * 41) == pytest.approx(score)
+    assert parts.predict("abab") == whole.predict("abab")
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs_ = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scored = queries.op10_language_id(spark, sf_dir).where("held_out").join(docs_.select("doc_id", "lang"), "doc_id")
