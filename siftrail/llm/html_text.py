@@ -4,7 +4,8 @@ Words score positive and tags negative. The weights come from labelled pages: fo
 and each word of a class, id or role, how much more often elements with it stood inside the main
 text than outside. Elements that speak clearly for furniture (menus, adverts, forms, comments ...)
 are cut out and cost a little where they stood; words outside the article of a page that has one
-score negative. One linear scan finds the contiguous run with the highest sum.
+score negative. A page has one if a main element or articles that are not furniture hold a fair share
+of its words; mere teasers or readers' comments in articles leave every word positive. One linear scan finds the contiguous run with the highest sum.
 
 Edge cases: null, empty or tag-only pages give an empty text. Of equal runs the first, longest one
 is taken. Unclosed and stray tags, quotes and comments are read the way browsers read them, near
@@ -32,7 +33,7 @@ HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?=[\s=>/]|$)|display\s*:\s*none|aria-hi
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>", re.S)
 ATTR = re.compile(r"(?i)(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 ATTR_WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
-HOME = ("article", "main")
+HOME = {"article": 0.25, "main": 0.05}  # and the share of a page's words that makes it the page's own
 
 
 @dataclass(frozen=True)
@@ -126,21 +127,19 @@ def learn(pages: list[str]) -> Weights:
 
 def blocks(page: str, weights: Weights) -> list[str]:
     """The blocks of the main text in page order."""
-    has_home = re.search(r"(?i)<(?:article|main)[\s>]", page) is not None
-    stack: list[tuple[str, bool, bool]] = []  # tag, in furniture, at home
-    tokens: list[tuple[float, int]] = []  # score, and the block that a word is of, or -1
+    stack: list[tuple[str, bool, str]] = []  # tag, in furniture, the kind of home it is in or none
+    tokens: list[tuple[float, int, str]] = []  # score, the block that a word is of or -1, and its home
     parts: list[list[str]] = [[]]
     cut = False
     for kind, what, attrs in events(page):
-        furniture, home = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        furniture, home = (stack[-1][1], stack[-1][2]) if stack else (False, "")
         if kind == "text":
             if not furniture and what:
                 parts[-1].append(what)
                 if what.strip():
-                    sign = 1.0 if home or not has_home else -1.0
-                    tokens.append((sign * len(what.split()), len(parts) - 1))
+                    tokens.append((float(len(what.split())), len(parts) - 1, home))
             elif what.strip() and not cut:
-                tokens.append((-0.5, -1))
+                tokens.append((-0.5, -1, home))
                 cut = True
             continue
         if kind == "open":
@@ -152,11 +151,11 @@ def blocks(page: str, weights: Weights) -> list[str]:
                 continue
             if what in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == what:
                 stack.pop()
-                furniture, home = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                furniture, home = (stack[-1][1], stack[-1][2]) if stack else (False, "")
             if what in BLOCKS and parts[-1]:
                 parts.append([])
             now = furniture or what == "head" or (what not in ("html", "body") and not (what == "header" and home) and weights.is_furniture(features(what, attrs))) or bool(attrs and HIDDEN.search(attrs))
-            stack.append((what, now, home or what in HOME))
+            stack.append((what, now, what if what in HOME and home != "main" else home))
             furniture, home = now, stack[-1][2]
         else:
             if what in BLOCKS and parts[-1]:
@@ -170,8 +169,12 @@ def blocks(page: str, weights: Weights) -> list[str]:
         if not furniture and what in BLOCKS or what in HOME:
             cut = False
         if not furniture:
-            tokens.append((-weights.least_cost if home else -weights.cost(what), -1))
-    first, last = best_run([t[0] for t in tokens])
+            tokens.append((-weights.least_cost if home else -weights.cost(what), -1, home))
+    held = Counter()
+    for score, block, home in tokens:
+        held[home] += score if block >= 0 else 0.0
+    has_home = any(held[tag] > 0 and held[tag] >= share * held.total() for tag, share in HOME.items())
+    first, last = best_run([-s if has_home and b >= 0 and not home else s for s, b, home in tokens])
     chosen = {t[1] for t in tokens[first:last] if t[1] >= 0}
     # A text that began before the run or goes on after it belongs to the run's block all the same.
     texts = (" ".join("".join(parts[b]).split()) for b in sorted(chosen))

@@ -195,6 +195,25 @@ def test_main_text(page, want):
     assert html_text.main_text(page, html_text.learn(html_text.LABELLED_PAGES)) == want
 
 
+POST = "the post itself goes on for many words " * 5
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="post"><p>{POST}</p></div><article class="comment"><p>a reader says so</p></article>',
+    f"<!-- <article> --><div class='post'><p>{POST}</p></div>",
+    f"<script>var a = '<main >';</script><div class='post'><p>{POST}</p></div>",
+    f"<main id='app'></main><div class='post'><p>{POST}</p></div>",
+    f"<div class='post'><p>{POST}</p></div><footer><article><p>Read this too</p></article></footer>",
+])
+def test_an_article_elsewhere_does_not_hide_the_text(page):
+    assert html_text.main_text(page, html_text.learn(html_text.LABELLED_PAGES)) == POST.strip()
+
+
+def test_a_teaser_does_not_hide_the_text():
+    page = f"<div class='post'><p>{POST}</p></div><article class='card'><p>Other post</p></article>"
+    assert html_text.main_text(page, html_text.learn(html_text.LABELLED_PAGES)).startswith(POST.strip())
+
+
 def slow_best(scores):
     best = (0.0, 0, 0)
     for i in range(len(scores)):
