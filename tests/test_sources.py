@@ -127,6 +127,32 @@ def test_sizes(spark):
     assert [r[0] for r in df.select(boxes.size_class(F.col("a"))).collect()] == ["small", "medium", "medium", "large", "large"]
 
 
+def odd_images():
+    app = b"\xff\xe1" + struct.pack(">H", 65_000) + bytes(64_998)
+    frame = b"\xff\xc0" + struct.pack(">HBHHB", 17, 8, 300, 400, 3) + bytes(9)
+    entries = lambda o: struct.pack(o + "HHHIHHHHII", 2, 256, 3, 1, 400, 0, 257, 4, 1, 300)
+    big = struct.pack("<HHHHQ", 0x4949, 43, 8, 0, 16) + struct.pack("<QHHQQHHQQ", 2, 256, 4, 1, 400, 257, 16, 1, 300)
+    riff = lambda kind, body: b"RIFF\0\0\0\0WEBP" + kind + b"\0\0\0\0" + body
+    return {
+        "late.jpg": b"\xff\xd8" + app * 3 + b"\xff" + frame,
+        "little.tif": b"II*\0" + struct.pack("<I", 100_008) + bytes(100_000) + entries("<"),
+        "motorola.tiff": b"MM\0*" + struct.pack(">I", 8) + entries(">"),
+        "big.tif": big,
+        "lossless.webp": riff(b"VP8L", b"\x2f" + struct.pack("<I", 399 | 299 << 14) + bytes(9)),
+        "extended.webp": riff(b"VP8X", bytes(4) + (399).to_bytes(3, "little") + (299).to_bytes(3, "little")),
+    }
+
+
+def test_sizes_behind_other_data(spark, tmp_path):
+    place = tmp_path / "train" / "images"
+    place.mkdir(parents=True)
+    for name, content in odd_images().items():
+        (place / name).write_bytes(content)
+    (place / "cut.tif").write_bytes(b"II*\0" + struct.pack("<I", 4000))
+    got = {r["path"].rsplit("/", 1)[1]: (r["width"], r["height"]) for r in datasets.images(spark, str(tmp_path)).collect()}
+    assert got == dict.fromkeys(odd_images(), (400, 300)) | {"cut.tif": datasets.FALLBACK}
+
+
 def test_zip_and_description(tmp_path):
     (tmp_path / "images").mkdir()
     (tmp_path / "images/a.jpg").write_bytes(b"x" * 100)
