@@ -7,6 +7,9 @@ intervals, and an as-of join gives each capture the entries whose interval holds
 Both sides are keyed by pattern and calendar month, so the captures of a host that holds a third of
 all rows are dealt out by month, and an interval meets only the captures of the months it spans.
 
+A path prefix need not end with a slash: it covers all that begins with it. Hosts are compared in lower
+case, paths as they are.
+
 Edge cases: a null or unreadable URL, or a null fetch time, matches nothing and is kept as allowed.
 Entries with a null list, pattern, time or action are passed over. Of entries of one list and
 pattern at the same moment the removal wins; repeated entries count once. An interval holds its
@@ -30,10 +33,15 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.$", "")
 
 
-def patterns_of(url: Column) -> Column:
-    """Every pattern that covers a URL: its host, all parent domains, all path prefixes of the host.
+def folded(pattern: Column) -> Column:
+    """A pattern with its host in lower case; the letter case of a path matters."""
+    return F.concat(F.lower(F.regexp_extract(pattern, "^[^/]*", 0)), F.regexp_extract(pattern, "(?s)^[^/]*(.*)$", 1))
+
+
+def patterns_of(url: Column, lengths: list[int] | None = None) -> Column:
+    """Every pattern that covers a URL: its host, all parent domains, all folders of its path, the whole path.
 
-    Path prefixes end with a slash, as patterns with a path must.
+    Patterns may also end within a path, as those of one list's ``lengths`` do.
     """
     host = host_of(url)
     labels = F.split(host, r"\.")
@@ -44,7 +52,10 @@ def patterns_of(url: Column) -> Column:
         F.filter(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda i: (i >= 2) & (i < F.size(parts))),
         lambda i: F.concat(host, F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")),
     )
-    return F.when(host != "", F.array_distinct(F.concat(parents, folders))).otherwise(F.array().cast("array<string>"))
+    full = F.concat(host, path)
+    ends = F.filter(F.array(*map(F.lit, lengths or [])).cast("array<int>"), lambda n: (n > F.length(host)) & (n <= F.length(full)))
+    pages = F.when(path != "", F.array(full)).otherwise(F.array().cast("array<string>"))
+    return F.when(host != "", F.array_distinct(F.concat(parents, folders, pages, F.transform(ends, lambda n: F.substring(full, F.lit(1), n))))).otherwise(F.array().cast("array<string>"))
 
 
 def intervals(entries: DataFrame, list_name: str = "list", pattern: str = "pattern", at: str = "at", action: str = "action") -> DataFrame:
@@ -54,7 +65,7 @@ def intervals(entries: DataFrame, list_name: str = "list", pattern: str = "patte
     first entry of the next month there is, so no window holds more than a month's entries or the
     months of one pattern.
     """
-    log = entries.select(F.lower(col(list_name)).alias("list"), F.lower(col(pattern)).alias("pattern"), col(at).cast("timestamp").alias("at"), F.lower(col(action)).alias("action"))
+    log = entries.select(F.lower(col(list_name)).alias("list"), folded(col(pattern)).alias("pattern"), col(at).cast("timestamp").alias("at"), F.lower(col(action)).alias("action"))
     log = log.where("list IS NOT NULL AND pattern IS NOT NULL AND at IS NOT NULL AND action IN ('add', 'remove')")
     states = log.groupBy("list", "pattern", "at").agg(F.max(F.col("action") == "remove").alias("gone")).withColumn("month", _month("at"))
     by_month = states.groupBy("list", "pattern", "month").agg(F.min("at").alias("first"))
@@ -72,7 +83,9 @@ def matches(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     seen = captures.select(col(url).alias("url"), col(fetched).cast("timestamp").alias("fetched")).where("url IS NOT NULL AND fetched IS NOT NULL").distinct()
     span = seen.agg(F.min(_month("fetched")).alias("lo"), F.max(_month("fetched")).alias("hi")).first()
     lo, hi = F.lit(span["lo"]).cast("int"), F.lit(span["hi"]).cast("int")
-    keyed = seen.select("url", "fetched", _month("fetched").alias("month"), F.explode(patterns_of(F.col("url"))).alias("pattern"))
+    inner = entries.select(folded(F.col("pattern")).alias("p")).where("p LIKE '%/%' AND p NOT LIKE '%/'").select(F.length("p").alias("n")).distinct()
+    lengths = sorted(r["n"] for r in inner.collect())
+    keyed = seen.select("url", "fetched", _month("fetched").alias("month"), F.explode(patterns_of(F.col("url"), lengths)).alias("pattern"))
     first, last = F.greatest(_month("since"), lo), F.least(F.coalesce(_month("until"), hi), hi)
     active = intervals(entries).where(first <= last).select("list", "pattern", "since", "until", F.explode(F.sequence(first, last)).alias("month"))
     hit = keyed.join(active, ["pattern", "month"]).where("since <= fetched AND (until IS NULL OR fetched < until)")

@@ -290,6 +290,15 @@ def test_lists_over_time(spark):
     assert url_filters.judge(captures.limit(0), log).count() == 0
 
 
+def test_pages_prefixes_and_letter_case(spark):
+    at = datetime.datetime(2024, 5, 1)
+    patterns = ["H.com/Ads/", "h.com/one/Page.html", "h.com/pre", "g.com/low/"]
+    log = spark.createDataFrame([("l", p, at, "add") for p in patterns], "list string, pattern string, at timestamp, action string")
+    want = {"http://H.com/Ads/x": "h.com/Ads/", "http://h.com/ads/x": None, "http://h.com/one/Page.html?q": "h.com/one/Page.html", "http://h.com/one/page.html": None, "http://h.com/one/": None, "http://h.com/pre/x/y": "h.com/pre", "http://h.com/prefix.html": "h.com/pre", "http://h.com/pr": None, "http://g.com/Low/x": None}
+    got = url_filters.judge(spark.createDataFrame([(u, at) for u in want], "url string, fetched timestamp"), log).collect()
+    assert {r["url"]: r["pattern"] for r in got} == want
+
+
 def test_removal_wins_at_one_moment(spark):
     at = datetime.datetime(2024, 5, 31, 23)
     log = spark.createDataFrame([("l", "h.com", at, "add"), ("l", "h.com", at, "remove"), ("l", "g.com", at, "add")], "list string, pattern string, at timestamp, action string")
