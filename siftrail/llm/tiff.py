@@ -312,15 +312,10 @@ def padded(raw: bytes, unit: int = 64) -> bytes:
 
 
 def store(raw: bytes) -> bytes:
-    """The file in which a text's bytes are kept; its layout follows from their number alone."""
+    """The file in which a text's bytes are kept; tiles follow from their number, the codec from a hash of them."""
     payload = padded(raw)
-    if len(payload) <= 512:
-        return write_pages(payload, compression=PACKBITS, predictor=1)
-    if len(payload) <= 1024:
-        return write_pages(payload, compression=LZW)
-    if len(payload) <= 32_768:
-        return write_pages(payload, compression=DEFLATE)
-    return write_pages(payload, compression=DEFLATE, tile=64)
+    codec = (PACKBITS, LZW, DEFLATE)[zlib.crc32(payload) % 3]
+    return write_pages(payload, compression=codec, predictor=1 if codec == PACKBITS else 2, tile=64 if len(payload) > 32_768 else 0)
 
 
 def feature(samples: np.ndarray) -> str:

@@ -115,6 +115,18 @@ def test_media_of_texts(spark):
     assert [hashlib.sha256(r["media"]).hexdigest() for r in stored] == [r["media_sha256"] for r in got]
 
 
+@pytest.mark.parametrize("size", [20, 700, 5000, 60_000])
+def test_every_codec_meets_texts_of_every_size(size):
+    rng = random.Random(size)
+    met = set()
+    for _ in range(25):
+        raw = bytes(rng.choice(b"some words ") for _ in range(size))
+        pages = list(tiff.read_pages(tiff.store(raw)))
+        assert b"".join(p.pixels for p in pages) == tiff.padded(raw)
+        met |= {p.compression for p in pages}
+    assert met == {tiff.PACKBITS, tiff.LZW, tiff.DEFLATE}
+
+
 # WARC.
 
 
