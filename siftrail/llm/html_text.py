@@ -1,15 +1,17 @@
 """The main text of a page as the best-scoring run of its words and tags.
 
-Words score positive and tags negative. The weights come from labelled pages: for each tag name
-and each word of a class, id or role, how much more often elements with it stood inside the main
-text than outside. Elements that speak clearly for furniture (menus, adverts, forms, comments ...)
-are cut out and cost a little where they stood; words outside the article of a page that has one
-score negative. A page has one if a main element or articles that are not furniture hold a fair share
-of its words; mere teasers or readers' comments in articles leave every word positive. One linear scan finds the contiguous run with the highest sum.
-
-Edge cases: null, empty or tag-only pages give an empty text. Of equal runs the first, longest one
-is taken. Unclosed and stray tags, quotes and comments are read the way browsers read them, near
-enough. Nothing is capped: every block of the run is kept. Repeated rows are read one by one.
+Words score positive where they stand like words of a main text, tags negative. The weights are
+fitted on labelled pages (``labelled``): logistic regression over the tags and the class, id and role
+words around a text, its share of links, its length and its place on the page, and for each tag how
+much more often it stood outside the main text. One linear scan then finds the contiguous run with
+the highest sum. Adverts and the like may stand in the middle of an article, so the same scan may leave
+stretches out of the run, at a cost for each.
+
+Edge cases: null, empty or tag-only pages give an empty text, and so do pages of which every word
+scores negative. Of equal runs the first, longest one is taken. Unclosed and stray tags, quotes and
+comments are read the way browsers read them, near enough; hidden elements are not read. Nothing is
+capped: very long pages are read whole. Repeated rows and rows without an id or a URL are read like
+any other. Other columns pass through; those named as an output are replaced.
 """
 
 from __future__ import annotations
@@ -17,61 +19,52 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from siftrail.llm.common import add_columns
+from siftrail.llm.labelled import LONG, PAGES, PARAGRAPHS, SHORT
 
-# Fixed values of the format: which elements break a block, hold no markup, or have no end.
+# Fixed values of the format: which elements break a block, hold no text of the page, or have no end.
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
-RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp template svg math object audio video canvas".split())
+RAW = frozenset("script style title textarea noscript iframe noembed noframes xmp template svg".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?=[\s=>/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true")
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>", re.S)
-ATTR = re.compile(r"(?i)(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+OWN_END = frozenset("p li dt dd option tr td th".split())
+TAG = re.compile(r"<!--(?P<comment>.*?)(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>", re.S)
+ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 ATTR_WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
-HOME = {"article": 0.25, "main": 0.05}  # and the share of a page's words that makes it the page's own
+NOT_OWN = frozenset(("has", "with", "no", "without"))  # "has-sidebar" is said of what surrounds a sidebar
+HOMES = {"article": 0.25, "main": 0.05}  # and their share of the words like main text that makes them home of it
+PRIOR = 0.7  # the share of what a feature says alone that its weight is drawn towards
 
 
-@dataclass(frozen=True)
-class Weights:
-    """Log odds of standing inside the main text, and what tags and cuts cost."""
-
-    features: dict[str, float]
-    least_cost: float = 0.05
-    cut_word: float = -1.0
-    cut_tag: float = -3.0
-
-    def is_furniture(self, found: list[str]) -> bool:
-        """Whether a tag that hardly ever stood in a main text says so, or the class words do.
-
-        Words of furniture can be outweighed by words of content. An article or main element is
-        furniture only if most of its words are of furniture, as those of a reader's comment.
-        """
-        tag, *words = found
-        weights = [self.features.get(w, 0.0) for w in words]
-        cut = sum(w <= self.cut_word for w in weights)
-        if tag in ("tag article", "tag main"):
-            return cut * 2 > len(words)
-        return self.features.get(tag, 0.0) <= self.cut_tag or cut > 0 and sum(weights) < 0
+def attributes(attrs: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTR.finditer(attrs)}
 
-    def cost(self, tag: str) -> float:
-        return max(self.least_cost, min(0.5, -self.features.get(f"tag {tag}", 0.0)))
+
+def is_hidden(attrs: dict[str, str]) -> bool:
+    return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").lower().replace(" ", "")
 
 
-def features(tag: str, attrs: str) -> list[str]:
+def features(tag: str, attrs: dict[str, str]) -> list[str]:
     found = [f"tag {tag}"]
-    if attrs:
-        for m in ATTR.finditer(attrs):
-            found += [f"word {w.lower()}" for w in ATTR_WORD.findall(m[1] or m[2] or m[3] or "")]
+    for name in ("class", "id", "role"):
+        before = ""
+        for w in ATTR_WORD.findall(attrs.get(name, "")):
+            w = w.lower()
+            if w not in NOT_OWN and before not in NOT_OWN:
+                found.append(f"word {w}")
+            before = w
     return found
 
 
 def events(page: str) -> Iterator[tuple[str, str, str]]:
-    """("open", tag, attributes), ("close", tag, "") and ("text", decoded text, "") in order."""
+    """("open", tag, attributes), ("close", tag, ""), ("text", decoded text, "") and ("comment", text, "") in order."""
     at, n = 0, len(page)
     while at < n:
         m = TAG.search(page, at)
@@ -81,6 +74,8 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
         if m.start() > at:
             yield "text", html_lib.unescape(page[at : m.start()]), ""
         at = m.end()
+        if m["comment"]:
+            yield "comment", m["comment"], ""
         if m["cdata"]:
             yield "text", m["cdata"], ""
         name = m["name"] or m["name2"]
@@ -98,65 +93,65 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
                 at = page.find(">", at) + 1 or n
             continue
         yield "open", tag, attrs
-        if tag in VOID:
-            continue
 
 
-def labelled_events(page: str) -> Iterator[tuple[list[str], bool]]:
-    """The elements of a labelled page and whether each stands in its main text."""
-    inside = False
-    for kind, tag, attrs in events(page):
-        if kind == "open":
-            if tag == "gold":
-                inside = True
-            else:
-                yield features(tag, attrs), inside
-        elif kind == "close" and tag == "gold":
-            inside = False
+@dataclass
+class Text:
+    """A piece of text between two tags: its block, its words, what surrounds it."""
 
+    block: int
+    words: int
+    around: frozenset[str]
+    home: str
+    gold: bool
 
-def learn(pages: list[str]) -> Weights:
-    """Weights from pages whose main text stands between <gold> and </gold>."""
-    seen: dict[str, Counter[bool]] = defaultdict(Counter)
-    for page in pages:
-        for found, inside in labelled_events(page):
-            for f in found:
-                seen[f][inside] += 1
-    return Weights({f: math.log((c[True] + 0.5) / (c[False] + 0.5)) for f, c in seen.items()})
-
-
-def blocks(page: str, weights: Weights) -> list[str]:
-    """The blocks of the main text in page order."""
-    stack: list[tuple[str, bool, str]] = []  # tag, in furniture, the kind of home it is in or none
-    tokens: list[tuple[float, int, str]] = []  # score, the block that a word is of or -1, and its home
-    parts: list[list[str]] = [[]]
-    cut = False
+
+@dataclass
+class Page:
+    """A page as a sequence of tags (by name) and texts, and the parts that make up its blocks."""
+
+    tokens: list[str | Text] = field(default_factory=list)
+    parts: list[list[str]] = field(default_factory=lambda: [[]])
+
+    def texts(self) -> list[Text]:
+        return [t for t in self.tokens if isinstance(t, Text)]
+
+
+def read_page(page: str) -> Page:
+    out = Page()
+    parts, tokens = out.parts, out.tokens
+    stack: list[tuple[str, frozenset[str], str, bool]] = []  # tag, features so far, in article or main, hidden
+    nothing: frozenset[str] = frozenset()
+    marks = {"main": False, "other": False}
     for kind, what, attrs in events(page):
-        furniture, home = (stack[-1][1], stack[-1][2]) if stack else (False, "")
+        if kind == "comment":
+            if what.lstrip("/") in marks:
+                marks[what.lstrip("/")] = what[0] != "/"
+            continue
+        around, home, hidden = stack[-1][1:] if stack else (nothing, "", False)
         if kind == "text":
-            if not furniture and what:
+            if not hidden and what:
                 parts[-1].append(what)
-                if what.strip():
-                    tokens.append((float(len(what.split())), len(parts) - 1, home))
-            elif what.strip() and not cut:
-                tokens.append((-0.5, -1, home))
-                cut = True
+                if n := len(what.split()):
+                    tokens.append(Text(len(parts) - 1, n, around, home, marks["main"] and not marks["other"]))
             continue
         if kind == "open":
             if what in VOID:
                 if what == "br":
                     parts[-1].append(" ")
-                if what == "hr" and not furniture:
+                if what == "hr" and parts[-1]:
                     parts.append([])
+                tokens.append(what)
                 continue
-            if what in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == what:
+            if what in OWN_END and stack and stack[-1][0] == what:
                 stack.pop()
-                furniture, home = (stack[-1][1], stack[-1][2]) if stack else (False, "")
+                around, home, hidden = stack[-1][1:] if stack else (nothing, "", False)
             if what in BLOCKS and parts[-1]:
                 parts.append([])
-            now = furniture or what == "head" or (what not in ("html", "body") and not (what == "header" and home) and weights.is_furniture(features(what, attrs))) or bool(attrs and HIDDEN.search(attrs))
-            stack.append((what, now, what if what in HOME and home != "main" else home))
-            furniture, home = now, stack[-1][2]
+            named = attributes(attrs) if attrs else {}
+            if what not in ("html", "body"):
+                around = around.union(features(what, named))
+            stack.append((what, around, what if what in HOMES and home != "main" else home, hidden or bool(named) and is_hidden(named)))
         else:
             if what in BLOCKS and parts[-1]:
                 parts.append([])
@@ -166,75 +161,224 @@ def blocks(page: str, weights: Weights) -> list[str]:
                     break
                 if stack[depth][0] in ("article", "body") and what not in ("html", "body"):
                     break
-        if not furniture and what in BLOCKS or what in HOME:
-            cut = False
-        if not furniture:
-            tokens.append((-weights.least_cost if home else -weights.cost(what), -1, home))
+        tokens.append(what)
+    return out
+
+
+def shape(page: Page) -> list[list[str]]:
+    """For each text of a page what its block is like: links, length, last mark, place."""
+    texts = page.texts()
+    words, links = Counter(), Counter()
+    for t in texts:
+        words[t.block] += t.words
+        links[t.block] += t.words if "tag a" in t.around else 0
+    all_words, seen, out = words.total(), 0, []
+    known: dict[int, list[str]] = {}
+    for t in texts:
+        if t.block not in known:
+            n, found = words[t.block], []
+            if links[t.block] * 2 > n:
+                found.append("shape links")
+            found.append("shape short" if n <= 3 else "shape medium" if n <= 12 else "shape long")
+            if "".join(page.parts[t.block]).rstrip()[-1:] not in '.!?:"”»…。':
+                found.append("shape open end")
+            if seen * 20 < all_words:
+                found.append("place top")
+            elif (seen + n) * 20 > all_words * 19:
+                found.append("place end")
+            known[t.block] = found
+            seen += n
+        out.append(known[t.block])
+    return out
+
+
+@dataclass(frozen=True)
+class Weights:
+    """What surrounds a text, as log odds of main text; the cost of each tag.
+
+    ``gap`` is the cost of leaving a stretch out of the run, ``least`` and ``most`` bound a word's score.
+    """
+
+    words: dict[str, float]
+    tags: dict[str, float]
+    base: float
+    gap: float = 0.5
+    least: float = -4.0
+    most: float = 2.0
+    least_cost: float = 0.02
+    most_cost: float = 0.5
+
+    def cost(self, tag: str) -> float:
+        return min(self.most_cost, max(self.least_cost, self.tags.get(tag, self.least_cost)))
+
+    def logits(self, page: Page) -> list[float]:
+        get, sums = self.words.get, {}
+        out = []
+        for t, shaped in zip(page.texts(), shape(page), strict=True):
+            if t.around not in sums:
+                sums[t.around] = self.base + sum(get(f, 0.0) for f in t.around)
+            out.append(sums[t.around] + sum(get(f, 0.0) for f in shaped))
+        away = get("away from home", 0.0)
+        if away:
+            out = [x + away * a for x, a in zip(out, away_from_home(page, out), strict=True)]
+        return out
+
+
+def away_from_home(page: Page, logits: list[float]) -> list[bool]:
+    """Whether a text is outside of article and main, on a page whose main text is within them."""
+    texts = page.texts()
+    good = [(t.words, t.home) for t, x in zip(texts, logits, strict=True) if x > 0]
     held = Counter()
-    for score, block, home in tokens:
-        held[home] += score if block >= 0 else 0.0
-    has_home = any(held[tag] > 0 and held[tag] >= share * held.total() for tag, share in HOME.items())
-    first, last = best_run([-s if has_home and b >= 0 and not home else s for s, b, home in tokens])
-    chosen = {t[1] for t in tokens[first:last] if t[1] >= 0}
-    # A text that began before the run or goes on after it belongs to the run's block all the same.
-    texts = (" ".join("".join(parts[b]).split()) for b in sorted(chosen))
-    return [t for t in texts if t]
+    for n, home in good:
+        held[home] += n
+    has_home = any(held[tag] > 0 and held[tag] >= share * held.total() for tag, share in HOMES.items())
+    return [has_home and not t.home for t in texts]
+
 
+def best_run(scores: list[float], gap: float = math.inf) -> list[tuple[int, int]]:
+    """The contiguous run with the highest positive sum, as the bounds of its parts.
 
-def best_run(scores: list[float]) -> tuple[int, int]:
-    """The bounds of the contiguous run with the highest positive sum; (0, 0) if none has one."""
-    best, bounds, total, start = 0.0, (0, 0), 0.0, 0
+    One scan from left to right. Stretches may be left out of the run at a cost of ``gap`` each; with
+    an infinite cost the run has one part. There is no part if no sum is positive.
+    """
+    inside, outside = -math.inf, -math.inf  # the best run that ends here, and one whose gap is open here
+    came, best, end = bytearray(len(scores)), 0.0, -1  # how a run got here: 0 began, 1 went on, 2 after a gap; 4: this gap went on
     for i, s in enumerate(scores):
-        if total <= 0:
-            total, start = 0.0, i
-        total += s
-        if total > best:
-            best, bounds = total, (start, i + 1)
-    return bounds
+        opened = inside - gap
+        after = max(0.0, inside, outside)
+        came[i] = 0 if after == 0.0 else 1 if after == inside else 2
+        if outside >= opened:
+            came[i] |= 4
+        outside = max(outside, opened)
+        inside = after + s
+        if inside > best:
+            best, end = inside, i
+    parts = []
+    while end >= 0:
+        last = end
+        while came[end] & 3 == 1:
+            end -= 1
+        parts.append((end, last + 1))
+        if came[end] & 3 == 0:
+            break
+        end -= 1  # within the gap that ends here
+        while came[end] & 4:
+            end -= 1
+        end -= 1
+    return parts[::-1]
+
+
+def scored(page: Page, weights: Weights) -> list[float]:
+    """The score of every token; the texts of one block share the mean of their log odds."""
+    odds, sums, words = weights.logits(page), {}, Counter()
+    for t, x in zip(page.texts(), odds, strict=True):
+        words[t.block] += t.words
+        sums[t.block] = sums.get(t.block, 0.0) + t.words * x
+    of = {b: min(weights.most, max(weights.least, x / words[b])) for b, x in sums.items()}
+    return [-weights.cost(t) if isinstance(t, str) else t.words * of[t.block] for t in page.tokens]
+
+
+def chosen(page: Page, weights: Weights) -> list[int]:
+    """The blocks of the best run."""
+    parts = best_run(scored(page, weights), weights.gap)
+    return sorted({t.block for first, last in parts for t in page.tokens[first:last] if isinstance(t, Text)})
 
 
 def main_text(page: str | None, weights: Weights) -> str:
-    return "\n\n".join(blocks(page, weights)) if page else ""
-
-
-# Labelled pages: small hand-made layouts, each once with every piece of furniture listed.
-_FURNITURE = """
-<nav><ul><li><a>Home</a></li><li><a>News</a></li></ul></nav>
-<nav class="navbar navigation"><ul class="menu"><li class="item"><a>One</a></li></ul></nav>
-<div id="menu" role="navigation"><ul><li><a>Shop</a></li></ul></div>
-<header role="banner" class="masthead"><div class="logo branding"><a>Site</a></div></header>
-<header id="header" class="topbar"><a>Log in</a></header>
-<footer><p>Copyright</p></footer>
-<footer id="footer" role="contentinfo" class="copyright colophon"><a>Imprint</a></footer>
-<aside><h3>Related</h3><ul><li><a>More</a></li></ul></aside>
-<aside class="sidebar widget" role="complementary"><p>About us</p></aside>
-<div id="sidebar" class="rail"><div class="widget"><a>Tags</a></div></div>
-<div class="ad">Buy now</div><div class="ads advert">Buy two</div>
-<div class="advertisement sponsored"><p>Offer</p></div><div class="promo banner"><a>Win</a></div>
-<div id="cookie" class="cookie consent notice"><p>We use cookies</p><button>Accept</button></div>
-<div class="cookies gdpr alert popup modal overlay"><p>Settings</p></div>
-<form><label>Search</label><input><button>Go</button></form>
-<form class="newsletter subscribe signup search login"><label>Mail</label><select><option>a</option></select></form>
-<div class="newsletter subscribe signup"><p>Letters</p></div>
-<section id="comments" class="comments"><div class="comment reply"><p>First!</p></div></section>
-<div id="disqus" class="discussion responses"><ul><li class="comment"><p>Me too</p></li></ul></div>
-<div class="share social sharing"><a>Share</a></div><div class="related recommended"><a>Read on</a></div>
-<div class="breadcrumb breadcrumbs pagination pager"><a>Up</a></div><div class="skip"><a>Skip</a></div>
-""".strip().split("\n")
-_MAIN = """
-<article><h1>Title</h1><p>One <b>two</b> three.</p><p>Four <i>five</i><br> six.</p></article>
-<main id="content" class="content"><h1>Title</h1><p>Words <a>linked</a> here.</p><ul><li>point</li><li>point</li></ul></main>
-<div class="post entry article body text story"><h2>Part</h2><p>Text <em>of</em> it.</p><blockquote><p>Said.</p></blockquote></div>
-<section class="content post"><h3>Small</h3><p>Text <strong>of</strong> it <span>all</span>.</p><ol><li>a</li></ol></section>
-<article><header><h1>Title</h1></header><p>Text</p><figure><figcaption>Seen</figcaption></figure><table><tr><td>x</td></tr></table><pre><code>y</code></pre></article>
-<div><p>Plain <u>text</u>.</p><p>More.</p><dl><dt>t</dt><dd>d</dd></dl><div><p>Deep.</p></div></div>
-""".strip().split("\n")
-LABELLED_PAGES = [f"<html><body>{f}<gold>{m}</gold>{_FURNITURE[-1 - i]}</body></html>" for m in _MAIN for i, f in enumerate(_FURNITURE)]
+    if not page:
+        return ""
+    known = read_page(page)
+    # A text that began before the run or goes on after it belongs to the run's block all the same.
+    texts = (" ".join("".join(known.parts[b]).split()) for b in chosen(known, weights))
+    return "\n\n".join(t for t in texts if t)
+
+
+# Fitting.
+
+
+def fit(pages: list[str], ridge: float = 0.3, rounds: int = 25) -> Weights:
+    """Weights from pages in which ``<!--main-->`` and ``<!--other-->`` mark the main text and what is not of it.
+
+    Each page is also read with its long paragraphs moved from the main text into the rest, so
+    that length alone does not settle what is what.
+    """
+    known = [read_page(p) for p in [*pages, *map(swapped, pages)]]
+    gold = np.array([t.gold for p in known for t in p.texts()], float)
+    size = np.array([min(t.words, 30) / max(1, len(p.texts())) for p in known for t in p.texts()])
+    size *= len(size) / size.sum()
+    rows = [[*t.around, *shaped] for p in known for t, shaped in zip(p.texts(), shape(p), strict=True)]
+    tags = _tag_costs(known)
+    first = _weights(_regress(rows, gold, size, ridge, rounds), tags)
+    away = [a for p in known for a in away_from_home(p, first.logits(p))]
+    words = _regress([r + ["away from home"] * a for r, a in zip(rows, away, strict=True)], gold, size, ridge, rounds)
+    return _weights(words, tags)
+
+
+def _weights(words: dict[str, float], tags: dict[str, float]) -> Weights:
+    return Weights({f: w for f, w in words.items() if f}, tags, words[""])
+
+
+def swapped(page: str, long: str = LONG, short: str = SHORT) -> str:
+    """A labelled page with short sentences for long paragraphs, and long ones in what is not its main text."""
+    out, inside = [], False
+    for piece in re.split(r"(<!--/?(?:main|other)-->)", page):
+        if piece.startswith("<!--"):
+            inside = piece in ("<!--main-->", "<!--/other-->")
+        for p in PARAGRAPHS if inside else ():
+            piece = piece.replace(p, short)
+        out.append(piece if inside else re.sub(r"</p>", f" {long}</p>", piece))
+    return "".join(out)
+
+
+def _regress(rows: list[list[str]], gold: np.ndarray, size: np.ndarray, ridge: float, rounds: int) -> dict[str, float]:
+    """Logistic regression by Newton's method.
+
+    Each weight is drawn towards a share of what the feature says taken alone, so that a word seen on few
+    pages counts even if others explain them; the constant, named "", is drawn towards one.
+    """
+    names = sorted({f for r in rows for f in r})
+    at = {f: i + 1 for i, f in enumerate(names)}
+    x = np.zeros((len(rows), len(names) + 1))
+    x[:, 0] = 1
+    for k, r in enumerate(rows):
+        x[k, [at[f] for f in r]] = 1
+    main, other = (np.minimum(1, size[gold == k]) @ x[gold == k] for k in (1, 0))
+    goal = PRIOR * np.log((main + 0.5) / (other + 0.5) * other[0] / main[0])
+    goal[0] = 1
+    goal[[at[f] for f in names if f.startswith(("shape", "place"))]] = 0
+    scale = np.array([1.0, *(3.0 if f.startswith(("shape", "place")) else 1.0 for f in names)]) * ridge * len(rows) / 100
+    w = goal.copy()
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (size * (p - gold)) + scale * (w - goal)
+        bend = (x * (size * p * (1 - p))[:, None]).T @ x + np.diag(scale)
+        step = np.linalg.solve(bend, slope)
+        w -= step * min(1.0, 3 / max(1e-9, np.abs(step).max()))
+    return dict(zip(["", *names], w.tolist(), strict=True))
+
+
+def _tag_costs(pages: list[Page]) -> dict[str, float]:
+    """How much more often a tag stood outside a main text, as log odds shared out over its words."""
+    seen: dict[str, Counter[bool]] = {}
+    for page in pages:
+        inside = False
+        for t in page.tokens:
+            if isinstance(t, Text):
+                inside = t.gold
+            else:
+                seen.setdefault(t, Counter())[inside] += 1
+    return {t: 0.2 * math.log((c[False] + 1) / (c[True] + 1)) for t, c in seen.items()}
+
+
+@cache
+def fitted() -> Weights:
+    """The weights of the labelled pages, fitted once in a process that asks."""
+    return fit(PAGES)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text", n_chars: str = "n_chars", weights: Weights | None = None) -> DataFrame:
     """Every row with the main text of its page and the text's number of code points."""
-    known = weights or learn(LABELLED_PAGES)
+    known = weights or fitted()
 
     def one(page: str | None) -> tuple[str, int]:
         found = main_text(page, known)
