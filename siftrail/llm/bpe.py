@@ -7,7 +7,8 @@ once against the pairs known to hold; and only words with a failing pair are mer
 
 Edge cases: a null or empty text has no tokens and decodes to the empty string. Special tokens in
 a text become their own ids, as the vocabulary file says. Repeated rows are encoded one by one,
-very long texts whole, a slice at a time, and the other columns pass through.
+very long texts whole; the other columns pass through, and those named as an output are replaced. Equal
+texts have equal ids. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,35 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+# Letters and numbers that Unicode 16 added, which the library's patterns know, and the lower
+# case forms of letters that Unicode 16 and 17 added, which it applies, as first and last and the way down.
+ADDED_LETTERS = "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E 11390-113B5 113B7-113B7 113D1-113D1 113D3-113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF-18CFF 1E5D0-1E5ED 1E5F0-1E5F0"
+ADDED_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+ADDED_LOWER = "1C89-1C89+1 A7CB-A7CB-A567 A7CC-A7CC+1 A7CE-A7CE+1 A7D2-A7D2+1 A7D4-A7D4+1 A7DA-A7DA+1 A7DC-A7DC-A641 10D50-10D65+20 16EA0-16EB8+1B"
+
+
+@cache
+def newer_characters() -> tuple[re.Pattern, str, dict[int, int]]:
+    """What Unicode added after 15.1, Python's own version: a quick pattern for texts that may have it, the ranges that are letters
+    or numbers to the pattern module but not yet to the library, and the lower case forms to apply."""
+    spans = [[int(x, 16) for x in r.split("-")] for r in f"{ADDED_LETTERS} {ADDED_NUMBERS}".split()]
+    added = {c for a, b in spans for c in range(a, b + 1)}
+    found = regex.compile(r"(\w+)-(\w+)([+-]\w+)").findall(ADDED_LOWER)
+    lower = {c: c + int(by, 16) for a, b, by in found for c in range(int(a, 16), int(b, 16) + 1)}
+    known = regex.compile(r"[\p{L}\p{N}]")
+    codes = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn" and known.match(chr(c))]
+    rare = re.compile(f"[{_within([c for c in [*codes, *lower] if c < 0x10000])}\\U00010000-\\U0010FFFF]")
+    return rare, _within([c for c in codes if c not in added]), lower
+
+
+def _within(codes: list[int]) -> str:
+    """The inside of a character class that holds ``codes``."""
+    codes = sorted(set(codes)) or [0x10FFFF]
+    first = [c for c, before in zip(codes, [-2, *codes], strict=False) if c != before + 1]
+    last = [c for c, after in zip(codes, [*codes[1:], -2], strict=True) if c != after - 1]
+    return "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in zip(first, last, strict=True))
+
+
 class WordBpe:
     """A byte-level BPE vocabulary with word ends, read from its JSON file."""
 
@@ -51,7 +83,10 @@ class WordBpe:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names |= {i: t for t, i in self.specials.items()}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
-        self.words = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
+        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.words = regex.compile(pattern)
+        self.newer, within, self.newer_lower = newer_characters()
+        self.words_of_newer = regex.compile(pattern.replace(r"\p{L}", rf"[\p{{L}}--[{within}]]").replace(r"\p{N}", rf"[\p{{N}}--[{within}]]"), regex.V1)
         letters = byte_letters()
         self.letters = [letters[b] for b in range(256)]
         self.inner_ids = [self.ids[x] for x in self.letters]
@@ -65,6 +100,7 @@ class WordBpe:
         self.bad = np.empty(0, np.int64)
         self.cache: dict[str | int, Word] = {t: (1, str(t), name) for name, t in self.specials.items()}
         self.cached_words = cached_words
+        self._new: dict[bool, list[int]] = {True: [], False: []}
 
     # Exact merging, for pairs seen for the first time and for words whose guess failed.
 
@@ -150,8 +186,6 @@ class WordBpe:
         self._new = {True: [], False: []}
         return _in_sorted(keys, self.good)
 
-    _new: dict[bool, list[int]] = {True: [], False: []}
-
     def learn(self, words: list[str]) -> None:
         """Put the encodings of new words into the cache."""
         raws = [w.encode("utf-8") for w in words]
@@ -181,7 +215,10 @@ class WordBpe:
             elif part:
                 plain = unicodedata.normalize("NFC", part)
                 plain = plain.replace("Σ", "σ").lower() if "Σ" in plain else plain.lower()
-                yield from self.words.findall(plain)
+                if not plain.isascii() and self.newer.search(plain):
+                    yield from self.words_of_newer.findall(plain.translate(self.newer_lower))
+                else:
+                    yield from self.words.findall(plain)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[list[Word]]:
         """For each text, its words' counts, ids and tokens."""

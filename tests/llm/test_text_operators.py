@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -183,11 +184,35 @@ def test_encoding_equals_the_library(library, spark, sf_dir):
         assert " ".join(w[2] for w in words) == library.decode(ids, skip_special_tokens=False) == own.decode(ids)
 
 
-def test_every_letter_case_and_number(library):
+def test_every_code_point(library):
     own = bpe.WordBpe(queries.word_vocabulary())
-    texts = [f"a{chr(c)}b" for c in range(0x20, 0x2000) if chr(c).isprintable()]
-    for text, words, want in zip(texts, own.encode(texts), library.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert [int(t) for w in words for t in w[1].split()] == want.ids, hex(ord(text[1]))
+    codes = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(codes), 50_000):
+        texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1" for c in codes[at : at + 50_000]]
+        for text, words, want in zip(texts, own.encode(texts), library.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert [int(t) for w in words for t in w[1].split()] == want.ids, hex(ord(text[1]))
+
+
+def test_two_vocabularies_in_one_process(tmp_path):
+    letters = list(bpe.byte_letters().values())
+    vocab = {t: i for i, t in enumerate([*letters, *[x + "</w>" for x in letters], "ab", "cd</w>", "bc", "bcd</w>"])}
+    for name, merges in (("one", ["a b", "c d</w>"]), ("two", ["b c", "bc d</w>"])):
+        spec = {"model": {"end_of_word_suffix": "</w>", "vocab": vocab, "merges": merges}, "added_tokens": [], "pre_tokenizer": {"pretokenizers": [{"type": "Split", "pattern": {"Regex": r"[\p{L}]+"}}]}}
+        (tmp_path / name).write_text(json.dumps(spec))
+    one, two = (bpe.WordBpe(str(tmp_path / name)) for name in ("one", "two"))
+    for coder, want in ((one, ["ab", "cd</w>"]), (two, ["a", "bcd</w>"]), (one, ["ab", "cd</w>"])):
+        assert [coder.names[t] for t in coder.token_ids("abcd")] == want
+        assert coder.token_ids("abcd") == coder.merged(coder.symbols(b"abcd"))
+
+
+def test_query_equals_the_library(library, spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {}
+    for k, t in texts.items():
+        ids = library.encode(t, add_special_tokens=False).ids
+        want[k] = (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+    assert {r["doc_id"]: tuple(r)[1:] for r in queries.op7_bpe_round_trip(spark, sf_dir).collect()} == want
 
 
 def test_pair_checks_decide(library):
