@@ -1,16 +1,21 @@
 """WARC archives: written as one gzip member for each record, read back by byte ranges.
 
 A reading task is given a file and a range of bytes. It scans the range for the gzip magic, takes
-a place for the start of a record only if what unpacks there is a WARC header, the whole member
-unpacks with a right checksum, and another member or the end of the file follows; it owns the
-records that start inside its range and reads the last one to its end, past the range if need be.
-The first record of a range is believed only if the next few behind it are no dead end, as those of
-an archive that lies unpacked within a record are.
+a place for the start of a record only if what unpacks there is a WARC record with a right checksum and
+length, and owns the records that start inside its range; the last one is read to its end, past the
+range if need be. The first record of a range is believed if a few more follow it without a break; if
+not, the records before it decide. What is damaged costs itself alone, and is given as a row of its own.
+
+Archives of others are read as well: any record type and record id, digests in hex or base 32, several
+records in a member, and files that are not packed (``.warc``), by their version lines.
 
 Edge cases: null payloads are stored as empty ones. Payloads of fewer than ``least`` bytes are
 always responses. Rows that repeat the smallest id of their payload are responses too; a row
 without an id revisits the smallest id there is, or is a response if there is none. An empty table
-gives an empty archive and no rows. What is no record, or a damaged one, is passed over.
+gives an empty archive and no rows; an empty file has no records. Very large records are read in time
+linear in their length, and one is held at a time. Columns besides the id and the payload are not kept.
+An archive that lies unpacked within a record, more than four records long, can deceive a range that
+begins within it; UTF-8 text cannot, as it never contains the gzip magic.
 """
 
 from __future__ import annotations
@@ -32,8 +37,11 @@ from siftrail.llm.common import col, new_path, small_batches, written
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha256": 32, "sha512": 64}
+PLAIN_MAGIC = b"WARC/"
 WHEN = "2024-01-01T00:00:00Z"
-CHUNK = 1 << 20
+NAME = "urn:page:"
+CHUNK, HEAD_BYTES = 1 << 20, 1 << 20
 
 
 def mark_revisits(pages: DataFrame, key: str, payload: str, least: int = 100) -> DataFrame:
@@ -71,12 +79,7 @@ def record(key: int | None, payload: bytes, digest: str, first: int | None) -> b
 
 
 def _name(key: int | None) -> str:
-    return "urn:page:none" if key is None else f"urn:page:{key}"
-
-
-def _key(name: str | None) -> int | None:
-    last = (name or "").strip("<>").rpartition(":")[2]
-    return int(last) if last not in ("", "none") else None
+    return NAME + ("none" if key is None else str(key))
 
 
 def gzip_member(data: bytes, level: int = 6) -> bytes:
@@ -115,7 +118,7 @@ class _Window:
     """A file's bytes, read forward and kept only as far back as they are needed."""
 
     def __init__(self, file: pa.NativeFile, start: int) -> None:
-        self.file, self.start, self.data, self.ended = file, start, b"", False
+        self.file, self.start, self.data, self.ended = file, start, bytearray(), False
         file.seek(start)
 
     def more(self) -> bool:
@@ -124,94 +127,187 @@ class _Window:
         self.data += got
         return bool(got)
 
+    def reaches(self, upto: int) -> bool:
+        """Whether the file has the bytes before ``upto``; they are read if so."""
+        while self.start + len(self.data) < upto:
+            if not self.more():
+                return False
+        return True
+
+    def piece(self, at: int, upto: int) -> bytes:
+        return bytes(self.data[at - self.start : upto - self.start])
+
     def drop(self, upto: int) -> None:
-        self.data, self.start = self.data[upto - self.start :], upto
+        n = min(upto - self.start, len(self.data))
+        del self.data[:n]
+        self.start += n
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int, bool] | None:
-    """The member that starts at ``at``, the place behind it, and whether a member or the end follows.
+def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
+    """The gzip member that starts at ``at``, unpacked, and the place behind it; None if it is no intact WARC record.
 
-    None if it is no intact WARC record.
+    Its checksum and length hold, its header can be read and its block is as long as that says.
     """
-    unpacker, out, pos, checked = zlib.decompressobj(31), bytearray(), at - window.start, False
-    while True:
-        if pos >= len(window.data) and not window.more():
+    unpacker, out, pos, checked = zlib.decompressobj(31), bytearray(), at, False
+    while not unpacker.eof:
+        if not window.reaches(pos + 1):
             return None
-        piece = window.data[pos : pos + (CHUNK if checked else 4096)]
+        piece = window.piece(pos, pos + (CHUNK if checked else 4096))
         try:
             out += unpacker.decompress(piece)
         except zlib.error:
             return None
-        if not checked and len(out) >= 5:
-            if not out.startswith(b"WARC/"):
+        if not checked and len(out) >= len(PLAIN_MAGIC):
+            if not out.startswith(PLAIN_MAGIC):
                 return None
             checked = True
         pos += len(piece) - len(unpacker.unused_data)
-        if unpacker.eof:
-            break
-    if not checked or b"\r\n\r\n" not in out:
+    return (bytes(out), pos) if next(records_of(out), None) else None
+
+
+def _plain(window: _Window, at: int) -> tuple[bytes, int] | None:
+    """The same of a record that is not packed: two line ends or the end of the file must follow its block."""
+    window.reaches(at + HEAD_BYTES)
+    end = window.data.find(b"\r\n\r\n", at - window.start, at - window.start + HEAD_BYTES)
+    length = _length(header(window.piece(at, window.start + end))) if end >= 0 else None
+    if length is None:
+        return None
+    stop = window.start + end + 4 + length
+    if not window.reaches(stop):
         return None
-    end = window.start + pos
-    while len(window.data) - pos < len(MAGIC) and window.more():
-        pass
-    follows = window.data[pos : pos + len(MAGIC)]
-    return bytes(out), end, not follows or follows == MAGIC[: len(follows)]
+    window.reaches(stop + 4)
+    tail = window.piece(stop, stop + 4)
+    return (window.piece(at, stop), stop + len(tail)) if tail in (b"", b"\r\n\r\n") else None
 
 
-def _is_dead_end(window: _Window, at: int, ahead: int = 4) -> bool:
-    """Whether the intact members from ``at`` on soon run into bytes that are no member."""
+def _next(window: _Window, at: int, plain: bool, limit: int | None = None) -> tuple[int, bytes, int] | None:
+    """The next intact record at or behind ``at`` and before ``limit``: its place, bytes, and the place behind it."""
+    magic, read = (PLAIN_MAGIC, _plain) if plain else (MAGIC, _member)
+    while True:
+        window.drop(at)
+        place = window.data.find(magic, at - window.start)
+        if place < 0:
+            at = max(at, window.start + len(window.data) - len(magic) + 1)
+            if limit is not None and at >= limit or not window.more():
+                return None
+            continue
+        at = window.start + place
+        if limit is not None and at >= limit:
+            return None
+        found = read(window, at)
+        if found:
+            return at, *found
+        at += 1
+
+
+def _leads_on(window: _Window, at: int, plain: bool, ahead: int = 4) -> bool:
+    """Whether the bytes at ``at`` are the end of the file, or a few intact records one behind the other."""
     for _ in range(ahead):
-        found = _member(window, at)
+        if not window.reaches(at + 1):
+            return True
+        found = (_plain if plain else _member)(window, at)
         if found is None:
             return False
-        if not found[2]:
-            return True
         at = found[1]
-    return False
+    return True
+
 
+def _first(file: pa.NativeFile, start: int, end: int, plain: bool) -> int | None:
+    """The place of the first record of the archive itself that begins in [start, end).
 
-def read_range(file: pa.NativeFile, start: int, end: int) -> Iterator[bytes]:
-    """The unpacked records that start in [start, end) of a file."""
+    What looks like one may lie within another record, as those of a stored archive do, or stand right
+    before damage: then nothing tells them apart but the records before. They are walked through from
+    further and further back, from the file's beginning at worst.
+    """
+    if start == 0:
+        return 0
     window = _Window(file, start)
-    at, believed = start, start == 0
-    while at < end:
-        place = window.data.find(MAGIC, at - window.start)
-        if place < 0:
-            at = max(at, window.start + len(window.data) - len(MAGIC) + 1)
-            if not window.more():
-                return
-            window.drop(max(window.start, min(at, window.start + len(window.data))))
-            continue
-        at = window.start + place
-        if at >= end:
+    found = _next(window, start, plain, end)
+    if found is None or _leads_on(window, found[2], plain):
+        return found[0] if found else None
+    back = max(end - start, CHUNK)
+    while True:
+        begin = max(0, start - back)
+        window = _Window(file, begin)
+        found = _next(window, begin, plain)
+        if begin == 0 or found and _leads_on(window, found[2], plain):
+            while found and found[0] < start:
+                found = _next(window, found[2], plain)
+            return found[0] if found and found[0] < end else None
+        back *= 2
+
+
+def read_range(file: pa.NativeFile, start: int, end: int, plain: bool = False) -> Iterator[tuple[int, int, bytes | None]]:
+    """(place, place behind, bytes) of the records that start in [start, end) of a file, in order.
+
+    Bytes that are no record are given too, as None, by the range that owns the record before them or
+    by the first range.
+    """
+    at = _first(file, start, end, plain)
+    if at is None:
+        return
+    window = _Window(file, at)
+    while True:
+        found = _next(window, at, plain)
+        stop = found[0] if found else window.start + len(window.data)
+        if stop > at:
+            yield at, stop, None
+        if found is None or stop >= end:
             return
-        found = _member(window, at)
-        if found is None or not found[2] or not believed and _is_dead_end(window, found[1]):
-            at += 1
+        yield found[0], found[2], found[1]
+        at = found[2]
+
+
+def header(data: bytes | bytearray) -> dict[str, str]:
+    """The fields of a record's header, with names in lower case; folded lines are joined."""
+    fields: dict[str, str] = {}
+    last = ""
+    for line in bytes(data).decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            fields[last] += " " + line.strip()
             continue
-        believed = True
-        yield found[0]
-        at = found[1]
-        window.drop(at)
+        name, colon, value = line.partition(":")
+        if colon:
+            last = name.strip().lower()
+            fields[last] = value.strip()
+    return fields
+
+
+def _length(fields: dict[str, str]) -> int | None:
+    value = fields.get("content-length", "")
+    return int(value) if value.isascii() and value.isdigit() and "warc-type" in fields else None
+
+
+def records_of(data: bytes | bytearray) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header, block) of the records in what one member holds; some writers put several into one."""
+    at = 0
+    while data.startswith(PLAIN_MAGIC, at):
+        end = data.find(b"\r\n\r\n", at)
+        fields = header(data[at:end]) if end >= 0 else {}
+        length = _length(fields)
+        if length is None or end + 4 + length > len(data):
+            return
+        at = end + 4 + length
+        yield fields, bytes(data[end + 4 : at])
+        while data[at : at + 2] == b"\r\n":
+            at += 2
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """A record's header fields, in lower case, and its block."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    fields = {}
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
-        name, _, value = line.partition(":")
-        fields[name.strip().lower()] = value.strip()
-    return fields, rest[: int(fields.get("content-length", 0))]
+ROW = "record_id string, record_type string, target_uri string, date string, payload_bytes bigint, payload_digest string, refers_to string, payload binary, path string, start bigint, bytes bigint"
 
 
 def read_archives(archives: DataFrame, split_bytes: int = 16 << 20, parallel: int | None = None) -> DataFrame:
-    """The records of (path, length) archives, read in ranges of ``split_bytes``."""
+    """The records of (path, length) archives, read in ranges of ``split_bytes``.
+
+    ``start`` and ``bytes`` are the place and the stored length of a record. A stretch of bytes that is
+    no intact record is a row with these and no record type. A payload is what follows the HTTP header of
+    a response or request, and the block of any other record; revisits have none, and give the
+    payload's length and digest as their headers have them.
+    """
     spark = archives.sparkSession
     small_batches(spark)
-    ranges = archives.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint"))).alias("start"))
+    ranges = archives.where("length > 0").select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint"))).alias("start"))
     parallel = parallel or max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    schema = "key bigint, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,46 +316,63 @@ def read_archives(archives: DataFrame, split_bytes: int = 16 << 20, parallel: in
                 with files.open_input_file(base) as file:
                     held: list[tuple] = []
                     size = 0
-                    for data in read_range(file, start, start + split_bytes):
-                        held.append(_row(data))
-                        size += len(data)
+                    for place, stop, data in read_range(file, start, start + split_bytes, base.endswith(".warc")):
+                        where = (path, place, stop - place)
+                        if data is None:
+                            held.append((*[None] * 8, *where))
+                            continue
+                        for fields, block in records_of(data):
+                            held.append((*_row(fields, block), *where))
+                            size += len(block)
                         if len(held) >= 512 or size > 8 << 20:
                             yield _batch(held)
                             held, size = [], 0
                     if held:
                         yield _batch(held)
 
-    return ranges.repartition(parallel, "path", "start").mapInArrow(run, schema)
+    return ranges.repartition(parallel, "path", "start").mapInArrow(run, ROW)
 
 
 def _files(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def _row(data: bytes) -> tuple:
-    fields, block = parse(data)
-    http, _, payload = block.partition(b"\r\n\r\n")
-    kind, key, refers = fields.get("warc-type"), _key(fields.get("warc-record-id")), fields.get("warc-refers-to")
+def _row(fields: dict[str, str], block: bytes) -> tuple:
+    kind = fields["warc-type"].lower()
+    http, payload = b"", block
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+    plain = [fields.get("warc-record-id", "").strip("<>") or None, kind, fields.get("warc-target-uri", "").strip("<>") or None, fields.get("warc-date")]
     if kind == "revisit":
-        named = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
-        return key, kind, int(named["Content-Length"]), _hex(fields["warc-payload-digest"]), _key(refers), None
-    return key, kind, len(payload), hashlib.sha256(payload).hexdigest(), None, payload
+        size = header(http).get("content-length", "")
+        return *plain, int(size) if size.isascii() and size.isdigit() else None, _hex(fields.get("warc-payload-digest")), fields.get("warc-refers-to", "").strip("<>") or None, None
+    return *plain, len(payload), hashlib.sha256(payload).hexdigest(), None, payload
 
 
-def _hex(digest: str) -> str:
-    """The bare hex form of a labelled digest, which archives also write in base 32."""
-    label, _, value = digest.rpartition(":")
-    return value.lower() if label != "sha1" else base64.b32decode(value).hex()
+def _hex(digest: str | None) -> str | None:
+    """The bare hex form of a labelled digest, which archives write in hex or in base 32."""
+    label, _, value = (digest or "").rpartition(":")
+    size = DIGEST_BYTES.get(label.lower())
+    if not value:
+        return None
+    if size and len(value) == -(-size * 8 // 5) or size and len(value.rstrip("=")) == -(-size * 8 // 5):
+        try:
+            value = value.rstrip("=").upper()
+            return base64.b32decode(value + "=" * (-len(value) % 8)).hex()
+        except ValueError:
+            return None
+    return value.lower()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-    names = ["key", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+    kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split(" ")[0] for f in ROW.split(", ")])
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, key: str = "page_id", payload: str = "html", least: int = 100, split_bytes: int = 16 << 20) -> DataFrame:
-    """Archive every row in the shared folder and read the archives back."""
+    """Archive every row in the shared folder and read the archives back, with ``key`` and ``refers_to`` as ids again."""
     where = new_path(spark, "warc")
-    archives = write_archives(mark_revisits(pages, key, payload, least), where)
-    return read_archives(archives, split_bytes)
+    read = read_archives(write_archives(mark_revisits(pages, key, payload, least), where), split_bytes)
+    ids = {name: F.regexp_extract(name, f"^{NAME}(-?[0-9]+)$", 1) for name in ("record_id", "refers_to")}
+    ids = {name: F.when(x != "", x).cast("bigint") for name, x in ids.items()}
+    return read.where("record_type IS NOT NULL").select(ids["record_id"].alias("key"), "record_type", "payload_bytes", "payload_digest", ids["refers_to"].alias("refers_to"), "payload")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import dataclasses
 import datetime
 import gzip
@@ -13,6 +14,7 @@ import os
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -171,20 +173,86 @@ def test_ranges_own_what_starts_inside(tmp_path):
         keys = []
         with fs.LocalFileSystem().open_input_file(str(path)) as f:
             for start in range(0, size, step) if step > 1 else [0]:
-                keys += [warc._row(d)[0] for d in warc.read_range(f, start, start + step if step > 1 else size)]
+                keys += keys_in(warc.read_range(f, start, start + step if step > 1 else size))
         assert keys == list(range(30)), step
     with gzip.open(io.BytesIO(b"".join(members))) as g:  # any gzip reader can read the whole
         assert g.read().count(b"WARC/1.1") >= 30
 
 
-def test_damaged_members_are_passed_over(tmp_path):
-    good = [warc.gzip_member(warc.record(i, b"p" * 300, "d", None)) for i in range(3)]
-    cut = bytearray(good[1])
-    cut[len(cut) // 2] ^= 255
-    path = tmp_path / "b.warc.gz"
-    path.write_bytes(good[0] + bytes(cut) + good[2])
+def keys_in(found):
+    return [int(fields["warc-record-id"].strip("<>").split(":")[-1]) for _, _, data in found if data for fields, _ in warc.records_of(data)]
+
+
+@pytest.mark.parametrize("step", [150, 1 << 20])
+def test_damage_costs_the_damaged_record_alone(tmp_path, step):
+    good = [warc.gzip_member(warc.record(i, bytes([65 + i]) * 300, "d", None)) for i in range(5)]
+    path, size = tmp_path / "b.warc.gz", sum(map(len, good))
+    for at in range(len(good[2])):
+        hurt = bytearray(good[2])
+        hurt[at] ^= 255
+        path.write_bytes(b"".join([*good[:2], bytes(hurt), *good[3:]]))
+        keys, lost = [], 0
+        with fs.LocalFileSystem().open_input_file(str(path)) as f:
+            for start in range(0, size, step):
+                found = list(warc.read_range(f, start, start + step))
+                keys += keys_in(found)
+                lost += sum(stop - place for place, stop, data in found if data is None)
+        if keys != list(range(5)):  # a few header bytes, as the time, mean nothing
+            assert (keys, lost) == ([0, 1, 3, 4], len(good[2])), at
+        else:
+            assert at in (4, 5, 6, 7, 8, 9) and lost == 0
+
+
+@pytest.mark.parametrize("step", [200, 1 << 20])
+def test_junk_around_records(spark, tmp_path, step):
+    good = [warc.gzip_member(warc.record(i, b"p" * 300, "d", None)) for i in range(4)]
+    path = tmp_path / "c.warc.gz"
+    path.write_bytes(b"head" + good[0] + b"\x1f\x8b\x08 junk" + good[1] + good[2] + good[3] + b"tail" * 200)
+    (tmp_path / "empty.warc.gz").write_bytes(b"")
+    listed = spark.createDataFrame([(f"file://{path}", path.stat().st_size), (str(tmp_path / "empty.warc.gz"), 0)], "path string, length long")
+    rows = warc.read_archives(listed, step).collect()
+    assert sorted(r["record_id"] for r in rows if r["record_type"]) == [f"urn:page:{i}" for i in range(4)]
+    assert sum(r["bytes"] for r in rows if not r["record_type"]) == 4 + 8 + 800 and sum(r["bytes"] for r in rows) == path.stat().st_size
+
+
+def foreign(kind, block, *more):
+    head = [f"WARC-Type: {kind}", *more, f"Content-Length: {len(block)}"]
+    return b"WARC/1.0\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+FOREIGN = [
+    foreign("warcinfo", b"software: x\r\n", "WARC-Record-ID: <urn:uuid:1>", "Content-Type: application/warc-fields"),
+    foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "WARC-Record-ID: <urn:uuid:2>", "Content-Type: application/http;msgtype=request", "WARC-Target-URI: http://a/"),
+    foreign("response", b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n" + b"\xff\x1f\x8b\x08 body\r\n\r\n" * 9, "warc-record-id: <urn:uuid:3>", "Content-Type: application/http; msgtype=response", "WARC-Target-URI: <http://a/>", "X-Long: one", " two"),
+    foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", "WARC-Record-ID: <urn:uuid:4>", "Content-Type: application/http", "WARC-Payload-Digest: sha1:3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ", "WARC-Refers-To: <urn:uuid:3>"),
+    foreign("metadata", b"", "WARC-Record-ID: <urn:uuid:5>"),
+    foreign("resource", b"WARC/1.0\r\nno record", "WARC-Record-ID: <urn:uuid:6>"),
+]
+
+
+@pytest.mark.parametrize("name", ["a.warc", "a.warc.gz", "b.warc.gz"])
+@pytest.mark.parametrize("step", [300, 1 << 20])
+def test_archives_of_others(spark, tmp_path, name, step):
+    path = tmp_path / name
+    if name == "b.warc.gz":  # one member for all
+        path.write_bytes(gzip.compress(b"".join(FOREIGN)))
+    else:
+        path.write_bytes(b"".join(FOREIGN if name == "a.warc" else map(gzip.compress, FOREIGN)))
+    listed = spark.createDataFrame([(str(path), path.stat().st_size)], "path string, length long")
+    rows = sorted(warc.read_archives(listed, step).collect(), key=lambda r: r["record_id"])
+    assert [(r["record_id"][-1], r["record_type"]) for r in rows] == list(zip("123456", ["warcinfo", "request", "response", "revisit", "metadata", "resource"], strict=True))
+    assert [r["target_uri"] for r in rows] == [None, "http://a/", "http://a/", None, None, None]
+    assert rows[2]["payload"] == b"\xff\x1f\x8b\x08 body\r\n\r\n" * 9 and rows[0]["payload"] == b"software: x\r\n" and rows[4]["payload"] == b""
+    assert rows[3]["payload_digest"] == base64.b32decode("3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ").hex() and rows[3]["refers_to"] == "urn:uuid:3" and rows[3]["payload_bytes"] is None
+
+
+def test_large_records_take_linear_time(tmp_path):
+    path = tmp_path / "d.warc.gz"
+    path.write_bytes(warc.gzip_member(warc.record(1, os.urandom(100 << 20), "d", None), level=0) + warc.gzip_member(warc.record(2, b"x", "d", None)))
+    before = time.process_time()
     with fs.LocalFileSystem().open_input_file(str(path)) as f:
-        assert [warc._row(d)[0] for d in warc.read_range(f, 0, path.stat().st_size)] == [0, 2]
+        assert keys_in(warc.read_range(f, 0, 1 << 40)) == [1, 2]
+    assert time.process_time() - before < 10
 
 
 # HTML.
