@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from siftrail.llm.common import col, pa_type, small_batches
+from siftrail.llm.common import col, map_batches, pa_type
 
 Word = tuple[int, str, str]
 
@@ -279,8 +279,7 @@ def encode_decode(docs: DataFrame, vocabulary: Callable[[], str], text: str = "t
                 columns[2].append(sha(back) if digests else back)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, k) for c, k in zip(columns, arrow, strict=True)]], names=schema.names)
 
-    small_batches(docs.sparkSession)
-    return frame.mapInArrow(run, schema).toDF(*kept, *[name for name, _ in added])
+    return map_batches(frame, run, schema).toDF(*kept, *[name for name, _ in added])
 
 
 _LOADED: dict[str, WordBpe] = {}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -20,11 +22,14 @@ _WRITTEN: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as a URI.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset, as in tests on one machine, a temporary folder is made and remembered there.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset and all
+    runs on one machine, as in tests, a temporary folder is made and remembered there.
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and the executors of {master} share")
         where = "file://" + tempfile.mkdtemp(prefix="siftrail-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -50,10 +55,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def _drop_written() -> None:
     spark = SparkSession.getActiveSession()
-    if spark is None or spark.sparkContext._jsc is None:
-        return
     for path in list(_WRITTEN):
-        drop_path(spark, path)
+        if spark is not None and spark.sparkContext._jsc is not None:
+            drop_path(spark, path)
+        elif path.startswith("file:"):  # the session was stopped first
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -63,11 +69,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Hand Python at most ``rows`` texts and 32 MB at a time, so long documents stay in bounds."""
-    importable(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)
+def map_batches(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType, rows: int = 256) -> DataFrame:
+    """``df.mapInArrow`` with at most ``rows`` rows at a time.
+
+    Spark bounds the bytes of a batch; this bounds what a function unpacks at once, whatever the
+    session's own Arrow settings are.
+    """
+    importable(df.sparkSession)
+
+    def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
+    return df.mapInArrow(sliced, schema)
 
 
 def free_name(df: DataFrame, stem: str) -> str:
@@ -117,8 +130,7 @@ def add_columns(df: DataFrame, text: str, make: Callable[[], Callable[[str | Non
             more = [pa.array([g[i] for g in got], t) for i, t in enumerate(arrow_types)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *[f"n{i}" for i in range(len(more))]])
 
-    small_batches(df.sparkSession)
-    out = frame.mapInArrow(run, schema).toDF(*kept[:at], "__text" if drop_text else text, *kept[at + 1 :], *[name for name, _ in added])
+    out = map_batches(frame, run, schema).toDF(*kept[:at], "__text" if drop_text else text, *kept[at + 1 :], *[name for name, _ in added])
     return out.drop("__text") if drop_text else out
 
 

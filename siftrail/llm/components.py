@@ -8,8 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftrail.functions.session import importable
-from siftrail.llm.common import drop_path, new_path, written
+from siftrail.llm.common import col, drop_path, free_name, map_batches, new_path, written
 
 
 def _forest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,9 +48,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     to the shared folder, so a lost executor costs one step at most.
     """
     spark = edges.sparkSession
-    importable(spark)
     now = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    now, path = written(now.mapInArrow(_forest, "u bigint, v bigint"), "forest"), None
+    now, path = written(map_batches(now, _forest, "u bigint, v bigint", 10_000), "forest"), None
     while True:
         for star in (_large, _small):
             new, least = new_path(spark, "stars"), new_path(spark, "least")
@@ -92,3 +90,21 @@ def _small(edges: DataFrame, path: str) -> DataFrame:
     least = _least(down, F.min("v"), path)
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+
+
+def first_of_each(rows: DataFrame, roots: DataFrame, mark: str, doc_id: str) -> DataFrame:
+    """One of the written ``rows`` for each root of (mark, root): the one with the smallest id.
+
+    Ids that are null come last; among rows of one id the smallest hash of the row decides. A row is
+    known by its file and its place there, so the choice is made without the rows themselves.
+    """
+    file, at = free_name(rows, "row_file"), free_name(rows, "row_at")
+    spot = rows.metadataColumn("_metadata")
+    rows = rows.withColumns({file: spot["file_name"], at: spot["row_index"]})
+    plain = [col(c) for c, kind in rows.dtypes if not kind.startswith(("map", "variant")) and c not in (file, at)]
+    place = F.struct(col(doc_id).isNull().alias("none"), col(doc_id).alias("id"), F.xxhash64(*plain).alias("hash"), col(file).alias("file"), col(at).alias("at"))
+    firsts = rows.select(col(mark).alias("mark"), place.alias("place")).groupBy("mark").agg(F.min("place").alias("place"))
+    best = firsts.join(roots, "mark").groupBy("root").agg(F.min("place").alias("place"))
+    best = written(best.select(F.col("place.file").alias("best_file"), F.col("place.at").alias("best_at")), "firsts")
+    kept = rows.join(best, (rows[file] == best["best_file"]) & (rows[at] == best["best_at"]), "left_semi")
+    return kept.drop(file, at)

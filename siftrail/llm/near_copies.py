@@ -1,23 +1,27 @@
-"""Near copies by the share of five-word shingles they have in common, verified exactly.
+"""Near copies by SimHash, verified by the share of five-word shingles they have in common.
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word shingles is 0.8 or
-more. Candidates come from MinHash: 24 bands of five minima each, so two texts of similarity 0.8
-share a band with probability 0.99993, of 0.9 with all but certainty. Each candidate is verified by
-the shingles themselves. Near copies of near copies are one group.
+more; near copies of near copies are one group. Candidates come from ``simhash``: every distinct text
+has two 64-bit fingerprints, one of its distinct words and one of its distinct five-word shingles, and
+texts may be near copies if they differ in at most 14 and 18 bits of them. Both fingerprints are cut
+into segments of 23, 23 and 18 bits and decoded to Golay codeword indices; pairs of segments are the
+keys. Candidates are linked along trees, so a large group costs no more than its members.
 
-Texts of the same words are one node, so exact copies cost nothing. A band that few texts share gives
-all of its pairs. Of a band that many share, the smallest is compared with all others first; then
-only texts that are not connected by that are compared pair by pair, if their sizes allow it.
+What the trees connect is a bucket. The texts of a bucket are brought together and compared by their
+sets of shingles, in blocks of bounded size, two blocks at a time; texts that are connected already are
+not compared again. So what is linked is verified, and what candidates do not connect is not found:
+the README gives the measured recall.
 
 Edge cases: words lie between ASCII white space, and A-Z count as a-z. Texts with fewer than five
 words have their whole sequence as one shingle. Null texts and those without words are one group.
-Rows without an id stay only if no row of their group has one. Other columns pass through.
+Texts of the same words are one, so exact copies cost nothing. Rows without an id stay only if no row of
+their group has one; of rows with the smallest id the one whose row hash is least stays. Very long texts
+are read whole. Other columns pass through, whatever their names. An empty table stays empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import add_columns, col, free_name, small_batches, written
-from siftrail.llm.components import components
-from siftrail.llm.decontaminate import ODD, WORDS, _Hashes
+from siftrail.llm.common import add_columns, col, free_name, map_batches, written
+from siftrail.llm.components import components, first_of_each
+from siftrail.llm.simhash import SEGMENTS, Rule, links, majority, word_keys
 
-BANDS, ROWS = 24, 5
-FACTORS, FLIPS = (np.array([xxhash.xxh64_intdigest(f"{what} {k}".encode()) for k in range(BANDS * ROWS)], np.uint64) for what in ("factor", "flip"))
-FACTORS |= np.uint64(1)
-SHORT_RUN = 8
+SIZE = 5
+MOST_WORDS, MOST_SHINGLES = 14, 18
+ODD = np.int64(0x5851F42D4C957F2D)
 PAIR = "u bigint, v bigint"
 
 
@@ -40,158 +43,127 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").lower().split()  # bytes: ASCII letters and white space only
 
 
-def shingles(text: str | None) -> frozenset[bytes]:
+def shingles(text: str | None) -> set[bytes]:
     found = words(text)
-    if len(found) <= WORDS:
-        return frozenset([b" ".join(found)] if found else [])
-    return frozenset(map(b" ".join, zip(*[found[i:] for i in range(WORDS)], strict=False)))
+    if len(found) <= SIZE:
+        return {b" ".join(found)} if found else set()
+    return set(map(b" ".join, zip(*[found[i:] for i in range(SIZE)], strict=False)))
 
 
-def similarity(a: frozenset[bytes], b: frozenset[bytes]) -> float:
+def similarity(a: set[bytes], b: set[bytes]) -> float:
     both = len(a & b)
     return both / (len(a) + len(b) - both) if a or b else 1.0
 
 
-def _sketch() -> Callable[[str | None], tuple[int, int, list[int]]]:
-    """From a text to its mark, its number of distinct shingles and its band keys."""
-    hashes = _Hashes()
-
-    def one(text: str | None) -> tuple[int, int, list[int]]:
-        found = words(text)
-        joined = b" ".join(found)
-        mark = np.uint64(xxhash.xxh64_intdigest(joined)).astype(np.int64)
-        if not found:
-            return int(mark), 0, []
-        h = hashes.shingles(joined.decode("utf-8").split(" ")) if len(found) >= WORDS else np.array([xxhash.xxh64_intdigest(joined)], np.uint64)
-        h = np.unique(h)
-        least = np.full(BANDS * ROWS, ~np.uint64(0))
-        for at in range(0, len(h), 256):
-            part = (h[at : at + 256][None, :] ^ FLIPS[:, None]) * FACTORS[:, None]
-            np.minimum(least, part.min(axis=1), out=least)
-        keys = (least.reshape(BANDS, ROWS) * ODD[:ROWS]).sum(axis=1, dtype=np.uint64) ^ FLIPS[:BANDS]
-        keys = (keys ^ (keys >> np.uint64(29))) * ODD[0]
-        return int(mark), len(h), keys.view(np.int64).tolist()
-
-    return one
-
-
-def _candidates(threshold: float, short_run: int):  # noqa: ANN202
-    """Over (key, root, mark, n) sorted by key and n: pairs of different roots whose sizes allow it.
-
-    Short runs give all such pairs. Longer ones, if ``short_run`` is not zero, are only compared
-    with their smallest mark and are given back as (key, mark, n) to be looked at again.
-    """
-
-    def out(u: np.ndarray, v: np.ndarray, key: np.ndarray | None = None, n: np.ndarray | None = None) -> pa.RecordBatch:
-        rest = [pa.nulls(len(u), pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (key, n)]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v), pa.int64()), pa.array(np.maximum(u, v), pa.int64()), *rest], names=["u", "v", "key", "n"])
-
-    def pairs(roots: np.ndarray, marks: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if (roots == roots[0]).all():
-            return
-        ends = np.searchsorted(sizes, np.floor(sizes / threshold + 1e-6), "right")
-        us, vs, held = [], [], 0
-        for i, end in enumerate(ends.tolist()):
-            v = marks[i + 1 : end][roots[i + 1 : end] != roots[i]]
-            if len(v):
-                us.append(np.full(len(v), marks[i]))
-                vs.append(v)
-                held += len(v)
-            if held > 50_000:
-                yield out(np.concatenate(us), np.concatenate(vs))
-                us, vs, held = [], [], 0
-        if held:
-            yield out(np.concatenate(us), np.concatenate(vs))
-
-    def finished(keys: np.ndarray, roots: np.ndarray, marks: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        lengths = np.diff(np.append(starts, len(keys)))
-        small = []
-        for k in np.flatnonzero(lengths > 1).tolist():
-            run = slice(starts[k], starts[k] + lengths[k])
-            if short_run and lengths[k] > short_run:
-                m, n = marks[run], sizes[run]
-                top = int(m.argmin())
-                near = (np.minimum(n, n[top]) >= threshold * np.maximum(n, n[top]) - 1e-6) & (m != m[top])
-                if near.any():
-                    yield out(np.full(int(near.sum()), m[top]), m[near])
-                yield out(m, m, keys[run], n)
-            else:
-                for batch in pairs(roots[run], marks[run], sizes[run]):
-                    small.append(batch)
-                    if batch.num_rows > 1000 or len(small) > 1000:
-                        yield from pa.Table.from_batches(small).combine_chunks().to_batches()
-                        small = []
-        if small:
-            yield from pa.Table.from_batches(small).combine_chunks().to_batches()
+def pair_keys(fps: np.ndarray, first_kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of two segments' codeword indices each, and the places of the fingerprints they belong to."""
+    bits = np.ascontiguousarray(fps).view(np.uint64)
+    keys = [word_keys((((bits >> np.uint64(a)) & np.uint64((1 << n) - 1)) << np.uint64(up)).astype(np.int64)) for a, n, up in SEGMENTS]
+    many = [k[:, 1] != k[:, 0] for k in keys]
+    all_keys, owners = [], []
+    for kind, (a, b) in enumerate(((0, 1), (0, 2), (1, 2)), first_kind):
+        for i in range(6):
+            for j in range(6):
+                has = np.flatnonzero((many[a] | (i == 0)) & (many[b] | (j == 0)))
+                all_keys.append(kind << 24 | keys[a][has, i] << 12 | keys[b][has, j])
+                owners.append(has)
+    return np.concatenate(all_keys), np.concatenate(owners)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 4
-        for batch in batches:
-            held = [np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64)]) for i, h in enumerate(held)]
-            if len(held[0]) < 50_000:
-                continue
-            cut = int(np.searchsorted(held[0], held[0][-1]))
-            if cut:
-                yield from finished(*[h[:cut] for h in held])
-                held = [h[cut:] for h in held]
-        if len(held[0]):
-            yield from finished(*held)
 
-    return run
+def two_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found = [pair_keys(fps[:, i], 3 * i) for i in (0, 1)]
+    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+
+
+def two_ids(fps: np.ndarray) -> np.ndarray:
+    """One number for two fingerprints; texts that share it share a bucket and are told apart there."""
+    mixed = (fps[:, 0] ^ (fps[:, 0].view(np.uint64) >> np.uint64(29)).view(np.int64)) * ODD + fps[:, 1]
+    return mixed ^ (mixed.view(np.uint64) >> np.uint64(32)).view(np.int64)
+
+
+TWO_PRINTS = Rule((MOST_WORDS, MOST_SHINGLES), two_keys, lambda fps: two_ids(np.ascontiguousarray(fps)))
+
+
+def sketch(text: str | None) -> tuple[int, int, int, int, int]:
+    """The mark of a text's words, its two fingerprints, their id, and its number of distinct shingles."""
+    found = words(text)
+    hashed = xxhash.xxh64_intdigest
+    parts = shingles(text)
+    fps = np.array([[majority([hashed(w) for w in set(found)]), majority([hashed(s) for s in parts])]], np.int64)
+    mark = int(np.uint64(hashed(b" ".join(found))).astype(np.int64))
+    return mark, int(fps[0, 0]), int(fps[0, 1]), int(two_ids(fps)[0]), len(parts)
 
 
 def _verify(threshold: float):  # noqa: ANN202
+    """Over (pair, mark, side, text) sorted by pair: links that connect the near copies of each pair of blocks."""
+
+    def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+    def near(marks: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        order = sorted(range(len(marks)), key=lambda i: (len(sets[i]), marks[i]))
+        root = list(range(len(marks)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        found = []
+        for at, i in enumerate(order):
+            top = len(sets[i]) / threshold + 1e-9
+            for j in order[at + 1 :]:
+                if len(sets[j]) > top:
+                    break
+                if find(i) == find(j):
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both >= threshold * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+                    root[find(i)] = find(j)
+                    found.append((marks[i], marks[j]))
+        return found
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lru_cache(32)(shingles)
+        pair, marks, sets, found = None, [], [], []
         for batch in batches:
-            u, v, a, b = (c.to_pylist() for c in batch.columns)
-            good = [k for k in range(len(u)) if similarity(known(a[k]), known(b[k])) >= threshold - 1e-9]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for k in good], pa.int64()) for x in (u, v)], names=["u", "v"])
+            for key, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if key != pair:
+                    found += near(marks, sets)
+                    pair, marks, sets = key, [], []
+                    if len(found) > 10_000:
+                        yield out(found)
+                        found = []
+                marks.append(mark)
+                sets.append(np.unique(np.array([xxhash.xxh64_intdigest(s) for s in shingles(text)], np.uint64)))
+        found += near(marks, sets)
+        if found:
+            yield out(found)
 
     return run
 
 
-def similar(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Those of the (u, v) pairs of marks whose texts, in (mark, text), are similar enough."""
-    small_batches(pairs.sparkSession)
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("mark")).distinct()
-    held = written(texts.join(wanted, "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text")), "candidates")
-    both = pairs.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v").select("u", "v", "a", "b")
-    return written(both.mapInArrow(_verify(threshold), PAIR), "links")
-
-
-def links(marked: DataFrame, threshold: float = 0.8, short_run: int = SHORT_RUN) -> DataFrame:
-    """Links (u, v) between marks that connect all near copies among (mark, n, keys, text) rows."""
-    spark = marked.sparkSession
-    small_batches(spark, 20_000)
-    kind = f"{PAIR}, key bigint, n bigint"
-    texts = marked.select("mark", "text")
-    own = marked.select("mark", F.col("n").cast("bigint").alias("n"), "keys").dropDuplicates(["mark"])
-    keyed = own.select(F.explode("keys").alias("key"), F.col("mark").alias("root"), "mark", "n").repartition("key").sortWithinPartitions("key", "n")
-    found = written(keyed.mapInArrow(_candidates(threshold, short_run), kind), "pairs")
-    first = written(found.where("key IS NULL").select("u", "v").distinct(), "pairs")
-    near = similar(first, texts, threshold)
-    aside = found.where("key IS NOT NULL").select("key", F.col("u").alias("mark"), "n")
-    if aside.isEmpty():
-        return near
-    roots = components(near).select(F.col("node").alias("mark"), "root")
-    again = aside.join(roots, "mark", "left").select("key", F.coalesce("root", "mark").alias("root"), "mark", "n")
-    small_batches(spark, 20_000)
-    rest = again.repartition("key").sortWithinPartitions("key", "n").mapInArrow(_candidates(threshold, 0), kind).select("u", "v").distinct()
-    left = written(rest.join(first, ["u", "v"], "left_anti"), "pairs")
-    return near.unionByName(similar(left, texts, threshold))
-
-
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, short_run: int = SHORT_RUN) -> DataFrame:
+def near_links(marked: DataFrame, threshold: float = 0.8, block_shingles: int = 2_000_000, **sizes: int) -> DataFrame:
+    """Links (u, v) between marks that connect near copies among written (mark, f0, f1, id, n, text) rows."""
+    prints = marked.select("f0", "f1").distinct()
+    buckets = components(links(prints, TWO_PRINTS, **sizes)).select(F.col("node").alias("id"), "root")
+    texts = marked.groupBy("id", "mark").agg(F.min("n").cast("bigint").alias("n"))
+    members = written(texts.join(buckets, "id", "left").select("mark", "n", F.coalesce("root", "id").alias("root")), "members")
+    several = members.groupBy("root").agg(F.count("*").alias("rows"), F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks")).where("rows > 1")
+    dealt = members.join(written(several, "buckets"), "root").withColumn("own", F.pmod(F.xxhash64("mark"), F.greatest("blocks", F.lit(1))).cast("int"))
+    pairs = F.expr("transform(sequence(0, greatest(blocks, 1) - 1), i -> struct(root, least(i, own) AS lo, greatest(i, own) AS hi))")
+    dealt = written(dealt.select("mark", F.explode(pairs).alias("pair")).select("mark", F.xxhash64("pair").alias("pair")), "pairs")
+    wanted = dealt.select("mark").distinct()
+    one = marked.select("mark", "text").join(wanted, "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
+    both = dealt.join(written(one, "texts"), "mark").select("pair", "mark", "text")
+    return map_batches(both.repartition("pair").sortWithinPartitions("pair"), _verify(threshold), PAIR)
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, **sizes: int) -> DataFrame:
     """``docs`` with one document of each group of near copies: the one with the smallest id."""
-    names = [free_name(docs, n) for n in ("mark", "n", "keys")]
-    marked = written(add_columns(docs, text, _sketch, list(zip(names, ("bigint", "int", "array<bigint>"), strict=True))), "marks")
-    mark = names[0]
-    found = links(marked.select(*[col(x).alias(n) for x, n in zip([*names, text], ("mark", "n", "keys", "text"), strict=True)]), threshold, short_run)
-    firsts = marked.select(col(mark).alias("node"), col(doc_id).alias("id")).groupBy("node").agg(F.min("id").alias("first"))
-    named = firsts.join(components(found), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("id"))
-    classes = named.select("node", "root").join(least, "root").toDF("class_root", "class_mark", "class_id")
-    kept = marked.join(classes, marked[mark] == classes["class_mark"]).where(marked[doc_id].eqNullSafe(classes["class_id"]))
-    return kept.dropDuplicates(["class_root"]).select(*[marked[c] for c in docs.columns])
+    added = {n: free_name(docs, n) for n in ("mark", "f0", "f1", "id", "n")}
+    marked = written(add_columns(docs, text, lambda: sketch, [(name, "bigint") for name in added.values()]), "marks")
+    plain = marked.select(*[col(name).alias(n) for n, name in added.items()], col(text).alias("text"))
+    found = components(near_links(plain, threshold, **sizes)).select(F.col("node").alias("mark"), "root")
+    roots = plain.select("mark").distinct().join(found, "mark", "left").select("mark", F.coalesce("root", "mark").alias("root"))
+    return first_of_each(marked, roots, added["mark"], doc_id).select(*[col(c) for c in docs.columns])

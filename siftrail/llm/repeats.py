@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import col, small_batches, written
+from siftrail.llm.common import col, map_batches, written
 
 LENGTH, GRAM = 100, 16
 LETTERS = np.random.default_rng(20_240_101).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -238,15 +238,12 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     spark = docs.sparkSession
     rows = _keyed(docs, doc_id, text)
     long = rows.where(F.octet_length("text") >= length)
-    small_batches(spark)
-    parsed = long.mapInArrow(_phrase_rows(length, gram), "trigger bigint, phrase bigint, doc bigint, place bigint, later boolean")
+    parsed = map_batches(long, _phrase_rows(length, gram), "trigger bigint, phrase bigint, doc bigint, place bigint, later boolean")
     deal = F.when(F.col("later"), F.xxhash64("doc", "place")).otherwise(F.col("trigger"))
     order = ["trigger", "phrase", "doc", "place"]
     kind = "trigger bigint, doc bigint, place bigint, runs int, open boolean"
-    small_batches(spark, 4096)
-    first = written(parsed.repartition(deal).sortWithinPartitions(*order).mapInArrow(_repeated, kind), "phrases")
+    first = written(map_batches(parsed.repartition(deal).sortWithinPartitions(*order), _repeated, kind, 4096), "phrases")
     _free(spark)
-    small_batches(spark)
     place = [F.shiftright("place", 32).alias("mark"), F.expr("cast(place & 4294967295 AS int)").alias("lo")]
     wanted = first.where("open").select("doc", *place, "trigger", "runs")
     wanted = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("trigger", "lo", "runs")).alias("wanted"))

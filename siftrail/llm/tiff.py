@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from siftrail.llm.common import add_columns, col, small_batches
+from siftrail.llm.common import add_columns, col, map_batches
 
 # Fixed values of the format: tag numbers, field type sizes, compression schemes.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
@@ -371,8 +371,7 @@ def pages(df: DataFrame, media: str = "media", keys: list[str] | None = None) ->
                 except TiffError as e:
                     yield _one(kind, [*rest, n, *[None] * 7, str(e)])
 
-    small_batches(df.sparkSession)
-    return frame.mapInArrow(run, schema).toDF(*keys, *schema.names[len(keys) :])
+    return map_batches(frame, run, schema, 16).toDF(*keys, *schema.names[len(keys) :])
 
 
 def _one(kind: pa.Schema, values: list) -> pa.RecordBatch:

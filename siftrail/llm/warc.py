@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import col, new_path, small_batches, written
+from siftrail.llm.common import col, map_batches, new_path, written
 
 # Fixed values of the formats.
 MAGIC = b"\x1f\x8b\x08"
@@ -93,7 +93,6 @@ def write_archives(marked: DataFrame, where: str) -> DataFrame:
     A task writes under a name of its own and hands the name on when the file is closed, so
     files of tasks that were lost or run twice are never read. The list is a written table.
     """
-    small_batches(marked.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = fs.FileSystem.from_uri(where)
@@ -111,7 +110,7 @@ def write_archives(marked: DataFrame, where: str) -> DataFrame:
         else:
             files.delete_file(name)
 
-    return written(marked.mapInArrow(run, "path string, length bigint, records bigint"), "warc-list")
+    return written(map_batches(marked, run, "path string, length bigint, records bigint"), "warc-list")
 
 
 class _Window:
@@ -305,7 +304,6 @@ def read_archives(archives: DataFrame, split_bytes: int = 16 << 20, parallel: in
     payload's length and digest as their headers have them.
     """
     spark = archives.sparkSession
-    small_batches(spark)
     ranges = archives.where("length > 0").select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint"))).alias("start"))
     parallel = parallel or max(spark.sparkContext.defaultParallelism * 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -330,7 +328,7 @@ def read_archives(archives: DataFrame, split_bytes: int = 16 << 20, parallel: in
                     if held:
                         yield _batch(held)
 
-    return ranges.repartition(parallel, "path", "start").mapInArrow(run, ROW)
+    return map_batches(ranges.repartition(parallel, "path", "start"), run, ROW)
 
 
 def _files(path: str) -> tuple[fs.FileSystem, str]:
