@@ -119,7 +119,8 @@ ORACLE_SQL: dict[str, str] = {
         WITH lines AS (SELECT DISTINCT doc_id, source, trim(unnest(string_split(text, chr(10)))) AS line FROM documents),
         counts AS (SELECT source, line, count(*) AS n FROM lines WHERE line != '' AND source IS NOT NULL GROUP BY ALL),
         totals AS (SELECT source, count(*) AS total FROM documents GROUP BY ALL),
-        bad AS (SELECT source, list(line) AS bad FROM counts JOIN totals USING (source) WHERE n >= 10 AND n > total * 0.1 GROUP BY ALL),
+        bad AS (SELECT source, list(line) AS bad FROM counts JOIN totals USING (source)
+                WHERE n > 1 AND n > total * 0.05 + 3 * sqrt(total * 0.05 * 0.95) GROUP BY ALL),
         parts AS (SELECT doc_id, d.source, string_split(text, chr(10)) AS parts, coalesce(bad, []) AS bad
                   FROM documents d LEFT JOIN bad ON d.source = bad.source),
         kept AS (SELECT *, list_filter(parts, lambda x: NOT list_contains(bad, trim(x))) AS kept FROM parts)

@@ -103,11 +103,17 @@ def test_lines(spark):
     assert out.columns == [*df.columns, "n", "d"]
 
 
-def test_lines_at_the_bounds(spark):
-    rows = [(i, "often" if i < 10 else f"x{i}", "en", "a", 1) for i in range(100)]
-    assert line_dedup.drop_boilerplate(docs(spark, rows)).where("text = 'often'").count() == 10  # exactly a tenth stays
-    assert line_dedup.drop_boilerplate(docs(spark, rows[:90])).where("text = 'often'").count() == 0
-    assert line_dedup.drop_boilerplate(docs(spark, rows[:9])).where("text = 'often'").count() == 9  # too few pages
+@pytest.mark.parametrize(("pages", "least"), [(2, 2), (3, 2), (6, 2), (7, 3), (20, 4), (100, 12), (400, 34)])
+def test_lines_at_the_bounds(spark, pages, least):
+    """``least`` is the first number of pages above pages / 20 and three deviations of a line with that share."""
+    for n, stays in ((least - 1, least - 1), (least, 0)):
+        rows = [(i, "often" if i < n else f"x{i}", "en", "a", 1) for i in range(pages)]
+        assert line_dedup.drop_boilerplate(docs(spark, rows)).where("text = 'often'").count() == stays
+
+
+def test_single_pages_keep_their_lines(spark):
+    df = docs(spark, [(i, f"line of {i}\nshared by all", "en", f"site{i}", 1) for i in range(30)])
+    assert {r["text"] for r in line_dedup.drop_boilerplate(df).collect()} == {f"line of {i}\nshared by all" for i in range(30)}
     assert line_dedup.drop_boilerplate(docs(spark, [])).count() == 0
 
 
