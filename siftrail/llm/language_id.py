@@ -6,8 +6,10 @@ its longest known character n-grams, position by position, from ``max_n`` down t
 Edge cases: a null text, or one without a letter, gives ``und`` with score 0; so does every
 text if nothing could be learned. Equal scores go to the language that sorts first. Rows
 without a language or an id teach nothing; rows without an id count as not held out.
-Repeated rows are scored one by one, and other columns pass through untouched. A run of letters
-without spaces counts as one word however long it is, and all of it is read, in blocks.
+Repeated rows are scored one by one, and other columns pass through untouched; those named as an
+output are replaced. A run of letters without spaces counts as one word however long it is, and all of
+it is read, in blocks; very long texts are read whole, a slice at a time. An empty table stays empty.
+The score is the share of belief in the language, the evidence of n words counted as the root of n.
 """
 
 from __future__ import annotations
@@ -18,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import add_columns, col, free_name, slices
+from siftrail.llm.common import add_columns, col, free_name, slices, written
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 UNKNOWN = "und"
@@ -41,7 +43,6 @@ class LanguageModel:
     grams: dict[str, int]
     gram_scores: np.ndarray
     max_n: int
-    weight_cap: int = 25
 
     def __post_init__(self) -> None:
         known, width = len(self.words), max(1, len(self.langs))
@@ -110,7 +111,7 @@ class LanguageModel:
                 self._learn(unseen)
             times = np.fromiter((counts[w] for w in part), np.float64, len(part))
             total += times @ self._table[[self._rows[w] for w in part]]
-        odds = total / n * min(n, self.weight_cap)
+        odds = total / np.sqrt(n)
         odds = np.exp(odds - odds.max())
         best = int(odds.argmax())
         return self.langs[best], float(odds[best] / odds.sum())
@@ -128,25 +129,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = 2000, words_per_lang: int = 20_000, max_n: int = 4) -> LanguageModel:
+def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", docs_per_lang: int = 2000, max_n: int = 4) -> LanguageModel:
     """Learn from about ``docs_per_lang`` documents of each language, chosen by a hash of the id.
 
-    At most ``words_per_lang`` words of each language reach the driver, so the model is
-    bounded by the number of languages alone.
+    All words of these documents reach the driver as counts, so the model is bounded by that sample
+    and by the number of languages, whatever the size of the table.
     """
     rows = labelled.select(col(doc_id).alias("i"), col(text).alias("t"), col(lang).alias("l")).where("i IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL").where(~held_out(F.col("i")))
-    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return build({}, max_n)
-    shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, docs_per_lang / n)])
-    sample = rows.where(F.pmod(F.xxhash64(F.col("i"), F.lit("language sample")), F.lit(1_000_003)) < F.element_at(shares, F.col("l")) * 1_000_003)
+    sizes = written(rows.groupBy("l").agg(F.count("*").alias("n")), "languages")
+    draw = F.pmod(F.xxhash64(F.col("i"), F.lit("language sample")), F.lit(1_000_003))
+    sample = rows.join(sizes, "l").where(draw < F.lit(docs_per_lang) / F.col("n") * 1_000_003)
     words = sample.select("l", F.explode(F.expr(r"regexp_extract_all(lower(t), '\\p{L}[\\p{L}\\p{M}]*', 0)")).alias("w"))
-    counts = words.groupBy("l", "w").agg(F.count("*").alias("n"))
-    place = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "w"))
-    by_lang: dict[str, dict[str, int]] = {k: {} for k in sizes}
-    for r in counts.withColumn("place", place).where(F.col("place") <= words_per_lang).collect():
+    by_lang: dict[str, dict[str, int]] = {r["l"]: {} for r in sizes.collect()}
+    for r in words.groupBy("l", "w").agg(F.count("*").alias("n")).collect():
         by_lang[r["l"]][r["w"]] = r["n"]
-    return build(by_lang, max_n)
+    return build({k: dict(sorted(found.items())) for k, found in by_lang.items()}, max_n)
 
 
 def build(by_lang: dict[str, dict[str, int]], max_n: int = 4) -> LanguageModel:
@@ -183,18 +180,18 @@ def build(by_lang: dict[str, dict[str, int]], max_n: int = 4) -> LanguageModel:
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """Every row of ``docs`` with the predicted language and its score added."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.word_scores, model.grams, model.gram_scores, model.max_n, model.weight_cap))
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.word_scores, model.grams, model.gram_scores, model.max_n))
     return add_columns(docs, text, lambda: LanguageModel(*shared.value).predict, [(pred, "string"), (score, "double")])
 
 
-def keep_identified(docs: DataFrame, least: float = 0.34, **fit_options: int) -> DataFrame:
-    """``docs`` without the rows that are in no language that can be told.
+def keep_identified(docs: DataFrame, least: float = 0.34, lang: str = "lang", **fit_options: int) -> DataFrame:
+    """``docs`` without the rows that are in no language that can be told; ``lang`` is the language told.
 
     A row goes if its text is null or has no letter, or if no language has more than about
-    a third of the belief. The columns stay as they were.
+    a third of the belief. The columns stay as they were but for ``lang``, which takes the prediction.
     """
-    model = fit(docs, **fit_options)
+    model = fit(docs, lang=lang, **fit_options)
     pred = free_name(docs, "lang_pred")
     score = free_name(docs, "score")
     scored = identify(docs, model, pred=pred, score=score)
-    return scored.where((col(pred) != UNKNOWN) & (col(score) >= least)).select(*[col(c) for c in docs.columns])
+    return scored.where((col(pred) != UNKNOWN) & (col(score) >= least)).select(*[col(pred).alias(c) if c == lang else col(c) for c in docs.columns])
