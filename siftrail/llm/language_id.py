@@ -14,7 +14,7 @@ The score is the share of belief in the language, the evidence of n words counte
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -141,41 +141,46 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
     sample = rows.join(sizes, "l").where(draw < F.lit(docs_per_lang) / F.col("n") * 1_000_003)
     words = sample.select("l", F.explode(F.expr(r"regexp_extract_all(lower(t), '\\p{L}[\\p{L}\\p{M}]*', 0)")).alias("w"))
     by_lang: dict[str, dict[str, int]] = {r["l"]: {} for r in sizes.collect()}
-    for r in words.groupBy("l", "w").agg(F.count("*").alias("n")).collect():
-        by_lang[r["l"]][r["w"]] = r["n"]
+    counts = words.groupBy("l", "w").agg(F.count("*").alias("n")).toArrow()
+    for part in counts.to_batches(10_000):
+        for lang_, word, n in zip(*[c.to_pylist() for c in part.columns], strict=True):
+            by_lang[lang_][word] = n
     return build({k: dict(sorted(found.items())) for k, found in by_lang.items()}, max_n)
 
 
-def build(by_lang: dict[str, dict[str, int]], max_n: int = 4) -> LanguageModel:
-    """A model from word counts of each language."""
+def build(by_lang: dict[str, dict[str, int]], max_n: int = 4, least: int = 2) -> LanguageModel:
+    """A model from word counts of each language.
+
+    A word is known if it was seen ``least`` times in all; one that was seen once says no more than its
+    n-grams do, which are learned from every word.
+    """
     langs = sorted(by_lang)
-    words, grams = defaultdict(dict), defaultdict(dict)
+    totals = Counter()
+    grams: list[dict[str, list[int]]] = [{} for _ in range(max_n + 1)]
     for k, lang in enumerate(langs):
-        known = by_lang[lang]
-        for word, n in known.items():
-            words[word][k] = n
+        for word, n in by_lang[lang].items():
+            totals[word] += n
             for padded, places in blocks(word, max_n):
                 for size in range(1, max_n + 1):
+                    of_size = grams[size]
                     for at in range(min(places, len(padded) - size + 1)):
-                        g = grams[padded[at : at + size]]
-                        g[k] = g.get(k, 0) + n
-
-    def logs(table: dict[str, dict[int, int]], keys: list[str]) -> np.ndarray:
-        seen = np.zeros((len(keys), len(langs)))
-        for row, key in enumerate(keys):
-            for k, n in table[key].items():
-                seen[row, k] = n
-        sums = np.maximum(seen.sum(axis=0), 1.0)
-        scores = np.log(np.where(seen > 0, seen, 0.5) / sums)
-        return scores - scores.max(axis=1, keepdims=True) if len(keys) else scores
-
-    by_size = defaultdict(list)
-    for g in grams:
-        by_size[len(g)].append(g)
-    rows = [g for keys in by_size.values() for g in keys]
-    scores = [logs(grams, keys) for keys in by_size.values()]
-    table = np.concatenate(scores) if scores else np.zeros((0, len(langs)))
-    return LanguageModel(langs, {w: i for i, w in enumerate(words)}, logs(words, list(words)), {g: i for i, g in enumerate(rows)}, table, max_n)
+                        gram = padded[at : at + size]
+                        seen = of_size.get(gram)
+                        if seen is None:
+                            seen = of_size[gram] = [0] * len(langs)
+                        seen[k] += n
+    words = [w for w, n in totals.items() if n >= least]
+    sums = np.array([sum(by_lang[lang].values()) for lang in langs], float)
+
+    def logs(seen: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        scores = np.log(np.where(seen > 0, seen, 0.5) / np.maximum(sums, 1.0))
+        return scores - scores.max(axis=1, keepdims=True) if len(scores) else scores
+
+    known = np.array([[by_lang[lang].get(w, 0) for lang in langs] for w in words], float).reshape(len(words), len(langs))
+    tables = [np.array(list(g.values()), float).reshape(len(g), len(langs)) for g in grams]
+    rows = [g for of_size in grams for g in of_size]
+    scores = np.concatenate([logs(t, t.sum(axis=0)) for t in tables])
+    return LanguageModel(langs, {w: i for i, w in enumerate(words)}, logs(known, sums), {g: i for i, g in enumerate(rows)}, scores, max_n)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

@@ -64,9 +64,8 @@ class SlowLanguages:
         return [x - max(found) for x in found]
 
     def word(self, w):
-        known = self.logs([self.words[k] for k in self.langs], w)
-        if known:
-            return known
+        if sum(self.words[k][w] for k in self.langs) > 1:  # a word seen once is read by its n-grams
+            return self.logs([self.words[k] for k in self.langs], w)
         marked, hits = f"^{w}$", []
         for at in range(len(marked)):
             for size in range(min(4, len(marked) - at), 0, -1):

@@ -45,7 +45,7 @@ def test_nothing_learned(spark):
 def test_learning_leaves_the_held_out_fold_alone(spark):
     rows = [(i, "held" if zlib.crc32(str(i).encode()) % 4 == 2 else "seen", "en", "s", 1) for i in range(200)]
     model = language_id.fit(docs(spark, rows))
-    assert set(model.words) == {"seen"}
+    assert set(model.words) == {"seen"} and all(g in "^seen$" for g in model.grams)
     marks = docs(spark, rows).select("text", language_id.held_out(F.col("doc_id")).alias("h")).distinct().collect()
     assert {(r["text"], r["h"]) for r in marks} == {("held", True), ("seen", False)}
 
