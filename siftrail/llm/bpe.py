@@ -71,7 +71,7 @@ def _within(codes: list[int]) -> str:
 class WordBpe:
     """A byte-level BPE vocabulary with word ends, read from its JSON file."""
 
-    def __init__(self, path: str, cached_words: int = 500_000) -> None:
+    def __init__(self, path: str, cached_words: int = 150_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -93,12 +93,16 @@ class WordBpe:
         self.last_ids = [self.ids[x + self.end] for x in self.letters]
         self.inner = {t: i for t, i in self.ids.items() if not t.endswith(self.end)}
         self.final = {t[: -len(self.end)]: i for t, i in self.ids.items() if t.endswith(self.end)}
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        self.longest = max(map(len, self.final))
+        self.reach: dict[str, int] = {}  # the longest inner token that begins with these three letters
+        for t in self.inner:
+            self.reach[t[:3]] = max(len(t), self.reach.get(t[:3], 0))
         self.table = str.maketrans({chr(b): x for b, x in letters.items()})
         self.whole: dict[int, bool] = {}
         self.good = np.empty(0, np.int64)
         self.bad = np.empty(0, np.int64)
-        self.cache: dict[str | int, Word] = {t: (1, str(t), name) for name, t in self.specials.items()}
+        self.always: dict[str | int, Word] = {t: (1, str(t), name) for name, t in self.specials.items()}
+        self.cache, self.older = dict(self.always), {}  # words of late, and those before them
         self.cached_words = cached_words
         self._new: dict[bool, list[int]] = {True: [], False: []}
 
@@ -156,12 +160,12 @@ class WordBpe:
 
     def guess(self, letters: str) -> list[int]:
         """The longest token from each place on; the last one must carry the word's end."""
-        out, at, n, inner, final = [], 0, len(letters), self.inner, self.final
+        out, at, n, inner, final, reach = [], 0, len(letters), self.inner, self.final, self.reach
         while at < n:
             if n - at <= self.longest and (t := final.get(letters[at:])) is not None:
                 out.append(t)
                 return out
-            for end in range(min(n - 1, at + self.longest), at, -1):
+            for end in range(min(n - 1, at + reach.get(letters[at : at + 3], 2)), at, -1):
                 if (t := inner.get(letters[at:end])) is not None:
                     out.append(t)
                     at = end
@@ -224,11 +228,13 @@ class WordBpe:
         """For each text, its words' counts, ids and tokens."""
         split = [list(self.pieces(t)) if t else [] for t in texts]
         distinct: set[str | int] = set().union(*split)
-        new = [w for w in distinct if w not in self.cache]
+        new = distinct.difference(self.cache)
         if len(self.cache) + len(new) > self.cached_words:
-            self.cache = {t: (1, str(t), name) for name, t in self.specials.items()}
-            new = [w for w in distinct if w not in self.cache]
-        new.sort()
+            self.cache, self.older = dict(self.always), self.cache
+            new = distinct.difference(self.cache)
+        again = self.older.keys() & new
+        self.cache.update((w, self.older[w]) for w in again)
+        new = sorted(new - again)
         for at in range(0, len(new), 100_000):
             self.learn(new[at : at + 100_000])
         known = self.cache.__getitem__

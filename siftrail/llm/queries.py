@@ -10,7 +10,18 @@ from pyspark.sql import functions as F
 from siftrail.llm import bpe, decontaminate, html_text, language_id, line_dedup, repeats, simhash, tiff, url_filters, warc
 
 
+def settle(spark: SparkSession, megabytes: int = 16) -> None:
+    """Bound what Spark hands to Python at once, unless the session has a bound of its own.
+
+    The operators work with any bound; long documents take less memory with this one.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, f"{megabytes}m")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    settle(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
