@@ -156,7 +156,8 @@ def near_links(marked: DataFrame, threshold: float = 0.8, block_shingles: int =
     wanted = dealt.select("mark").distinct()
     one = marked.select("mark", "text").join(wanted, "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
     both = dealt.join(written(one, "texts"), "mark").select("pair", "mark", "text")
-    return map_batches(both.repartition("pair").sortWithinPartitions("pair"), _verify(threshold), PAIR)
+    # Written, as two Python functions in one task would keep twice as many workers alive.
+    return written(map_batches(both.repartition("pair").sortWithinPartitions("pair"), _verify(threshold), PAIR), "near")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, **sizes: int) -> DataFrame:

@@ -281,7 +281,7 @@ def links(fps: DataFrame, rule: Rule = ONE_PRINT, run_rows: int = 100_000, block
     own = aside.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64(*names), F.col("n")).cast("int"))
     dealt = own.select(*names, F.explode(F.expr("transform(sequence(0, n - 1), i -> struct(key, least(i, own) AS lo, greatest(i, own) AS hi))")).alias("pair"))
     both = dealt.select(F.xxhash64("pair").alias("key"), *names).repartition("key").sortWithinPartitions("key")
-    more = map_batches(both, _link_runs(1 << 62, rule), kind, 20_000)
+    more = written(map_batches(both, _link_runs(1 << 62, rule), kind, 20_000), "links")
     return found.where("key IS NULL").select("u", "v").unionByName(more.select("u", "v"))
 
 
