@@ -105,6 +105,6 @@ def first_of_each(rows: DataFrame, roots: DataFrame, mark: str, doc_id: str) ->
     place = F.struct(col(doc_id).isNull().alias("none"), col(doc_id).alias("id"), F.xxhash64(*plain).alias("hash"), col(file).alias("file"), col(at).alias("at"))
     firsts = rows.select(col(mark).alias("mark"), place.alias("place")).groupBy("mark").agg(F.min("place").alias("place"))
     best = firsts.join(roots, "mark").groupBy("root").agg(F.min("place").alias("place"))
-    best = written(best.select(F.col("place.file").alias("best_file"), F.col("place.at").alias("best_at")), "firsts")
+    best = written(best.select(F.col("place.file").alias("best_file"), F.col("place.at").alias("best_at")), "firsts").hint("merge")
     kept = rows.join(best, (rows[file] == best["best_file"]) & (rows[at] == best["best_at"]), "left_semi")
     return kept.drop(file, at)

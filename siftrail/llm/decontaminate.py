@@ -7,29 +7,32 @@ of its class needs to be certain: of n shingles at most (1 - threshold) n may be
 sketch of one more has a hash that every document containing the item has too. A document that has
 a hash of a sketch is a candidate, and is verified by the shingles themselves.
 
-Items are looked up in blocks of bounded size, each sent to every executor while the documents are
-read once; documents are never exchanged. A benchmark of any size only makes more blocks.
+A benchmark of bounded size is sent to every executor while the documents are read once; they are not
+exchanged. A larger one is never gathered: sketches and documents meet by hash, and candidates by text.
 
 Edge cases: words are runs of letters and digits in lower case. Items and documents that are null
 or have fewer than five words match nothing. Repeated items count once, repeated documents each.
-With an empty benchmark nothing matches. Other columns pass through.
+With an empty benchmark nothing matches. Very long texts are read whole. Other columns pass through;
+one that is named as the output, in whatever letter case, is replaced.
 """
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import add_columns, col, free_name
+from siftrail.llm.common import add_columns, col, free_name, map_batches, written
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 WORDS = 5
@@ -68,7 +71,7 @@ class _Hashes:
 
 @dataclass(frozen=True)
 class Sketches:
-    """The items of one block: their shingles, and a sorted table from sketch hashes to items."""
+    """The items: their shingles, and a sorted table from sketch hashes to items."""
 
     ids: list[int | None]
     shingles: list[frozenset[str]]
@@ -135,32 +138,90 @@ class Matcher:
         return [m for m, c in zip(out, sorted(candidates), strict=True) if m[2] >= block.needed(c)]
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> list[DataFrame]:
-    """The distinct items in parts of about ``block_words`` words."""
-    rows = items.select(col(item_id).alias("id"), col(text).alias("t")).where("t IS NOT NULL").distinct()
-    total = rows.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
-    n = max(1, math.ceil(total / block_words))
-    return [rows.where(F.pmod(F.xxhash64("id", "t"), F.lit(n)) == b) for b in range(n)] if n > 1 else [rows]
-
-
 def _one(known: Broadcast) -> Callable[[str | None], tuple]:
     match = Matcher(known.value)
     return lambda text: ([dict(zip(("item_id", "n_shingles", "n_shared"), m, strict=True)) for m in match(text)],)
 
 
-def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", matches: str = "matches", threshold: float = 0.8, block_words: int = 2_000_000) -> DataFrame:
+MATCHES = "array<struct<item_id:bigint,n_shingles:bigint,n_shared:bigint>>"
+
+
+def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", matches: str = "matches", threshold: float = 0.8, most_words: int = 2_000_000) -> DataFrame:
     """``docs`` with an array of (item_id, n_shingles, n_shared) for the items each row contains.
 
-    ``block_words`` bounds what is gathered and sent out at once; each block is one more column
-    while it is looked up, so the documents are read once for all blocks.
+    A benchmark of at most ``most_words`` words is gathered and sent to every executor, and the documents
+    are read once. A larger one is joined by the hashes of its sketches.
+    """
+    rows = items.select(col(item_id).cast("bigint").alias("id"), col(item_text).alias("t")).where("t IS NOT NULL").distinct()
+    total = rows.agg(F.sum(F.size(F.split("t", r"\s+")))).first()[0] or 0
+    kept = [c for c in docs.columns if c.lower() != matches.lower()]
+    found = free_name(docs, "__found")
+    if total > most_words:
+        out = _joined(docs, written(rows, "items"), text, found, threshold)
+    else:
+        known = docs.sparkSession.sparkContext.broadcast(sketches([(r["id"], r["t"]) for r in rows.collect()], threshold))
+        out = add_columns(docs, text, lambda: _one(known), [(found, MATCHES)])
+    return out.select(*[col(c) for c in kept], F.array_sort(col(found)).alias(matches))
+
+
+def _joined(docs: DataFrame, items: DataFrame, text: str, found: str, threshold: float) -> DataFrame:
+    """``docs`` with the matches of a benchmark of any size, in the column ``found``.
+
+    Hashes of documents meet those of sketches, and only candidates meet the texts, which verify them.
     """
-    out, names = docs, []
-    for block in _blocks(items, item_id, item_text, block_words):
-        known = docs.sparkSession.sparkContext.broadcast(sketches([(r["id"], r["t"]) for r in block.collect()], threshold))
-        names.append(free_name(out, "__found"))
-        out = add_columns(out, text, lambda known=known: _one(known), [(names[-1], "array<struct<item_id:bigint,n_shingles:bigint,n_shared:bigint>>")])
-    every = F.array_sort(F.flatten(F.array(*[col(n) for n in names])))
-    return out.select(*[col(c) for c in docs.columns if c != matches], every.alias(matches))
+    file, at = free_name(docs, "row_file"), free_name(docs, "row_at")
+    held = written(docs, "documents")
+    spot = held.metadataColumn("_metadata")
+    held = held.withColumns({file: spot["file_name"], at: spot["row_index"]})
+    own = map_batches(held.select(col(file), col(at), col(text)), _document_hashes, "file string, at bigint, hash bigint")
+    asked = written(map_batches(items, _sketch_hashes(threshold), "id bigint, t string, hash bigint"), "sketches")
+    pairs = written(own.join(asked, "hash").select("file", "at", "id", "t").distinct(), "candidates")
+    texts = held.select(col(file).alias("file"), col(at).alias("at"), col(text).alias("text"))
+    verified = map_batches(pairs.join(texts, ["file", "at"]).select("file", "at", "id", "t", "text"), _contained(threshold), "file string, at bigint, id bigint, n bigint, shared bigint", 64)
+    match = F.struct(F.col("id").alias("item_id"), F.col("n").alias("n_shingles"), F.col("shared").alias("n_shared"))
+    each = verified.groupBy("file", "at").agg(F.collect_list(match).alias("all"))
+    out = held.join(each, (held[file] == each["file"]) & (held[at] == each["at"]), "left")
+    return out.select(*[held[c] for c in docs.columns], F.coalesce(each["all"], F.array().cast(MATCHES)).alias(found))
+
+
+def _document_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = _Hashes()
+    for batch in batches:
+        for file, at, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            h = np.unique(hashes.shingles(words(text))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([file] * len(h), pa.string()), pa.array(np.full(len(h), at)), pa.array(h)], names=["file", "at", "hash"])
+
+
+def _sketch_hashes(threshold: float) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            for item, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                h = np.unique(hashes.shingles(words(text)))
+                low = h[: sketch_size(len(h), threshold)].view(np.int64) if len(h) else h.view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(low), pa.int64()), pa.array([text] * len(low), pa.string()), pa.array(low)], names=["id", "t", "hash"])
+
+    return run
+
+
+def shingles(text: str | None) -> frozenset[str]:
+    found = words(text)
+    return frozenset(" ".join(found[i : i + WORDS]) for i in range(len(found) - WORDS + 1))
+
+
+def _contained(threshold: float) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = lru_cache(16)(shingles)
+        for batch in batches:
+            out = []
+            for file, at, item, asked, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                n, shared = len(known(asked)), len(known(asked) & known(text))
+                if shared >= needed(n, threshold):
+                    out.append((file, at, item, n, shared))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=["file", "at", "id", "n", "shared"])
+
+    return run
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:

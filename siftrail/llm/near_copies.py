@@ -143,7 +143,7 @@ def _verify(threshold: float):  # noqa: ANN202
     return run
 
 
-def near_links(marked: DataFrame, threshold: float = 0.8, block_shingles: int = 2_000_000, **sizes: int) -> DataFrame:
+def near_links(marked: DataFrame, threshold: float = 0.8, block_shingles: int = 200_000, **sizes: int) -> DataFrame:
     """Links (u, v) between marks that connect near copies among written (mark, f0, f1, id, n, text) rows."""
     prints = marked.select("f0", "f1").distinct()
     buckets = components(links(prints, TWO_PRINTS, **sizes)).select(F.col("node").alias("id"), "root")

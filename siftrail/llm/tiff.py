@@ -6,7 +6,8 @@ unsigned samples of 8 or 16 bits, in either byte order, chunky or planar.
 
 Edge cases: null media give no page. A file that is no TIFF, is cut off, or whose directories run
 in a circle gives the pages before the fault and then one row with ``error`` set. Empty payloads
-are stored as 64 zero bytes. Repeated rows give repeated pages.
+are stored as 64 zero bytes. Repeated rows give repeated pages. Very long texts become several pages,
+whose files are read one at a time. Other columns pass through; those named as an output are replaced.
 """
 
 from __future__ import annotations
@@ -216,6 +217,8 @@ def read_pages(media: bytes) -> Iterator[Page]:
         return tags, number("I", at + 2 + 12 * n)
 
     seen, at, index = set(), number("I", 4), 0
+    if not at:
+        raise TiffError("a file without a page")
     while at:
         if at in seen:
             raise TiffError("the directories run in a circle")
@@ -226,7 +229,7 @@ def read_pages(media: bytes) -> Iterator[Page]:
 
 
 def _page(media: bytes, order: str, index: int, tags: dict[int, list[int]]) -> Page:
-    one = lambda tag, default=None: tags.get(tag, [default])[0]
+    one = lambda tag, default=None: (tags.get(tag) or [default])[0]
     width, height, samples = one(WIDTH), one(HEIGHT), one(SAMPLES, 1)
     bits, scheme, predictor = one(BITS, 1), one(COMPRESSION, RAW), one(PREDICTOR, 1)
     if not width or not height:
@@ -368,8 +371,8 @@ def pages(df: DataFrame, media: str = "media", keys: list[str] | None = None) ->
                     for p in read_pages(data):
                         n = p.index + 1
                         yield _one(kind, [*rest, p.index, p.width, p.height, p.bits, p.samples, p.compression, p.predictor, p.pixels, None])
-                except TiffError as e:
-                    yield _one(kind, [*rest, n, *[None] * 7, str(e)])
+                except (TiffError, ValueError, IndexError, KeyError, TypeError, OverflowError, MemoryError, struct.error, zlib.error) as e:
+                    yield _one(kind, [*rest, n, *[None] * 7, str(e) or type(e).__name__])
 
     return map_batches(frame, run, schema, 16).toDF(*keys, *schema.names[len(keys) :])
 

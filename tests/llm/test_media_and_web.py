@@ -10,6 +10,7 @@ import hashlib
 import html
 import io
 import itertools
+import math
 import os
 import random
 import re
@@ -137,6 +138,51 @@ def test_every_codec_meets_texts_of_every_size(size):
     assert met == {tiff.PACKBITS, tiff.LZW, tiff.DEFLATE}
 
 
+def test_malformed_files_give_error_rows(spark):
+    rng = random.Random(11)
+    good = tiff.write_pages(bytes(range(256)) * 4, compression=tiff.LZW)
+    files = [good[:n] for n in range(0, len(good), 7)]
+    for _ in range(300):
+        hurt = bytearray(good)
+        for _ in range(rng.choice([1, 2, 8])):
+            hurt[rng.randrange(4, len(hurt))] = rng.choice([0, 1, 255, rng.randrange(256)])
+        files.append(bytes(hurt))
+    for tag in (tiff.WIDTH, tiff.HEIGHT, tiff.ROWS_PER_STRIP, tiff.STRIP_COUNTS, tiff.BITS):
+        for value in ((1, 4_000_000_000), (0, 0), (4_000_000_000, 8), (1, 0)):
+            at = good.index(struct.pack("<HH", tag, 4))
+            files.append(good[: at + 4] + struct.pack("<II", *value) + good[at + 12 :])
+    df = spark.createDataFrame(list(enumerate(files)), "k long, media binary")
+    rows = tiff.pages(df).collect()
+    assert {r["k"] for r in rows} == set(range(len(files))) and sum(r["error"] is not None for r in rows) > 100
+    assert all((r["pixels"] is None) == (r["error"] is not None) for r in rows)
+
+
+def test_lzw_of_other_writers():
+    """Codes laid out by hand: clear, three letters, the pair made of the first two, one made just now, end."""
+    codes = [256, 65, 66, 65, 258, 261, 257]
+    bits = "".join(f"{c:09b}" for c in codes)
+    data = int(bits.ljust(64, "0"), 2).to_bytes(8, "big")
+    assert tiff.lzw_decode(data, 100) == b"ABA" + b"AB" + b"ABA"
+
+
+def test_media_query_by_brute_force(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in queries.op6_tiff_media(spark, sf_dir).collect()}
+    assert set(got) == set(texts)
+    for k, t in texts.items():
+        raw = t.encode()
+        payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
+        r = got[k]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        mean = sum(payload) / len(payload)
+        entropy = -sum(c / len(payload) * math.log2(c / len(payload)) for c in Counter(payload).values())
+        edges = [i * len(payload) // 64 for i in range(65)]
+        parts = [sum(payload[a:b]) / (b - a) for a, b in itertools.pairwise(edges)]
+        bright = bytes(sum((parts[8 * i + j] > mean) << (7 - j) for j in range(8)) for i in range(8)).hex()
+        found = re.fullmatch(r"mean=(.*);entropy=(.*);parts=(.*)", r["feature"])
+        assert float(found[1]) == pytest.approx(mean, abs=1e-4) and float(found[2]) == pytest.approx(entropy, abs=1e-4) and found[3] == bright
+
+
 # WARC.
 
 

@@ -129,8 +129,8 @@ def contained(text, item, threshold):
     return bool(a) and len(a & b) >= threshold * len(a) - 1e-9
 
 
-@pytest.mark.parametrize("block_words", [10_000_000, 50])
-def test_every_contained_item_is_found(spark, block_words):
+@pytest.mark.parametrize("most_words", [10_000_000, 50])
+def test_every_contained_item_is_found(spark, most_words):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(60)]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([3, 5, 6, 12, 40, 90])))) for i in range(25)]
@@ -147,13 +147,13 @@ def test_every_contained_item_is_found(spark, block_words):
             words[at:at] = item
         rows.append((d, "  ".join(words).upper(), "en", "s", 1))
     rows += [(500, None, "en", "s", 1), (501, "x " * 50_000 + "a b c d e f g", "en", "s", 1), (None, "ä, ö! Ü (ß) É", "en", "s", 1), (0, rows[0][1], "en", "s", 1)]
-    df = docs(spark, rows).withColumn("matches", F.lit("old"))
+    df = docs(spark, rows).withColumn("Matches", F.lit("old"))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
-    found = decontaminate.find_items(df, bench, block_words=block_words)
+    found = decontaminate.find_items(df, bench, most_words=most_words)
     got = sorted((repr(r["doc_id"]), r["text"] or "", repr(sorted({m["item_id"] for m in r["matches"]}, key=repr))) for r in found.collect())
     want = sorted((repr(d), t or "", repr(sorted({i for i, x in items if contained(t, x, 0.8)}, key=repr))) for d, t, *_ in rows)
     assert got == want
-    kept = decontaminate.drop_contaminated(df, bench, block_words=block_words)
+    kept = decontaminate.drop_contaminated(df, bench, most_words=most_words)
     assert kept.count() == sum(1 for w in want if w[2] == "[]") and kept.columns == df.columns
 
 
