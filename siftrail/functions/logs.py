@@ -20,9 +20,14 @@ def timestamp(text: Column) -> Column:
     return F.when(text.rlike(ISO), shaped.try_cast("timestamp"))
 
 
+def stripped(text: Column) -> Column:
+    """Without the white space around it, of whatever kind."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def split_line(line: Column) -> tuple[Column, Column]:
     """The time and sentence of a line, parted at the first semicolon; null if there is none."""
-    parts = F.split(F.trim(line), ";", 2)
+    parts = F.split(stripped(line), ";", 2)
     has = F.size(parts) == 2
     return F.when(has, parts[0]), F.when(has, parts[1])
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -19,3 +22,25 @@ def importable(spark: SparkSession) -> None:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that no column of ``df`` has, whatever its letter case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder, as a URI, below the one that driver and executors share (``spark.checkpoint.dir``).
+
+    Where that is unset and all runs on one machine, as in tests, it is a temporary one.
+    """
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        where = "file://" + tempfile.mkdtemp(prefix="siftrail-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return f"{where.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -35,6 +35,12 @@ def class_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("split", "class_id").agg(F.count("*").alias("instances"), *[F.count_if(F.col("size_class") == s).alias(s) for s in SIZES])
 
 
+def counts_and_images(rows: DataFrame) -> DataFrame:
+    """Both of the above and below from one pass: first by image, then by split and class."""
+    by_image = rows.groupBy("split", "class_id", "path").agg(F.count("*").alias("instances"), *[F.count_if(F.col("size_class") == s).alias(s) for s in SIZES])
+    return by_image.groupBy("split", "class_id").agg(*[F.sum(c).alias(c) for c in ("instances", *SIZES)], F.count("*").alias("images"))
+
+
 def images_with_class(rows: DataFrame) -> DataFrame:
     """Images of each split that show a class at least once."""
     return rows.select("split", "class_id", "path").distinct().groupBy("split", "class_id").agg(F.count("*").alias("images"))
@@ -60,14 +66,14 @@ def percent(part: Column, whole: Column) -> Column:
 
 def scaffold(images: DataFrame, classes: DataFrame) -> DataFrame:
     """A row for each split and class, seen together or not; both sides are short lists."""
-    return images.select("split").distinct().crossJoin(F.broadcast(classes))
+    return images.select("split").distinct().crossJoin(classes)
 
 
 def class_report(images: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Counts, sizes and percentages of every split and class, zero where there is nothing."""
     rows = known(annotated(images, labels), classes)
     totals = split_totals(images, labels, classes).where("split IS NOT NULL").select("split", F.col("images").alias("total_images"), F.col("objects").alias("total_objects"))
-    out = scaffold(images, classes).join(class_counts(rows), ["split", "class_id"], "left").join(images_with_class(rows), ["split", "class_id"], "left")
+    out = scaffold(images, classes).join(counts_and_images(rows), ["split", "class_id"], "left")
     out = out.na.fill(0, ["instances", *SIZES, "images"]).join(totals, "split")
     return out.select(
         "split", "class_id", "class_name", "instances", F.col("images").alias("images_with_class"), *SIZES,
@@ -79,8 +85,9 @@ def class_report(images: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
 def overall_classes(report: DataFrame) -> DataFrame:
     """Instances of each class over all splits and their share of all objects."""
     by_class = report.groupBy("class_id", "class_name").agg(F.sum("instances").alias("total_instances"))
-    total = by_class.agg(F.sum("total_instances")).first()[0] or 0
-    return by_class.withColumn("percentage", percent(F.col("total_instances"), F.lit(total)))
+    whole = by_class.agg(F.coalesce(F.sum("total_instances"), F.lit(0)).alias("all_instances"))  # one row
+    shared = by_class.crossJoin(whole)
+    return shared.select("class_id", "class_name", "total_instances", percent(F.col("total_instances"), F.col("all_instances")).alias("percentage"))
 
 
 def report_document(images: DataFrame, labels: DataFrame, classes: DataFrame, dataset_path: str) -> DataFrame:

@@ -67,6 +67,32 @@ def count_summary(stats: DataFrame, selected: DataFrame | None = None) -> DataFr
     return counts.crossJoin(own)  # one row each
 
 
+def quantile(df: DataFrame, value: str, n: int, share: float) -> float:
+    """The quantile of ``n`` values, between two neighbours if it falls there, found by counting.
+
+    Each pass counts the values of a thousand equal parts of the range and goes on with the part that
+    holds the place, until it holds one value; so no task gathers the values.
+    """
+    place = (n - 1) * share
+    at = [kth(df, value, k) for k in sorted({math.floor(place), math.ceil(place)})]
+    return at[0] + (at[-1] - at[0]) * (place - math.floor(place))
+
+
+def kth(df: DataFrame, value: str, k: int, parts: int = 1000) -> float:
+    """The value with ``k`` smaller or equal ones before it."""
+    rows = df.select(F.col(value).cast("double").alias("x")).where("x IS NOT NULL")
+    lo, hi = rows.agg(F.min("x"), F.max("x")).first()
+    while lo < hi:
+        part = F.least(F.floor((F.col("x") - lo) / ((hi - lo) / parts)), F.lit(parts - 1))
+        inside = rows.where((F.col("x") >= lo) & (F.col("x") <= hi)).groupBy(part.alias("part"))
+        for r in sorted(inside.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()):
+            if k < r["n"]:
+                lo, hi = r["lo"], r["hi"]
+                break
+            k -= r["n"]
+    return lo
+
+
 def auto_bins(df: DataFrame, value: str) -> tuple[int, float, float]:
     """How many equal bins, and their range, after Sturges or Freedman and Diaconis.
 
@@ -74,7 +100,7 @@ def auto_bins(df: DataFrame, value: str) -> tuple[int, float, float]:
     of whole numbers are one wide at least. Of no values it is one bin over [0, 1].
     """
     whole = dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
-    s = df.agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"), F.percentile(value, 0.25).alias("q1"), F.percentile(value, 0.75).alias("q3")).first()
+    s = df.agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     if not s["n"]:
         return 1, 0.0, 1.0
     lo, hi = float(s["lo"]), float(s["hi"])
@@ -82,7 +108,8 @@ def auto_bins(df: DataFrame, value: str) -> tuple[int, float, float]:
         return 1, lo - 0.5, hi + 0.5
     reach = hi - lo
     sturges = reach / (math.log2(s["n"]) + 1)
-    diaconis = max(2 * (s["q3"] - s["q1"]) * s["n"] ** (-1 / 3), reach / math.sqrt(s["n"]) / 2)
+    q1, q3 = (quantile(df, value, s["n"], q) for q in (0.25, 0.75))
+    diaconis = max(2 * (q3 - q1) * s["n"] ** (-1 / 3), reach / math.sqrt(s["n"]) / 2)
     width = min(diaconis, sturges)
     if whole:
         width = max(width, 1.0)

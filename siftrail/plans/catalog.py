@@ -264,7 +264,7 @@ _STAMP = "strftime(o_orderdate, '%Y-%m-%d') || '_12-00-' || lpad(CAST(o_orderkey
 
 
 @_query(f"""
-    WITH f AS (SELECT o_orderkey, o_orderdate, {_STAMP} AS stamp FROM orders WHERE o_orderkey % 50 < 25),
+    WITH f AS (SELECT o_orderkey, o_orderdate, {_STAMP} AS stamp FROM orders),
     g AS (SELECT DISTINCT {_STAMP} AS stamp FROM orders WHERE o_orderkey % 3 = 0)
     SELECT o_orderkey, stamp AS prefix, stamp || '_video.mkv' AS video,
            epoch_us(timezone('Europe/Berlin', CAST(strptime(stamp, '%Y-%m-%d_%H-%M-%S') AS TIMESTAMP))) AS began_us
@@ -273,7 +273,7 @@ _STAMP = "strftime(o_orderdate, '%Y-%m-%d') || '_12-00-' || lpad(CAST(o_orderkey
 def filename_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
     stamp = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("_12-00-"), F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0"))
-    video = o.where("o_orderkey % 50 < 25").select("o_orderkey", F.concat(stamp, F.when(F.col("o_orderkey") % 7 == 0, "_video.MKV").otherwise("_video.mkv")).alias("name"))
+    video = o.select("o_orderkey", F.concat(stamp, F.when(F.col("o_orderkey") % 7 == 0, "_video.MKV").otherwise("_video.mkv")).alias("name"))
     named = video.withColumn("prefix", logs.recording_prefix(F.col("name"))).where("prefix IS NOT NULL")
     log = o.where("o_orderkey % 3 = 0").select(stamp.alias("prefix")).distinct()
     return named.join(log, "prefix").select("o_orderkey", "prefix", F.col("name").alias("video"), F.unix_micros(logs.recording_time(F.col("name"))).alias("began_us"))
@@ -290,12 +290,12 @@ def stride_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
     WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey % 100 AS w100 FROM lineitem WHERE l_orderkey % 9 <> 0 AND l_partkey % 10 <> 0)
-    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS INTEGER) AS class_id, CAST(0.5 AS DOUBLE) AS xc, CAST(0.25 AS DOUBLE) AS yc, w100 / 100.0 AS w, CAST(0.125 AS DOUBLE) AS h FROM t
+    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS INTEGER) AS class_id, CASE WHEN l_partkey % 10 = 2 THEN NULL ELSE CAST(0.5 AS DOUBLE) END AS xc, CAST(0.25 AS DOUBLE) AS yc, w100 / 100.0 AS w, CAST(0.125 AS DOUBLE) AS h FROM t
 """.replace("w100 / 100.0", "CAST(w100 AS DOUBLE) / 100"))
 def label_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     text = F.concat(
-        F.when(F.col("l_orderkey") % 9 == 0, "junk").when(F.col("l_orderkey") % 9 == 1, "  ").otherwise(""), F.col("l_linenumber").cast("string"), F.lit(" 0.5"),
+        F.when(F.col("l_orderkey") % 9 == 0, "junk").when(F.col("l_orderkey") % 9 == 1, "  ").otherwise(""), F.col("l_linenumber").cast("string"), F.when(F.col("l_partkey") % 10 == 2, " x").otherwise(" 0.5"),
         F.when(F.col("l_partkey") % 10 == 0, "").otherwise("\t0.25  "), (F.col("l_suppkey") % 100 / 100).cast("string"), F.lit(" 0.125"),
         F.when(F.col("l_partkey") % 10 == 1, " 0.7 0.8 0.9").otherwise(""),
     )
@@ -405,11 +405,11 @@ def bbox_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-    WITH d AS (SELECT l_orderkey AS k, printf('%d %.6f %.6f %.6f %.6f', l_linenumber, l_discount, l_tax, l_quantity / 64, 0.5) AS line FROM lineitem WHERE l_orderkey % 4 = 0)
+    WITH d AS (SELECT l_orderkey AS k, printf('%d %.6f %.6f %.6f %.6f', l_linenumber, l_discount, l_tax, l_quantity / 64, 0.5) AS line FROM lineitem)
     SELECT 'v' || k % 10 || '_frame_' || lpad(CAST(k AS VARCHAR), CAST(greatest(6, length(CAST(k AS VARCHAR))) AS INTEGER), '0') AS name, string_agg(line, chr(10) ORDER BY line) AS content FROM d GROUP BY k
 """)
 def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = _table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_quantity").where("l_orderkey % 4 = 0")
+    line = _table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_discount", "l_tax", "l_quantity")
     found = line.select(F.concat(F.lit("v"), F.col("l_orderkey") % 10).alias("video"), F.col("l_orderkey").alias("frame_idx"), F.col("l_linenumber").alias("class_id"), F.array("l_discount", "l_tax", F.col("l_quantity") / 64, F.lit(0.5)).alias("bbox"))
     return frames.label_files(found, "video", "frame_idx")
 

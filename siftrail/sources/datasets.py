@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftrail.functions import logs
+from siftrail.functions.session import free_name
 from siftrail.sources.logs import listing
 
-IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "webp", "tif", "tiff")
+IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tiff")
 FALLBACK = (1280, 720)
 CONFIG_PLACES = ("data.yaml", "train/data.yaml", "test/data.yaml")
 
@@ -50,7 +51,8 @@ def class_table(spark: SparkSession, names: dict[int, str]) -> DataFrame:
 def first_choice(df: DataFrame, keys: list[str], priority: Column) -> DataFrame:
     """Of rows with the same keys, those of the highest priority."""
     top = Window.partitionBy(*keys).orderBy(priority.desc())
-    return df.withColumn("__rank", F.rank().over(top)).where("__rank = 1").drop("__rank")
+    rank = free_name(df, "rank")
+    return df.withColumn(rank, F.rank().over(top)).where(F.col(rank) == 1).drop(rank)
 
 
 def dataset_files(spark: SparkSession, root: str) -> DataFrame:
@@ -140,23 +142,25 @@ def measured(content: pd.Series) -> pd.DataFrame:
 
 
 def images(spark: SparkSession, root: str) -> DataFrame:
-    """(split, path, stem, width, height) of the images of a dataset.
+    """(split, path, stem, width, height) of the images of a dataset, in order of split and path.
 
-    Sizes may stand behind any amount of other data, so whole files are read, about 32 MB at a time.
+    Sizes may stand behind any amount of other data, so whole files are read, but of images alone.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 32 << 20)
     files = dataset_files(spark, root).where((F.col("kind") == "images") & F.col("suffix").isin(*IMAGE_SUFFIXES))
-    heads = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", measured(F.col("content")).alias("size"))
-    return files.join(heads, "path").select("split", "path", "stem", "size.width", "size.height")
+    any_case = ",".join("*." + "".join(f"[{c}{c.upper()}]" for c in s) for s in IMAGE_SUFFIXES)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"{{{any_case}}}").load(root)
+    sizes = found.select("path", measured(F.col("content")).alias("size"))
+    return files.join(sizes, "path").select("split", "path", "stem", "size.width", "size.height").orderBy("split", "path")
 
 
 def label_rows(lines: DataFrame, text: str = "value") -> DataFrame:
     """Lines of label text as (class_id, xc, yc, w, h); lines that are no label are passed over.
 
-    A label has five tokens or more, all of the first five numbers and the first whole. Of longer
-    lines, outlines of areas, the tokens at the places of width and height are read as such.
+    A label has five tokens or more, of which the first is a whole number and the fourth and fifth, width
+    and height, are numbers; its centre is null if it is none. Of longer lines, outlines of areas, the
+    tokens at the places of width and height are read as such.
     """
-    tokens = F.split(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")), " ")
+    tokens = F.split(F.regexp_replace(F.col(text), r"^\s+|\s+$", ""), r"\s+")
 
     def read(t: Column) -> Column:
         at = lambda i: F.get(t, F.lit(i))
@@ -164,7 +168,7 @@ def label_rows(lines: DataFrame, text: str = "value") -> DataFrame:
 
     # A generator of one row: the line is cut once, and the filter does not read it again.
     rows = lines.select(*[c for c in lines.columns if c != text], F.inline(F.transform(F.array(tokens), read)))
-    return rows.where("class_id IS NOT NULL AND xc IS NOT NULL AND yc IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL")
+    return rows.where("class_id IS NOT NULL AND w IS NOT NULL AND h IS NOT NULL")
 
 
 def labels(spark: SparkSession, root: str) -> DataFrame:

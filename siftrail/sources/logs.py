@@ -10,7 +10,7 @@ from siftrail.operators.ordered import first_offset
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
-    """(path, name, length) of files; their content is never read."""
+    """(path, name, length) of files; their content is never read. Spark passes over files of no length."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -44,7 +44,7 @@ def parsed(lines: DataFrame) -> DataFrame:
     Time zero is the first readable time of the file, whatever its sentence is.
     """
     when, sentence = logs.split_line(F.col("line"))
-    timed = lines.where(F.trim("line") != "").select("file", "line_no", F.trim("line").alias("line"), logs.timestamp(when).alias("ts"), sentence.alias("sentence")).where("ts IS NOT NULL")
+    timed = lines.select("file", "line_no", logs.stripped(F.col("line")).alias("line")).where("line <> ''").select("file", "line_no", "line", logs.timestamp(when).alias("ts"), sentence.alias("sentence")).where("ts IS NOT NULL")
     timed = logs.with_fix(timed, "sentence").drop("sentence")
     return first_offset(timed, ["file"], ["line_no"], "ts")
 

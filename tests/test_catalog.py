@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from siftrail.plans import catalog
+from siftrail.plans import catalog_files as catalog
 
 
 def rounded(value):
