@@ -107,7 +107,7 @@ def log_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Distance by the law of haversines on the mean sphere, which shares nothing with the library's own; speeds
-# and extents of the rows kept are a hundredth or more away from their bounds, where both agree.
+# and extents of these rows are further from their bounds than the two differ.
 _SPHERE = "2 * 6371008.8 * asin(sqrt(pow(sin(radians(({1}) - ({0})) / 2), 2) + cos(radians({0})) * cos(radians({1})) * pow(sin(radians(({3}) - ({2})) / 2), 2)))"
 
 
@@ -118,14 +118,14 @@ _SPHERE = "2 * 6371008.8 * asin(sqrt(pow(sin(radians(({1}) - ({0})) / 2), 2) + c
     around AS (SELECT *, sum(step) OVER (PARTITION BY file ORDER BY i ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS way,
                       first_value(offset_us) OVER v AS t0, last_value(offset_us) OVER v AS t1
                FROM steps WINDOW v AS (PARTITION BY file ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
-    speed AS (SELECT *, CASE WHEN t1 > t0 THEN way / ((t1 - t0) / 1e6) * 3.6 ELSE 0 END AS kmh FROM around),
-    runs AS (SELECT *, sum(CASE WHEN kmh <= 5.0 THEN 0 ELSE 1 END) OVER (PARTITION BY file ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM speed),
-    found AS (SELECT file, min(offset_us) AS start_us, max(offset_us) AS end_us, count(*) AS n, min(lat) AS a, max(lat) AS b, min(lon) AS c, max(lon) AS d FROM runs WHERE kmh <= 5.0 GROUP BY file, run)
+    speed AS (SELECT *, CASE WHEN t1 > t0 THEN way / ((t1 - t0) / 1e6) * 3.6 ELSE 0 END <= 5.0 AND NOT (lat BETWEEN 52.02 AND 52.05 AND lon BETWEEN 10.01 AND 10.05) AS on_run FROM around),
+    runs AS (SELECT *, sum(CASE WHEN on_run THEN 0 ELSE 1 END) OVER (PARTITION BY file ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM speed),
+    found AS (SELECT file, min(offset_us) AS start_us, max(offset_us) AS end_us, count(*) AS n, min(lat) AS a, max(lat) AS b, min(lon) AS c, max(lon) AS d FROM runs WHERE on_run GROUP BY file, run)
     SELECT file, start_us, end_us, n FROM found WHERE end_us - start_us >= 60000000 AND {_SPHERE.format('a', 'b', 'c', 'd')} >= 20
 """)
 def slow_segments_of_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs to points to speeds to slow segments."""
-    rules = segments.SegmentRules(most_kmh=5.0)
+    rules = segments.SegmentRules(most_kmh=5.0, area=(52.02, 10.01, 52.05, 10.05))
     return segments.slow_segments(_log_points(spark, sf_dir), ["file"], ["line_no"], rules).select("file", "start_us", "end_us", "n")
 
 
