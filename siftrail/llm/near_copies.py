@@ -154,7 +154,7 @@ def near_links(marked: DataFrame, threshold: float = 0.8, block_shingles: int =
     pairs = F.expr("transform(sequence(0, greatest(blocks, 1) - 1), i -> struct(root, least(i, own) AS lo, greatest(i, own) AS hi))")
     dealt = written(dealt.select("mark", F.explode(pairs).alias("pair")).select("mark", F.xxhash64("pair").alias("pair")), "pairs")
     wanted = dealt.select("mark").distinct()
-    one = marked.select("mark", "text").join(wanted, "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
+    one = marked.select("mark", "text").join(wanted.hint("merge"), "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
     both = dealt.join(written(one, "texts"), "mark").select("pair", "mark", "text")
     # Written, as two Python functions in one task would keep twice as many workers alive.
     return written(map_batches(both.repartition("pair").sortWithinPartitions("pair"), _verify(threshold), PAIR), "near")

@@ -13,21 +13,21 @@ whole. The phrases of a trigger that has several are compared run by run, their
 that alone; a trigger with more than ``group_rows`` of them has its runs dealt out by content.
 
 Edge cases: a null text counts as empty. Texts shorter than ``length`` have no run. Null ids come
-last; documents that share an id are put in order by a hash of their texts, and rows that repeat
-both id and text are one document twice: they get the same result and do not repeat each other.
+last, in order of a hash of 62 bits of their texts; documents that share an id are put in order by a
+hash of their texts, and rows that repeat both id and text are one document however often: they get the
+same result, do not repeat each other, and cost time linear in their number. Very long texts are read
+whole, in blocks. Columns besides the id and the text are not kept. An empty table stays empty.
 Matches never cross documents, and runs are judged on the input, not on what is left of it.
 """
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftrail.llm.common import col, map_batches, written
@@ -213,21 +213,12 @@ def _found(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["trigger", "phrase", "doc", "place", "repeated"])
 
 
-def _free(spark: SparkSession) -> None:
-    """Let Spark drop the exchange files of what is written and no longer needed.
-
-    Spark drops them when the driver's JVM finds that nothing refers to them, in the background.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, doc, mark, text): ``doc`` is the id, or for a null one a number of 62 bits behind the ids, by its text."""
     data = F.coalesce(col(text), F.lit(""))
-    last = F.lit((1 << 63) - 1)
-    return docs.select(F.coalesce(col(doc_id).cast("bigint"), last).alias("doc"), F.hash(data).cast("bigint").alias("mark"), data.alias("text"))
+    own = col(doc_id).cast("bigint")
+    behind = F.lit(1 << 62).bitwiseOR(F.xxhash64(data).bitwiseAND(F.lit((1 << 62) - 1)))
+    return docs.select(own.alias("id"), F.coalesce(own, behind).alias("doc"), F.hash(data).cast("bigint").alias("mark"), data.alias("text"))
 
 
 def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, group_rows: int = 20_000) -> DataFrame:
@@ -235,24 +226,22 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
 
     ``doc`` and ``mark`` are the keys of ``_keyed``: the id and a hash of the text.
     """
-    spark = docs.sparkSession
-    rows = _keyed(docs, doc_id, text)
+    rows = _keyed(docs, doc_id, text).drop("id")
     long = rows.where(F.octet_length("text") >= length)
     parsed = map_batches(long, _phrase_rows(length, gram), "trigger bigint, phrase bigint, doc bigint, place bigint, later boolean")
     deal = F.when(F.col("later"), F.xxhash64("doc", "place")).otherwise(F.col("trigger"))
     order = ["trigger", "phrase", "doc", "place"]
     kind = "trigger bigint, doc bigint, place bigint, runs int, open boolean"
     first = written(map_batches(parsed.repartition(deal).sortWithinPartitions(*order), _repeated, kind, 4096), "phrases")
-    _free(spark)
     place = [F.shiftright("place", 32).alias("mark"), F.expr("cast(place & 4294967295 AS int)").alias("lo")]
     wanted = first.where("open").select("doc", *place, "trigger", "runs")
-    wanted = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("trigger", "lo", "runs")).alias("wanted"))
-    fetched = long.join(wanted.hint("shuffle_hash"), ["doc", "mark"]).select("doc", "mark", "text", "wanted").mapInArrow(_fetch(length), "trigger bigint, doc bigint, place bigint, bytes binary")
-    compared = fetched.repartition("trigger").sortWithinPartitions("trigger", "doc", "place").mapInArrow(_compare(length, group_rows), "trigger bigint, phrase bigint, doc bigint, place bigint, repeated boolean")
+    wanted = wanted.groupBy("doc", "mark").agg(F.collect_set(F.struct("trigger", "lo", "runs")).alias("wanted"))
+    fetched = long.join(wanted.hint("shuffle_hash"), ["doc", "mark"]).select("doc", "mark", "text", "wanted")
+    fetched = map_batches(fetched, _fetch(length), "trigger bigint, doc bigint, place bigint, bytes binary")
+    compared = map_batches(fetched.repartition("trigger").sortWithinPartitions("trigger", "doc", "place"), _compare(length, group_rows), "trigger bigint, phrase bigint, doc bigint, place bigint, repeated boolean", 4096)
     second = written(compared, "runs")
-    _free(spark)
     late = second.where("NOT repeated").select(*order)
-    third = late.repartition("trigger", "phrase").sortWithinPartitions(*order).mapInArrow(_repeated, kind).where("NOT open")
+    third = map_batches(late.repartition("trigger", "phrase").sortWithinPartitions(*order), _repeated, kind, 4096).where("NOT open")
     out = first.where("NOT open").select("doc", *place, "runs")
     out = out.unionByName(second.where("repeated").select("doc", *place, F.lit(1).alias("runs")))
     return out.unionByName(third.select("doc", *place, F.lit(1).alias("runs")))
@@ -292,10 +281,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "removed", "kept"])
 
     found = repeated_runs(docs, doc_id, text, length, **options)
-    found = found.groupBy("doc", "mark").agg(F.collect_list(F.struct("lo", "runs")).alias("found"))
+    found = found.groupBy("doc", "mark").agg(F.collect_set(F.struct("lo", "runs")).alias("found"))
     rows = _keyed(docs, doc_id, text).join(found.hint("shuffle_hash"), ["doc", "mark"], "left")
-    back = F.when(F.col("doc") < (1 << 63) - 1, F.col("doc"))
-    return rows.select(back.alias("doc"), "text", "found").mapInArrow(run, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary")
+    return map_batches(rows.select("id", "text", "found"), run, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary")
 
 
 def digest(kept: DataFrame) -> DataFrame:

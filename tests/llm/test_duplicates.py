@@ -170,6 +170,15 @@ def test_rows_that_repeat_an_id(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_many_rows_without_an_id(spark):
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(2000))
+    others = [(None, "".join(rng.choice("abcdefgh ") for _ in range(150))) for _ in range(300)]
+    df = spark.createDataFrame([(None, text)] * 5000 + others, "doc_id long, text string")
+    got = repeats.digest(repeats.remove_repeats(df)).groupBy("n_bytes", "n_removed").count().collect()
+    assert {tuple(r) for r in got} == {(2000, 0, 5000), (150, 0, 300)}
+
+
 def test_long_text_over_blocks(monkeypatch):
     rng = random.Random(3)
     data = bytes(rng.choice(b"abc ") for _ in range(5000))
