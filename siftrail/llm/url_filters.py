@@ -4,7 +4,7 @@ A list is a log of dated entries: at some moment a pattern (a host, a parent dom
 a path prefix) is added to a list or taken off it. Consecutive entries of a pattern become validity
 intervals, and an as-of join gives each capture the entries whose interval holds its fetch time.
 
-Both sides are keyed by pattern and calendar month, so the captures of a host that holds a third of
+Captures are first reduced to patterns that some list has. Then both sides are keyed by pattern and calendar month, so the captures of a host that holds a third of
 all rows are dealt out by month, and an interval meets only the captures of the months it spans.
 
 A path prefix need not end with a slash: it covers all that begins with it. Hosts are compared in lower
@@ -14,7 +14,8 @@ Edge cases: a null or unreadable URL, or a null fetch time, matches nothing and
 Entries with a null list, pattern, time or action are passed over. Of entries of one list and
 pattern at the same moment the removal wins; repeated entries count once. An interval holds its
 start and not its end; a pattern never removed stays active. Repeated captures are judged one by
-one. With no entries every capture is allowed. Other columns pass through.
+one. With no entries every capture is allowed. Very long
+URLs are read whole. Other columns pass through; outputs take other names if theirs are taken.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import col, free_name
+from siftrail.llm.common import col, free_name, written
 
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 PATH = r"(?i)^[a-z][a-z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -88,6 +89,10 @@ def matches(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     keyed = seen.select("url", "fetched", _month("fetched").alias("month"), F.explode(patterns_of(F.col("url"), lengths)).alias("pattern"))
     first, last = F.greatest(_month("since"), lo), F.least(F.coalesce(_month("until"), hi), hi)
     active = intervals(entries).where(first <= last).select("list", "pattern", "since", "until", F.explode(F.sequence(first, last)).alias("month"))
+    # A pattern that no list has, as a top domain half of all captures have, goes before the as-of join;
+    # what is written has a known size, so Spark sends it out if it is small and splits hot keys if not.
+    active = written(active, "intervals")
+    keyed = keyed.join(written(active.select("pattern").distinct(), "patterns"), "pattern", "left_semi")
     hit = keyed.join(active, ["pattern", "month"]).where("since <= fetched AND (until IS NULL OR fetched < until)")
     return hit.select("url", "fetched", "list", "pattern", "since")
 

@@ -480,6 +480,14 @@ def test_pages_prefixes_and_letter_case(spark):
     assert {r["url"]: r["pattern"] for r in got} == want
 
 
+def test_one_month_and_one_domain_hold_all_captures(spark):
+    at = datetime.datetime(2024, 5, 1)
+    captures = spark.range(20_000).selectExpr("id AS page_id", "concat('http://a', id % 7, '.example.com/p', id) AS url").withColumn("fetched", F.lit(at))
+    log = spark.createDataFrame([("l", "a3.example.com", at, "add"), ("l", "other.com", at, "add"), ("m", "com", at + datetime.timedelta(days=40), "add")], "list string, pattern string, at timestamp, action string")
+    rows = url_filters.judge(captures, log).groupBy("blocked").count().collect()
+    assert {r["blocked"]: r["count"] for r in rows} == {True: 20_000 // 7, False: 20_000 - 20_000 // 7}
+
+
 def test_removal_wins_at_one_moment(spark):
     at = datetime.datetime(2024, 5, 31, 23)
     log = spark.createDataFrame([("l", "h.com", at, "add"), ("l", "h.com", at, "remove"), ("l", "g.com", at, "add")], "list string, pattern string, at timestamp, action string")
