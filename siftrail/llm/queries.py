@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.llm import bpe, decontaminate, html_text, language_id, line_dedup, repeats, simhash, tiff, url_filters, warc
+from siftrail.llm import bpe, decontaminate, filter_audit, html_text, language_id, lexical, line_dedup, lm_score, repeats, simhash, tiff, url_filters, warc
 
 
 def settle(spark: SparkSession, megabytes: int = 16) -> None:
@@ -112,6 +112,23 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders over every document: what each step keeps, removes and loses."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document, learned from nine of ten folds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_score.train_and_score(docs)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -123,6 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_html_text": op9_html_text,
     "op10_language_id": op10_language_id,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_lm_score": op12_lm_score,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -183,4 +203,34 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN first_id IS NULL OR page_id = first_id THEN NULL ELSE first_id END AS refers_to
         FROM d LEFT JOIN f USING (payload_digest)
     """,
+    "op11_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+        f AS (SELECT doc_id, part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+                     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d, doc_id > first AS e FROM w),
+        m AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+        n AS (SELECT part, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(d AS INT) + CAST(e AS INT) AS n_fails,
+                     coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM f LEFT JOIN m USING (doc_id)),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM l p, l q, l r, l s, l t
+              WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+        z AS (SELECT filter_order, CAST(step AS INT) AS step, filter_order[step] AS x, string_split(filter_order[1:step - 1], '') AS before FROM o, range(1, 6) k(step)),
+        y AS (SELECT part, filter_order, step, x, fails[x] AS fails, n_fails, good, toxic,
+                     len(list_filter(before, lambda v: v != '' AND fails[v])) > 0 AS gone FROM n, z),
+        g AS (SELECT part, filter_order, step, x, count(*) FILTER (NOT gone AND NOT fails) AS kept, count(*) FILTER (NOT gone AND fails) AS removed,
+                     count(*) FILTER (gone AND fails) AS redundant, count(*) FILTER (fails AND n_fails = 1) AS unique_fails,
+                     count(*) FILTER (NOT gone AND fails AND good) AS good_lost, count(*) FILTER (NOT gone AND fails AND toxic) AS toxic_lost FROM y GROUP BY ALL)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM g
+    """,
+    "op13_lexical_search": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        s AS (SELECT count(*) AS nd, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+        t AS (SELECT doc_id, term, n, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term, len(w) AS n FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term, nd),
+        r AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l)))) AS BIGINT) AS score FROM t JOIN i USING (term) JOIN w USING (term), s GROUP BY ALL),
+        k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM r WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+    """,
 }

@@ -12,12 +12,14 @@ SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "pages": "page_id long, url string, html string",
     "benchmark": "item_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
 }
 TEXT = "One line here, shared by all of them.\nThe quick brown fox jumps over the lazy dog and then some more words follow it. " * 3
 ROWS = {
     "documents": [(None, None, None, None, None), (None, TEXT, "en", "a", 1), (1, TEXT, "en", "a", 1), (1, TEXT, "en", "a", 1), (1, "other text", None, None, 2), (2, "", "fr", "a", 0), (3, None, "en", "b", None), (4, "été " * 50_000, "fr", "b", 1), (5, "\n\n \t", "en", "", 4), (6, "a", "en", "a", 1), (7, "🙂\u0000é", "en", "a", 1)],
     "pages": [(None, None, None), (1, "http://a.example.com/en/x", "<article><p>Hi</article>"), (1, "http://a.example.com/en/x", "<article><p>Hi</article>"), (2, "", ""), (3, "nonsense", "<" * 300), (None, "https://b.org", "<p>" + "w " * 100_000)],
     "benchmark": [(None, None), (None, "the quick brown fox jumps over the lazy dog"), (1, ""), (2, "too short"), (2, "too short"), (3, "été été été été été été")],
+    "labels": [(None, None, None), (1, 1, 0), (1, 0, 1), (4, None, 1)],
 }
 EXTRA = {"key": 1, "doc": 2, "u": 3, "fp": "x", "matches": "y", "lines": 4, "blocked": True, "digest": "d", "__salt": 5, "mark": 6}
 
@@ -47,6 +49,10 @@ def test_queries_on_odd_tables(spark, odd, empty, name):
     got = queries.QUERIES[name](spark, odd).collect()
     if name == "op2_decontamination":
         assert sorted((repr(r["doc_id"]), repr(r["item_id"])) for r in got) == sorted([("None", "None"), ("1", "None"), ("1", "None"), ("4", "3")])
+    elif name == "op11_filter_audit":
+        assert len(got) == 600 * 3 and sum(r["kept"] + r["removed"] for r in got if r["step"] == 1) == 120 * len(ROWS[table])
+    elif name == "op13_lexical_search":
+        assert [(r["rank"], r["doc_id"]) for r in got if r["item_id"] == 3] == [(1, 4)] and {r["doc_id"] for r in got if r["item_id"] is None} >= {1, None}
     else:
         assert len(got) == len(ROWS[table])
     assert queries.QUERIES[name](spark, empty).collect() == []

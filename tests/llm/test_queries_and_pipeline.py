@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_everything_is_registered():
     found = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert found["pipeline"] is corpus_pipeline.run and set(queries.QUERIES) <= set(found)
 
 
