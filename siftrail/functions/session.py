@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 from pathlib import Path
@@ -44,3 +46,28 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         where = "file://" + tempfile.mkdtemp(prefix="siftrail-")
         spark.conf.set("spark.checkpoint.dir", where)
     return f"{where.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+_CUTS: list[tuple[SparkSession, str]] = []
+
+
+def cut(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, deleted when the driver's process ends.
+
+    What follows is computed from the files, on whichever executors are left, and sees the same rows each time.
+    """
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    if not _CUTS:
+        atexit.register(_drop_cuts)
+    _CUTS.append((df.sparkSession, path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _drop_cuts() -> None:
+    for spark, path in _CUTS:
+        if spark.sparkContext._jsc is not None:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        elif path.startswith("file:"):  # the session was stopped first
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)

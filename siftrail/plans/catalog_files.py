@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from siftrail.functions.session import shared_folder
 from siftrail.operators import annotations, frames, prepare
-from siftrail.plans import registry, segments, stages
+from siftrail.plans import catalog_long, registry, segments, stages  # noqa: F401  catalog_long adds its queries
 from siftrail.plans.catalog import _IMAGES_SQL, ORACLE_SQL, QUERIES, _dataset, _query, _table
 from siftrail.sources import datasets, logs, sinks
 from siftrail.sources import frames as frame_source

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftrail.functions.geo import distance_m, in_area
-from siftrail.operators import frames, intervals, ordered
+from siftrail.operators import blocks, frames, intervals, ordered
+
+
+BLOCK_ROWS = 1_000_000  # recordings with more rows are dealt out in blocks
 
 
 @dataclass(frozen=True)
@@ -33,21 +36,30 @@ def speeds(points: DataFrame, keys: list[str], order: list[str], window: int) ->
     return ordered.moving_rate(points, keys, order, "offset_us", step, window)
 
 
-def slow_segments(points: DataFrame, keys: list[str], order: list[str], rules: SegmentRules = SegmentRules()) -> DataFrame:
+def slow_segments(points: DataFrame, keys: list[str], order: list[str], rules: SegmentRules = SegmentRules(), block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(keys, start_us, end_us, n, extent_m): slow runs outside the area, long and wide enough.
 
-    One exchange by the recording serves all steps up to the runs.
+    One exchange by the recording serves all steps up to the runs; if some recording has over ``block_rows``
+    rows, all are dealt out in blocks, with the same runs.
     """
-    moving = speeds(ordered.at_least(points, keys, 2), keys, order, rules.window)
-    active = ~in_area(F.col("lat"), F.col("lon"), rules.area) & (F.col("speed_kmh") <= rules.most_kmh)
+    slow = ~in_area(F.col("lat"), F.col("lon"), rules.area) & (F.col("speed_kmh") <= rules.most_kmh)
     box = [f(c).alias(f"{c}_{n}") for c in ("lat", "lon") for n, f in (("min", F.min), ("max", F.max))]
-    found = ordered.islands(moving, keys, order, active, "offset_us", *box).withColumn("extent_m", extent_m())
-    kept = ordered.long_enough(found, int(rules.least_s * 1e6), F.col("extent_m"), rules.least_m)
+    if blocks.longest(points, keys) > block_rows:
+        step = lambda ahead: distance_m(F.col("lat"), F.col("lon"), ahead("lat"), ahead("lon"))
+        dealt = blocks.at_least(blocks.dealt(points, keys, order, block_rows), 2)
+        found = blocks.islands(blocks.moving_rate(dealt, "offset_us", step, rules.window), slow, "offset_us", *box)
+    else:
+        moving = speeds(ordered.at_least(points, keys, 2), keys, order, rules.window)
+        found = ordered.islands(moving, keys, order, slow, "offset_us", *box)
+    kept = ordered.long_enough(found.withColumn("extent_m", extent_m()), int(rules.least_s * 1e6), F.col("extent_m"), rules.least_m)
     return kept.select(*keys, "start_us", "end_us", "n", "extent_m")
 
 
-def visual_segments(statuses: DataFrame, keys: list[str], order: list[str], debounce: int = 5, least_s: float = 60.0) -> DataFrame:
-    """Segments of a debounced classifier status (keys, order, offset_us, is_active)."""
+def visual_segments(statuses: DataFrame, keys: list[str], order: list[str], debounce: int = 5, least_s: float = 60.0, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Segments of a debounced classifier status (keys, order, offset_us, is_active); recordings of over ``block_rows`` rows in blocks."""
+    if blocks.longest(statuses, keys) > block_rows:
+        held_blocks = blocks.debounce(blocks.dealt(statuses, keys, order, block_rows), "is_active", debounce)
+        return blocks.status_segments(held_blocks, "is_active", "offset_us", int(least_s * 1e6))
     held = ordered.debounce(statuses, keys, order, "is_active", debounce)
     return ordered.status_segments(held, keys, order, "is_active", "offset_us", int(least_s * 1e6))
 
