@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftrail.functions.session import shared_folder
-from siftrail.operators import annotations, frames, prepare
+from siftrail.operators import annotations, frames, ordered, prepare
 from siftrail.plans import catalog_long, registry, segments, stages  # noqa: F401  catalog_long adds its queries
-from siftrail.plans.catalog import _IMAGES_SQL, ORACLE_SQL, QUERIES, _dataset, _query, _table
+from siftrail.plans.catalog import _IMAGES_SQL, _POINTS_SQL, _SLOW, ORACLE_SQL, QUERIES, USER, _dataset, _points, _query, _slow, _table
 from siftrail.sources import datasets, logs, sinks
 from siftrail.sources import frames as frame_source
 
@@ -28,7 +28,7 @@ __all__ = ["ORACLE_SQL", "QUERIES"]  # those of ``catalog``, with these among th
 def _written(files: DataFrame, label: str) -> str:
     """The folder that (name, content) rows were written to."""
     folder = shared_folder(files.sparkSession, label)
-    sinks.write_named(files, folder).count()
+    sinks.write_named(files, folder)
     return folder
 
 
@@ -174,6 +174,36 @@ def _image_folder(spark: SparkSession, sf_dir: str) -> str:
     return _written(images.unionByName(hidden).unionByName(labels), "dataset")
 
 
+@_query(f"""
+    WITH {_POINTS_SQL}, {_SLOW}, num AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start_us, end_us) - 1 AS i FROM slow WHERE n >= 3),
+    hit AS (SELECT 'u' || n.user_id || '_segment_' || lpad(CAST(n.i AS VARCHAR), 3, '0') || '.log' AS name, p.event_id, p.event_type
+            FROM num n JOIN pts p ON p.user_id = n.user_id AND p.offset_us BETWEEN n.start_us AND n.end_us)
+    SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY event_id) - 1 AS INTEGER) AS line_no, event_id || ';' || event_type AS line FROM hit
+""")
+def written_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1, K3: the lines of each segment written to its file, and read back."""
+    file = F.concat(F.lit("u"), F.col("user_id"), F.lit(".log")).alias("file")
+    parts = ordered.number(_slow(spark, sf_dir).where("n >= 3"), USER).select(file, "seg_idx", "start_us", "end_us")
+    lines = _points(spark, sf_dir).select(file, F.col("event_id").alias("line_no"), F.concat("event_id", F.lit(";"), "event_type").alias("line"), "offset_us")
+    folder = shared_folder(spark, "segments")
+    sinks.write_log_segments(sinks.log_segments(lines, parts), folder)
+    return logs.log_lines(spark, folder).select(F.element_at(F.split("file", "/"), -1).alias("name"), "line_no", "line")
+
+
+@_query("""
+    WITH l AS (SELECT 'v' || c_nationkey || '_frame_' || lpad(CAST(c_custkey // 4 AS VARCHAR), 6, '0') || '.txt' AS name,
+                      printf('%d %.6f %.6f %.6f %.6f', c_custkey % 7, c_custkey / 32, 0.5, c_nationkey / 64, 0.25) AS line FROM customer)
+    SELECT name, CAST(row_number() OVER (PARTITION BY name ORDER BY line) - 1 AS INTEGER) AS line_no, line FROM l
+""")
+def written_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4, K5: a label file for each frame, written and read back line by line; a customer is a detection."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    found = _table(spark, sf_dir, "customer", "c_custkey", "c_nationkey").select(F.concat(F.lit("v"), nation).alias("video"), F.expr("c_custkey div 4").alias("frame_idx"), (key % 7).alias("class_id"), F.array(key / 32, F.lit(0.5), nation / 64, F.lit(0.25)).alias("bbox"))
+    folder = shared_folder(spark, "labels")
+    sinks.write_label_files(frames.label_files(found, "video", "frame_idx"), folder)
+    return logs.log_lines(spark, folder).select(F.element_at(F.split("file", "/"), -1).alias("name"), "line_no", "line")
+
+
 @_query(f"""
     WITH {_IMAGE_SQL} SELECT split, 'i' || k AS stem, CASE WHEN k % 7 = 0 THEN 1280 ELSE CAST(100 + k AS INTEGER) END AS width, CASE WHEN k % 7 = 0 THEN 720 ELSE CAST(200 + k % 50 AS INTEGER) END AS height
     FROM imgs WHERE lower(suffix) IN ('jpg', 'jpeg', 'png', 'bmp', 'tiff')

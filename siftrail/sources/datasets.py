@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import io
-import struct
 from pathlib import Path
 
-import pandas as pd
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siftrail.functions import logs
 from siftrail.functions.session import free_name
+from siftrail.sources import ranged
 from siftrail.sources.logs import listing
 
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tiff")
-FALLBACK = (1280, 720)
+FALLBACK = ranged.FALLBACK
 CONFIG_PLACES = ("data.yaml", "train/data.yaml", "test/data.yaml")
 
 
@@ -81,76 +78,25 @@ def has_test_images(files: DataFrame) -> bool:
     return not files.where((F.col("split") == "test") & (F.col("kind") == "images") & suffix.isin(*IMAGE_SUFFIXES)).isEmpty()
 
 
-def tiff_size(data: bytes) -> tuple[int, int] | None:
-    """Width and height of the first page of a TIFF or BigTIFF file; its directory may stand anywhere."""
-    order = "<" if data[:2] == b"II" else ">"
-    number = lambda kind, at: struct.unpack_from(order + kind, data, at)[0]
-    try:
-        big = number("H", 2) == 43
-        at, width_of = (number("Q", 8), 20) if big else (number("I", 4), 12)
-        first, n = (at + 8, number("Q", at)) if big else (at + 2, number("H", at))
-        found = {}
-        for entry in range(first, min(first + n * width_of, len(data)), width_of):
-            tag, kind = number("H", entry), number("H", entry + 2)
-            if tag in (256, 257) and kind in (3, 4, 16):
-                found[tag] = number({3: "H", 4: "I", 16: "Q"}[kind], entry + (12 if big else 8))
-    except struct.error:
-        return None
-    return (found[256], found[257]) if len(found) == 2 else None
-
-
-def image_size(head: bytes) -> tuple[int, int] | None:
-    """Width and height from the bytes of a PNG, JPEG, BMP, WebP, TIFF or GIF file."""
-    if head[:8] == b"\x89PNG\r\n\x1a\n" and len(head) >= 24:
-        return struct.unpack(">II", head[16:24])
-    if head[:2] == b"BM" and len(head) >= 26:
-        w, h = struct.unpack("<ii", head[18:26])
-        return w, abs(h)
-    if head[:3] == b"GIF" and len(head) >= 10:
-        return struct.unpack("<HH", head[6:10])
-    if head[:4] == b"RIFF" and head[8:16] == b"WEBPVP8 " and len(head) >= 30:
-        w, h = struct.unpack("<HH", head[26:30])
-        return w & 0x3FFF, h & 0x3FFF
-    if head[:4] == b"RIFF" and head[8:16] == b"WEBPVP8L" and len(head) >= 25 and head[20] == 0x2F:
-        bits = struct.unpack("<I", head[21:25])[0]
-        return (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1
-    if head[:4] == b"RIFF" and head[8:16] == b"WEBPVP8X" and len(head) >= 30:
-        return int.from_bytes(head[24:27], "little") + 1, int.from_bytes(head[27:30], "little") + 1
-    if head[:4] in (b"II*\0", b"MM\0*", b"II+\0", b"MM\0+"):
-        return tiff_size(head)
-    if head[:2] == b"\xff\xd8":
-        f = io.BytesIO(head[2:])
-        while (mark := f.read(2)) and len(mark) == 2 and mark[0] == 0xFF:
-            if mark[1] == 0xFF:  # a fill byte
-                f.seek(-1, 1)
-                continue
-            size = f.read(2)
-            if len(size) < 2:
-                return None
-            if 0xC0 <= mark[1] <= 0xCF and mark[1] not in (0xC4, 0xC8, 0xCC):
-                body = f.read(5)
-                return (struct.unpack(">HH", body[1:5])[::-1]) if len(body) == 5 else None
-            f.seek(struct.unpack(">H", size)[0] - 2, 1)
-    return None
-
-
-@F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
-def measured(content: pd.Series) -> pd.DataFrame:
-    """Sizes of images; those that cannot be read count as 1280 x 720."""
-    sizes = [image_size(h) if h is not None else None for h in content]
-    return pd.DataFrame([s if s and s[0] > 0 and s[1] > 0 else FALLBACK for s in sizes], columns=["width", "height"])
+def image_size(content: bytes) -> tuple[int, int] | None:
+    """Width and height of an image held in memory; None if it is none."""
+    return ranged.image_size(ranged.Pages(lambda start, size: content[start : start + size], len(content)))
 
 
 def images(spark: SparkSession, root: str) -> DataFrame:
     """(split, path, stem, width, height) of the images of a dataset, in order of split and path.
 
-    Sizes may stand behind any amount of other data, so whole files are read, but of images alone.
+    Of each image only the pages that tell its size are read; where Arrow cannot open the files' store, whole
+    images are.
     """
     files = dataset_files(spark, root).where((F.col("kind") == "images") & F.col("suffix").isin(*IMAGE_SUFFIXES))
-    any_case = ",".join("*." + "".join(f"[{c}{c.upper()}]" for c in s) for s in IMAGE_SUFFIXES)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"{{{any_case}}}").load(root)
-    sizes = found.select("path", measured(F.col("content")).alias("size"))
-    return files.join(sizes, "path").select("split", "path", "stem", "size.width", "size.height").orderBy("split", "path")
+    if ranged.reachable(root):
+        sized = ranged.sizes(files.select("split", "path", "stem"))
+    else:
+        any_case = ",".join("*." + "".join(f"[{c}{c.upper()}]" for c in s) for s in IMAGE_SUFFIXES)
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"{{{any_case}}}").load(root)
+        sized = files.join(ranged.sizes(found.select("path", "content"), content="content"), "path")
+    return sized.select("split", "path", "stem", "width", "height").orderBy("split", "path")
 
 
 def label_rows(lines: DataFrame, text: str = "value") -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftrail.functions import logs
+from siftrail.functions.session import cut, importable
 from siftrail.operators.ordered import first_offset
 
 
@@ -30,12 +35,37 @@ def recordings(files: DataFrame) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, line_no, line) of every line, in the order of the file.
+    """(file, line_no, line) of every line, numbered from 0 in the order of the file.
 
-    Files are read whole, for only so a line's number is certain; a log is some megabytes at most.
+    Spark splits long logs at any byte range. Lines are numbered within their range as they are read; the
+    lines of the ranges before it in the file, counted first, are added. Lines end in a line feed, with or without a
+    carriage return before it; the last one may lack it.
     """
-    whole = spark.read.text(paths, wholetext=True).select(logs.plain_path(F.input_file_name()).alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+    importable(spark)
+    meta = F.col("_metadata")
+    text = spark.read.option("lineSep", "\n").text(paths)
+    text = text.select(logs.plain_path(meta["file_path"]).alias("file"), meta["file_block_start"].alias("start"), F.regexp_replace("value", "\r$", "").alias("line"))
+    ranges = text.groupBy("file", "start").count()
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = cut(ranges.select("file", "start", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before")), "line-numbers")
+
+    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = [batch.column(i).dictionary_encode().indices.to_numpy() for i in (0, 1)]
+            turns = np.flatnonzero((codes[0][1:] != codes[0][:-1]) | (codes[1][1:] != codes[1][:-1])) + 1
+            places = np.empty(batch.num_rows, np.int64)
+            for a, b in zip([0, *turns], [*turns, batch.num_rows], strict=True):
+                here = (batch.column(0)[a].as_py(), batch.column(1)[a].as_py())
+                n = n if here == now else 0
+                places[a:b] = np.arange(n, n + b - a)
+                now, n = here, n + int(b - a)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places)], names=["file", "start", "line", "place"])
+
+    numbered = text.mapInArrow(number, "file string, start bigint, line string, place bigint")
+    return numbered.join(before, ["file", "start"]).select("file", (F.col("place") + F.col("before")).cast("int").alias("line_no"), "line")
 
 
 def parsed(lines: DataFrame) -> DataFrame:

@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import json
 import zipfile
-from collections.abc import Iterable, Iterator
 from pathlib import Path
 
-import pyarrow as pa
 import yaml
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftrail.functions.session import importable
 from siftrail.operators.annotations import in_report_order
 from siftrail.operators.intervals import rows_inside, segment_name
+from siftrail.sources import named_files
 
 
 def log_segments(lines: DataFrame, segments: DataFrame) -> DataFrame:
@@ -25,35 +22,16 @@ def log_segments(lines: DataFrame, segments: DataFrame) -> DataFrame:
     return rows.select(segment_name(stem, F.col("seg_idx"), suffix).alias("name"), "line_no", "line")
 
 
-def write_named(files: DataFrame, folder: str) -> DataFrame:
-    """Write each (name, content) row as the file of that name below ``folder``; gives (path, bytes).
-
-    Tasks write the files; one that is run again writes the same ones anew. Contents are text or bytes.
-    """
-    importable(files.sparkSession)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
-        for batch in batches:
-            paths, sizes = [], []
-            for name, content in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                data = content.encode("utf-8") if isinstance(content, str) else content or b""
-                path = f"{base}/{name}"
-                store.create_dir(path.rpartition("/")[0], recursive=True)
-                with store.open_output_stream(path, compression=None) as out:
-                    out.write(data)
-                paths.append(path)
-                sizes.append(len(data))
-            yield pa.RecordBatch.from_pydict({"path": paths, "bytes": pa.array(sizes, pa.int64())})
-
-    return files.select("name", "content").mapInArrow(run, "path string, bytes bigint")
+def write_named(files: DataFrame, folder: str) -> None:
+    """Write each (name, content) row as the file of that name below ``folder``; contents are text or bytes. All files or none."""
+    named_files.save(files.select("name", "content"), folder)
 
 
 def write_log_segments(named: DataFrame, path: str) -> int:
-    """A file for each segment, its lines in order; gives the number of files."""
-    lines = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    text = F.concat(F.array_join(F.transform(lines, lambda x: x["line"]), "\n"), F.lit("\n"))
-    return write_named(named.groupBy("name").agg(text.alias("content")), path).count()
+    """A file for each segment, its lines in order, all files or none; gives the number of files."""
+    lines = named.repartition("name").sortWithinPartitions("name", "line_no")
+    named_files.save(lines.select("name", F.concat("line", F.lit("\n")).alias("content")), path)
+    return named.select("name").distinct().count()
 
 
 def segments_written(named: DataFrame, segments: DataFrame) -> DataFrame:
@@ -62,8 +40,9 @@ def segments_written(named: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def write_label_files(files: DataFrame, path: str) -> int:
-    """A text file for each (name, content) row; gives the number of files."""
-    return write_named(files.select(F.concat("name", F.lit(".txt")).alias("name"), "content"), path).count()
+    """A text file for each (name, content) row, its whole content, all files or none; gives the number of files."""
+    named_files.save(files.select(F.concat("name", F.lit(".txt")).alias("name"), "content"), path)
+    return files.count()
 
 
 def dataset_description(names: dict[int, str], folder: str = ".") -> dict:
