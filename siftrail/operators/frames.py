@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,30 +68,54 @@ def count_summary(stats: DataFrame, selected: DataFrame | None = None) -> DataFr
     return counts.crossJoin(own)  # one row each
 
 
-def quantile(df: DataFrame, value: str, n: int, share: float) -> float:
-    """The quantile of ``n`` values, between two neighbours if it falls there, found by counting.
+def order_statistics(df: DataFrame, value: str, places: Callable[[int], list[int]], most: int = 100_000) -> tuple[int, float | None, float | None, list[float]]:
+    """(n, least, greatest, values): the values with as many smaller ones before them as ``places`` of their number says.
 
-    Each pass counts the values of a thousand equal parts of the range and goes on with the part that
-    holds the place, until it holds one value; so no task gathers the values.
+    A mergeable quantile sketch brackets all places in one pass, each between two of a thousand quantiles; one
+    exact pass counts the values within the brackets, and those below them, for all places together. Only if a
+    bracket still holds more than ``most`` values is it narrowed by another sketch first. Nulls are passed over.
     """
-    place = (n - 1) * share
-    at = [kth(df, value, k) for k in sorted({math.floor(place), math.ceil(place)})]
-    return at[0] + (at[-1] - at[0]) * (place - math.floor(place))
-
-
-def kth(df: DataFrame, value: str, k: int, parts: int = 1000) -> float:
-    """The value with ``k`` smaller or equal ones before it."""
     rows = df.select(F.col(value).cast("double").alias("x")).where("x IS NOT NULL")
-    lo, hi = rows.agg(F.min("x"), F.max("x")).first()
-    while lo < hi:
-        part = F.least(F.floor((F.col("x") - lo) / ((hi - lo) / parts)), F.lit(parts - 1))
-        inside = rows.where((F.col("x") >= lo) & (F.col("x") <= hi)).groupBy(part.alias("part"))
-        for r in sorted(inside.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()):
-            if k < r["n"]:
-                lo, hi = r["lo"], r["hi"]
-                break
-            k -= r["n"]
-    return lo
+    grid = F.array(*[F.lit(k / 1000) for k in range(1001)])
+    sketch = lambda x: F.percentile_approx(x, grid, F.lit(10_000))
+    n, lo, hi, found = rows.agg(F.count("*"), F.min("x"), F.max("x"), sketch(F.col("x"))).first()
+    if not n:
+        return 0, None, None, []
+    wanted = places(n)
+    spans = [_bracket(found, k, 0, n) for k in wanted]
+    while max(s[2] for s in spans) > most and any(a < b for a, b, _ in spans):
+        each = [c for a, b, _ in spans for c in (F.count_if(F.col("x") < a), F.count_if(F.col("x").between(a, b)), sketch(F.when(F.col("x").between(a, b), F.col("x"))))]
+        got = rows.agg(*each).first()
+        narrower = [_bracket(got[3 * i + 2], k, got[3 * i], got[3 * i + 1]) for i, k in enumerate(wanted)]
+        if [s[:2] for s in narrower] == [s[:2] for s in spans]:
+            break  # few distinct values, which the exact pass counts together
+        spans = narrower
+    inside = [F.col("x").between(a, b) for a, b, _ in spans]
+    edges = sorted({a for a, _, _ in spans})
+    zone = sum((F.when(F.col("x") >= a, 1).otherwise(0) for a in edges), F.lit(0))
+    held = F.when(reduce(lambda p, q: p | q, inside), F.col("x"))
+    counts = sorted(((r["zone"], r["x"] is None, r["x"] or 0.0, r["n"]) for r in rows.groupBy(zone.alias("zone"), held.alias("x")).agg(F.count("*").alias("n")).collect()))
+    out = []
+    for k, (a, b, _) in zip(wanted, spans, strict=True):
+        before = sum(c for _, other, x, c in counts if not other and x < a) + sum(c for z, other, _, c in counts if other and z <= edges.index(a))
+        for _, other, x, c in counts:
+            if not other and a <= x <= b:
+                if k < before + c:
+                    out.append(x)
+                    break
+                before += c
+    return n, lo, hi, out
+
+
+def _bracket(quantiles: list[float], k: int, below: int, n: int) -> tuple[float, float, int]:
+    """Two quantiles that hold the value of place ``k`` between them, and about how many values they hold.
+
+    ``quantiles`` are thousandths of ``n`` values with ``below`` smaller ones before them, each off by a
+    ten-thousandth of them at most.
+    """
+    share, room = (k - below) / n, 2e-4 + 2 / n
+    first, last = max(0, math.floor((share - room) * 1000)), min(1000, math.ceil((share + room) * 1000))
+    return quantiles[first], quantiles[last], (last - first) * n // 1000
 
 
 def auto_bins(df: DataFrame, value: str) -> tuple[int, float, float]:
@@ -100,16 +125,16 @@ def auto_bins(df: DataFrame, value: str) -> tuple[int, float, float]:
     of whole numbers are one wide at least. Of no values it is one bin over [0, 1].
     """
     whole = dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
-    s = df.agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-    if not s["n"]:
+    around = lambda n, q: [math.floor((n - 1) * q), math.ceil((n - 1) * q)]
+    n, lo, hi, at = order_statistics(df, value, lambda n: around(n, 0.25) + around(n, 0.75))
+    if not n:
         return 1, 0.0, 1.0
-    lo, hi = float(s["lo"]), float(s["hi"])
     if lo == hi:
         return 1, lo - 0.5, hi + 0.5
     reach = hi - lo
-    sturges = reach / (math.log2(s["n"]) + 1)
-    q1, q3 = (quantile(df, value, s["n"], q) for q in (0.25, 0.75))
-    diaconis = max(2 * (q3 - q1) * s["n"] ** (-1 / 3), reach / math.sqrt(s["n"]) / 2)
+    sturges = reach / (math.log2(n) + 1)
+    q1, q3 = (a + (b - a) * ((n - 1) * q % 1) for q, a, b in ((0.25, *at[:2]), (0.75, *at[2:])))
+    diaconis = max(2 * (q3 - q1) * n ** (-1 / 3), reach / math.sqrt(n) / 2)
     width = min(diaconis, sturges)
     if whole:
         width = max(width, 1.0)

@@ -30,12 +30,14 @@ def matches_at(predictions: DataFrame, labels: DataFrame, image: list[str], thre
     preds = predictions.where(F.col("confidence") >= least_confidence)
     truth = labels.select(*image, "class_id", "label_id", *[F.col(c).alias(f"t_{c}") for c in BOX])
     overlap = F.round(iou(tuple(map(F.col, BOX)), tuple(F.col(f"t_{c}") for c in BOX)), 9)
-    met = preds.join(truth, [*image, "class_id"], "left").withColumn("overlap", overlap).withColumn("threshold", F.explode(_list(thresholds)))
-    met = met.withColumn("overlap", F.when(F.col("overlap") >= F.col("threshold"), F.col("overlap")))
+    met = preds.join(truth, [*image, "class_id"], "left").withColumn("overlap", overlap)
+    met = met.withColumn("overlap", F.when(F.col("overlap") >= min(map(float, thresholds)), F.col("overlap")))
     met = met.withColumn("label_id", F.when(F.col("overlap").isNotNull(), F.col("label_id")))
-    # Both windows keep within an image and class, as the join has dealt the rows already.
-    by_pred = Window.partitionBy(*image, "class_id", "threshold", "pred_id").orderBy(F.desc_nulls_last("overlap"), "label_id")
-    best = met.withColumn("place", F.row_number().over(by_pred)).where("place = 1")
+    # Both windows keep within an image and class, as the join has dealt the rows already. A prediction's best
+    # label is the same at every threshold that their overlap reaches, so one pair of each goes on.
+    by_pred = Window.partitionBy(*image, "class_id", "pred_id").orderBy(F.desc_nulls_last("overlap"), "label_id")
+    best = met.withColumn("place", F.row_number().over(by_pred)).where("place = 1").withColumn("threshold", F.explode(_list(thresholds)))
+    best = best.withColumn("overlap", F.when(F.col("overlap") >= F.col("threshold"), F.col("overlap"))).withColumn("label_id", F.when(F.col("overlap").isNotNull(), F.col("label_id")))
     by_label = Window.partitionBy(*image, "class_id", "threshold", "label_id").orderBy(F.desc("confidence"), "pred_id")
     first = F.col("label_id").isNotNull() & (F.row_number().over(by_label) == 1)
     return best.select("threshold", *image, "class_id", "pred_id", "confidence", "label_id", "overlap", first.alias("is_tp"))

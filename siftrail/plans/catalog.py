@@ -624,15 +624,15 @@ def merged_class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ap_at(threshold: float) -> str:
     table = _AP_TABLE.replace("overlap >= 0.5", f"overlap >= {threshold}")
-    return f"SELECT * FROM (WITH {table} SELECT class_id, {threshold} AS t, ap FROM pr) x{int(threshold * 100)}"
+    return f"SELECT * FROM (WITH {table} SELECT class_id, {threshold} AS t, ap FROM pr) x{round(threshold * 100)}"
 
 
 @_query(f"""
-    WITH each_t AS ({" UNION ALL ".join(map(_ap_at, (0.5, 0.7, 0.9)))})
+    WITH each_t AS ({" UNION ALL ".join(map(_ap_at, (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)))})
     SELECT class_id, round(max(CASE WHEN t = 0.5 THEN ap END), 6) AS ap50, round(avg(ap), 6) AS ap FROM each_t GROUP BY class_id
 """)
 def mean_average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = metrics.mean_over_thresholds(*_boxes(spark, sf_dir), ["image"], (0.5, 0.7, 0.9))
+    out = metrics.mean_over_thresholds(*_boxes(spark, sf_dir), ["image"])
     return out.select("class_id", F.round("ap50", 6).alias("ap50"), F.round("ap", 6).alias("ap"))
 
 
