@@ -36,7 +36,7 @@ from siftrail.functions.session import importable
 from siftrail.llm.common import col, map_batches, written
 
 END = b""  # no word is empty
-CHUNK = 1 << 22  # tokens whose grams are counted together in a task
+CHUNK = 1 << 21  # tokens whose grams are counted together in a task
 SHARD_TOKENS = 1 << 21
 REMEMBERED = 400_000  # words a task counts before it gives them away
 STOPS = np.uint64(0x9E3779B97F4A7C15)  # the constants of the splitmix64 finaliser are fixed values
@@ -168,7 +168,7 @@ class LanguageModel:
     scale: Scale = field(default_factory=Scale)
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 10, bits_per_event: float = 10.0, probes: int = 5, prior: float = 400.0, common: int = 1 << 18, scale: Scale = Scale()) -> LanguageModel:
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 10, bits_per_event: float = 10.0, probes: int = 5, prior: float = 400.0, common: int = 1 << 22, scale: Scale = Scale()) -> LanguageModel:
     """Learn from all documents with an id that are not held out, whole: counts of all words and pairs."""
     frame = docs.where(col(doc_id).isNotNull() & ~held_out(col(doc_id), folds)).select(col(text).alias("t"))
 
@@ -229,7 +229,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
 
 PIECE = 1 << 20  # bytes hashed at once
 LONG = 256  # longer words are hashed one by one
-SEGMENT = 1 << 20  # tokens scored at once
+SEGMENT = 1 << 18  # tokens scored at once
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _FACTOR = 0x5851F42D4C957F2D  # odd, so that it has an inverse
 

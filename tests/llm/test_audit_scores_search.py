@@ -90,7 +90,7 @@ def slow_base(rows):
     return [(i, i is not None and zlib.crc32(str(i).encode()) % 10 == 0, len(tok(t)), sum(counts[w] > 0 for w in tok(t)), n, sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tok(t))) for i, t, _ in rows]
 
 
-@pytest.mark.parametrize(("seed", "common"), [(0, 1 << 18), (1, 40), (2, 1)])
+@pytest.mark.parametrize(("seed", "common"), [(0, 1 << 22), (1, 40), (2, 1)])
 def test_scores_in_one_scan_and_by_shards(spark, monkeypatch, seed, common):
     monkeypatch.setattr(lm_score, "SHARD_TOKENS", 700)
     rows = documents(seed)
