@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftrail.llm.common import col
+from siftrail.llm.common import col, written
 
 SPACE = " \t\n\x0b\f\r"
 
@@ -44,8 +44,8 @@ def text_failures(text: Column) -> dict[str, Column]:
 def failures(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
     """(part, good, toxic, A to E) of every document: its failed filters and what its labels say.
 
-    Copies meet by the hash of their text: the smallest id of each hash is found with counts combined before
-    the exchange, and a text that a third of all documents share is a skewed join, which Spark splits.
+    Copies meet by the hash of their text. The smallest id of each hash of several documents is found with counts combined before
+    the exchange and written; so a text that a third of all documents share is a skewed side of a join, which Spark splits.
     """
     whole = F.coalesce(col(text), F.lit(""))
     read = docs.select(col(doc_id).alias("i"), F.coalesce(col(part).cast("string"), F.lit("")).alias("part"), whole.alias("t"))
@@ -53,7 +53,7 @@ def failures(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     alone = F.transform(F.array(F.col("t")), lambda t: F.struct(*[c.alias(k) for k, c in text_failures(t).items()]))
     rows = read.select("i", "part", F.unhex(F.sha2("t", 256)).alias("h"), F.explode(alone).alias("f")).select("i", "part", "h", "f.*")
     firsts = read.groupBy(F.unhex(F.sha2("t", 256)).alias("h")).agg(F.min("i").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").drop("n")
-    copied = rows.join(firsts, "h", "left").withColumn("E", F.expr("first IS NOT NULL AND (i IS NULL OR i > first)")).drop("h", "first")
+    copied = rows.join(written(firsts, "firsts"), "h", "left").withColumn("E", F.expr("first IS NOT NULL AND (i IS NULL OR i > first)")).drop("h", "first")
     marks = labels.groupBy(col("doc_id").alias("i")).agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
     return copied.join(marks, "i", "left").select("part", *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in ("good", "toxic", *"ABCDE")])
 
@@ -87,9 +87,8 @@ def replay(failed: DataFrame, letters: str = "ABCDE", part: str = "part", losses
         *[F.count_if(here & F.col(c)).alias(f"{c}_lost") for c in losses],
     )
     # 600 rows a part from here on
-    letter = F.expr("substr(filter_order, step, 1)")
-    shapley = counted.groupBy("part", letter.alias("letter")).agg(F.sum("removed").alias("shapley"))
-    return counted.withColumn("letter", letter).join(shapley, ["part", "letter"]).drop("letter")
+    of_filter = Window.partitionBy("part", F.expr("substr(filter_order, step, 1)"))
+    return counted.withColumn("shapley", F.sum("removed").over(of_filter))
 
 
 def audit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
