@@ -68,6 +68,14 @@ def count_summary(stats: DataFrame, selected: DataFrame | None = None) -> DataFr
     return counts.crossJoin(own)  # one row each
 
 
+def run_counters(pairs: DataFrame, segments: DataFrame, videos: DataFrame, stats: DataFrame, selected: DataFrame, least_count: int, gap: int) -> DataFrame:
+    """One row of what a run has done: recordings paired, segments cut, videos seen, frames processed and saved, with its two bounds."""
+    counts = {"pairs": pairs, "segments": segments, "total_videos": videos, "total_frames_processed": stats, "total_frames_saved": selected}
+    rows = [df.agg(F.count(F.lit(1)).alias(name)) for name, df in counts.items()]
+    joined = reduce(lambda a, b: a.crossJoin(b), rows)  # one row each
+    return joined.select("*", F.lit(least_count).alias("min_count_threshold"), F.lit(gap).alias("min_interval"))
+
+
 def order_statistics(df: DataFrame, value: str, places: Callable[[int], list[int]], most: int = 100_000) -> tuple[int, float | None, float | None, list[float]]:
     """(n, least, greatest, values): the values with as many smaller ones before them as ``places`` of their number says.
 

@@ -9,15 +9,16 @@ from __future__ import annotations
 import zipfile
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftrail.functions.session import shared_folder
-from siftrail.operators import annotations, frames, ordered, prepare
+from siftrail.operators import annotations, frames, inference, ordered, prepare
 from siftrail.plans import catalog_long, registry, segments, stages  # noqa: F401  catalog_long adds its queries
-from siftrail.plans.catalog import _IMAGES_SQL, _POINTS_SQL, _SLOW, ORACLE_SQL, QUERIES, USER, _dataset, _points, _query, _slow, _table
+from siftrail.plans.catalog import _IMAGES_SQL, _POINTS_SQL, _SLOW, _STATS_SQL, ORACLE_SQL, QUERIES, USER, _dataset, _points, _query, _slow, _stats, _table
 from siftrail.sources import datasets, logs, sinks
 from siftrail.sources import frames as frame_source
 
@@ -71,6 +72,67 @@ def ordered_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(r.name, r.length, k) for k, r in enumerate(rows.itertuples(index=False), 1)], "name string, length long, place long")
 
 
+@_query(f"""
+    WITH RECURSIVE {_POINTS_SQL}, {_SLOW}, {_STATS_SQL},
+    pick AS (SELECT user_id, min(frame_idx) AS place FROM stats WHERE detection_count >= 2 GROUP BY 1
+             UNION ALL SELECT p.user_id, (SELECT min(c.frame_idx) FROM stats c WHERE c.user_id = p.user_id AND c.detection_count >= 2 AND c.frame_idx >= p.place + 3) FROM pick p WHERE p.place IS NOT NULL)
+    SELECT (SELECT count(*) FROM supplier WHERE s_suppkey % 4 <> 3 AND s_suppkey % 3 <> 0) AS pairs, (SELECT count(*) FROM slow WHERE n >= 3) AS segments, (SELECT count(*) FROM supplier WHERE s_suppkey % 4 = 1) AS total_videos,
+           (SELECT count(*) FROM stats) AS total_frames_processed, (SELECT count(*) FROM pick WHERE place IS NOT NULL) AS total_frames_saved, 2 AS min_count_threshold, 3 AS min_interval
+""")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run over recordings and videos has done, as one row."""
+    folder = _recordings(spark, sf_dir)
+    stats = _stats(spark, sf_dir)
+    picked = frames.pick_frames(stats, "user_id", "frame_idx", 2, 3)
+    return frames.run_counters(logs.recordings(logs.listing(spark, folder)), _slow(spark, sf_dir).where("n >= 3"), logs.listing(spark, folder, "*.mp4"), stats, picked, 2, 3)
+
+
+# Models: weights by which SQL can do the same.
+
+def _classifier() -> inference.Classifier:
+    weights, shift = np.array([[0.03, -0.01], [-0.02, 0.04], [0.0, 0.0]]), np.array([-1.0, -0.5, 0.25])
+
+    def probabilities(value: np.ndarray, part: np.ndarray) -> np.ndarray:
+        scores = np.exp(np.stack([value, part], axis=1) @ weights.T + shift)
+        return scores / scores.sum(axis=1, keepdims=True)
+
+    return inference.Classifier({0: "active", 1: "idle", 2: "unknown"}, probabilities)
+
+
+@_query("""
+    WITH s AS (SELECT event_id, exp(0.03 * value - 0.01 * (event_id % 97) - 1) AS a, exp(-0.02 * value + 0.04 * (event_id % 97) - 0.5) AS i, exp(0.25) AS u FROM events),
+    t AS (SELECT event_id, CASE WHEN a >= i AND a >= u THEN 'active' WHEN i >= u THEN 'idle' ELSE 'unknown' END AS top1, greatest(a, i, u) / (a + i + u) AS confidence FROM s)
+    SELECT event_id, top1, round(confidence, 6) AS confidence, top1 = 'active' AND confidence >= 0.5 AS is_active FROM t
+""")
+def classified_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each frame's most probable class and its confidence, by a model loaded in the workers."""
+    features = _table(spark, sf_dir, "events", "event_id", "value").withColumn("part", (F.col("event_id") % 97).cast("double"))
+    judged = inference.classified(features, _classifier, ["value", "part"])
+    return judged.select("event_id", "top1", F.round("confidence", 6).alias("confidence"), frames.is_class(F.col("top1"), F.col("confidence"), "active", 0.5).alias("is_active"))
+
+
+def _detector():  # noqa: ANN202
+    def model(value: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for v, k in zip(value, key, strict=True):
+            j = np.arange(int(v) % 4)
+            out.append(np.stack([(k + j) % 3, 1 / (1 + j + v / 100), (k % 10 + j) / 20, j / 8, np.full(len(j), 0.25), v / 1000 + 0 * j], axis=1))
+        return out
+
+    return model
+
+
+@_query("""
+    WITH e AS (SELECT event_id, value, CAST(floor(value) AS BIGINT) % 4 AS n FROM events),
+    d AS (SELECT event_id, value, unnest(range(n)) AS j FROM e)
+    SELECT event_id, CAST((event_id + j) % 3 AS INTEGER) AS class_id, round(1 / (1 + j + value / 100), 6) AS confidence, round((event_id % 10 + j) / 20, 6) AS xc, j / 8 AS yc, CAST(0.25 AS DOUBLE) AS w, round(value / 1000, 6) AS h FROM d
+""")
+def detected_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detections of each frame, by a model loaded in the workers."""
+    found = inference.detected(_table(spark, sf_dir, "events", "event_id", "value"), _detector, ["value", "event_id"])
+    return found.select("event_id", "class_id", *[F.round(c, 6).alias(c) for c in ("confidence", "xc", "yc", "w", "h")])
+
+
 _LOG_SQL = """
     e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
     lines AS (SELECT 'u' || user_id || '.log' AS file, n, ts, event_id,
