@@ -2,6 +2,7 @@
 
 Every stage takes tables of any size, empty ones included, with columns besides those of documents; the
 first four pass them on, the last one gives the columns of documents, the number of tokens and their ids.
+Each bounds what Spark hands to Python at once, unless the session has a bound of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from siftrail.llm import bpe, decontaminate, language_id, line_dedup
 from siftrail.llm.common import written
 from siftrail.llm.near_copies import keep_first
-from siftrail.llm.queries import word_vocabulary
+from siftrail.llm.queries import settle, word_vocabulary
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,6 +22,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null texts and texts without a letter go, also very long ones; ties go to the language that sorts first.
     Repeated rows are judged one by one. Nothing is left of a table without labelled rows.
     """
+    settle(spark)
     return language_id.keep_identified(docs)
 
 
@@ -29,6 +31,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null texts stay, with a null length; so do rows without a source and texts that lose all their lines.
     """
+    settle(spark)
     kept = line_dedup.drop_boilerplate(docs)
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
@@ -39,16 +42,19 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The smallest id stays; null ids come last, and among rows of one id the row's hash decides. Null and
     empty texts are one group.
     """
+    settle(spark)
     return keep_first(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item. Null texts contain none, and an empty benchmark has none."""
+    settle(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents with their token ids; null texts have none. Very long texts are encoded whole."""
+    settle(spark)
     coded = bpe.encode_decode(docs, word_vocabulary)
     return coded.select("doc_id", "lang", "source", "text", "n_chars", "n_tokens", "ids")
 
