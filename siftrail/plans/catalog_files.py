@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from siftrail.functions.session import shared_folder
 from siftrail.operators import annotations, frames, inference, ordered, prepare
-from siftrail.plans import catalog_long, registry, segments, stages  # noqa: F401  catalog_long adds its queries
+from siftrail.plans import catalog_long, catalog_streams, registry, segments, stages  # noqa: F401  the first two add their queries
 from siftrail.plans.catalog import _IMAGES_SQL, _POINTS_SQL, _SLOW, _STATS_SQL, ORACLE_SQL, QUERIES, USER, _dataset, _points, _query, _slow, _stats, _table
 from siftrail.sources import datasets, logs, sinks
 from siftrail.sources import frames as frame_source
