@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftrail.functions.session import free_name
+
 DAY_US = 86_400_000_000
 
 
@@ -16,9 +18,9 @@ def _bucket(at: Column, size: int) -> Column:
     return F.floor(at / size).cast("bigint")
 
 
-def _spread(segments: DataFrame, size: int, beyond: int = 0) -> DataFrame:
+def _spread(segments: DataFrame, size: int, beyond: int = 0, bucket: str = "bucket") -> DataFrame:
     """A row for each bucket that a segment, drawn out by ``beyond``, touches."""
-    return segments.withColumn("__bucket", F.explode(F.sequence(_bucket(F.col("start_us"), size), _bucket(F.col("end_us") + beyond, size))))
+    return segments.withColumn(bucket, F.explode(F.sequence(_bucket(F.col("start_us"), size), _bucket(F.col("end_us") + beyond, size))))
 
 
 def intersect(a: DataFrame, b: DataFrame, keys: list[str], least_us: int = 0, bucket_us: int = DAY_US) -> DataFrame:
@@ -27,20 +29,24 @@ def intersect(a: DataFrame, b: DataFrame, keys: list[str], least_us: int = 0, bu
     A bound of 0 keeps segments that only touch, a negative one also those that miss each other
     by no more than that.
     """
-    beyond = max(0, -least_us)
-    left = _spread(a.select(*keys, "start_us", "end_us"), bucket_us, beyond)
-    right = _spread(b.select(*keys, F.col("start_us").alias("b_start"), F.col("end_us").alias("b_end")).withColumnsRenamed({"b_start": "start_us", "b_end": "end_us"}), bucket_us, beyond)
+    beyond, bucket = max(0, -least_us), free_name(a.select(*keys), "bucket")
+    left = _spread(a.select(*keys, "start_us", "end_us"), bucket_us, beyond, bucket)
+    right = _spread(b.select(*keys, F.col("start_us").alias("b_start"), F.col("end_us").alias("b_end")).withColumnsRenamed({"b_start": "start_us", "b_end": "end_us"}), bucket_us, beyond, bucket)
     right = right.withColumnsRenamed({"start_us": "b_start", "end_us": "b_end"})
     start, end = F.greatest("start_us", "b_start"), F.least("end_us", "b_end")
-    met = left.join(right, [*keys, "__bucket"]).where((_bucket(start, bucket_us) == F.col("__bucket")) & (end - start >= least_us))
+    met = left.join(right, [*keys, bucket]).where((_bucket(start, bucket_us) == F.col(bucket)) & (end - start >= least_us))
     return met.select(*keys, start.alias("start_us"), end.alias("end_us"))
 
 
 def rows_inside(rows: DataFrame, segments: DataFrame, keys: list[str], offset: str = "offset_us", bucket_us: int = DAY_US) -> DataFrame:
-    """Every row with each segment whose closed range holds its offset."""
-    dealt = rows.where(F.col(offset).isNotNull()).withColumn("__bucket", _bucket(F.col(offset), bucket_us))
+    """Every row with each segment whose closed range holds its offset.
+
+    A segment is copied to every bucket it touches; for segments much longer than a bucket, see ``sweep``.
+    """
+    bucket = free_name(rows.join(segments.limit(0), keys), "bucket")
+    dealt = rows.where(F.col(offset).isNotNull()).withColumn(bucket, _bucket(F.col(offset), bucket_us))
     inside = F.col(offset).between(F.col("start_us"), F.col("end_us"))
-    return dealt.join(_spread(segments, bucket_us), [*keys, "__bucket"]).where(inside).drop("__bucket")
+    return dealt.join(_spread(segments, bucket_us, bucket=bucket), [*keys, bucket]).where(inside).drop(bucket)
 
 
 def gated(rows: DataFrame, segments: DataFrame, keys: list[str]) -> DataFrame:

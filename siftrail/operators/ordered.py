@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftrail.functions.session import importable
+from siftrail.functions.session import free_name, importable
 
 Keys = list[str]
 
@@ -35,7 +35,8 @@ def first_offset(df: DataFrame, keys: Keys, order: Keys, ts: str, out: str = "of
 
 def at_least(df: DataFrame, keys: Keys, n: int = 2) -> DataFrame:
     """Only recordings with ``n`` rows or more."""
-    return df.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(F.col("__n") >= n).drop("__n")
+    size = free_name(df, "size")
+    return df.withColumn(size, F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(F.col(size) >= n).drop(size)
 
 
 def moving_rate(df: DataFrame, keys: Keys, order: Keys, micros: str, distance: Callable[[Callable[[str], Column]], Column], size: int = 5, out: str = "speed_kmh") -> DataFrame:
@@ -51,19 +52,21 @@ def moving_rate(df: DataFrame, keys: Keys, order: Keys, micros: str, distance: C
     step = _window(keys, order)
     span = F.lead(micros).over(step) - F.col(micros)
     length = distance(lambda name: F.lead(name).over(step))
-    stepped = df.withColumn("__us", F.when(span > 0, span)).withColumn("__m", F.when(F.col("__us").isNotNull(), length))
+    us, metres = free_name(df, "step_us"), free_name(df, "step_m")
+    stepped = df.withColumn(us, F.when(span > 0, span)).withColumn(metres, F.when(F.col(us).isNotNull(), length))
     frame = step.rowsBetween(-half, half - 1)
-    rate = F.try_divide(F.sum("__m").over(frame), F.sum("__us").over(frame) / 1e6) * 3.6
-    return stepped.withColumn(out, F.coalesce(rate, F.lit(0.0))).drop("__us", "__m")
+    rate = F.try_divide(F.sum(metres).over(frame), F.sum(us).over(frame) / 1e6) * 3.6
+    return stepped.withColumn(out, F.coalesce(rate, F.lit(0.0))).drop(us, metres)
 
 
 def islands(df: DataFrame, keys: Keys, order: Keys, active: Column, offset: str, *aggregates: Column) -> DataFrame:
     """One row for each maximal run of rows that are all active: its first and last offset and ``n``."""
-    marked = df.withColumn("__on", F.coalesce(active, F.lit(False)))
-    runs = marked.withColumn("__island", F.sum(F.when(F.col("__on"), 0).otherwise(1)).over(_so_far(keys, order)))
+    on, island = free_name(df, "on"), free_name(df, "island")
+    marked = df.withColumn(on, F.coalesce(active, F.lit(False)))
+    runs = marked.withColumn(island, F.sum(F.when(F.col(on), 0).otherwise(1)).over(_so_far(keys, order)))
     place = F.struct(*order)
-    found = runs.where("__on").groupBy(*keys, "__island").agg(F.min_by(offset, place).alias("start_us"), F.max_by(offset, place).alias("end_us"), F.count("*").alias("n"), *aggregates)
-    return found.drop("__island")
+    found = runs.where(F.col(on)).groupBy(*keys, island).agg(F.min_by(offset, place).alias("start_us"), F.max_by(offset, place).alias("end_us"), F.count("*").alias("n"), *aggregates)
+    return found.drop(island)
 
 
 def long_enough(segments: DataFrame, least_us: int, extent: Column | None = None, least_m: float = 0.0) -> DataFrame:
@@ -82,12 +85,13 @@ def debounce(df: DataFrame, keys: Keys, order: Keys, status: str, interval: int)
     step = _window(keys, order)
     before = F.coalesce(F.lag(own).over(step), F.lit(False))
     first = F.lag(F.lit(1)).over(step).isNull()
-    marked = df.withColumn("__switch", own != before).withColumn("__new", (own != before) | first)
-    marked = marked.withColumn("__run", F.sum(F.col("__new").cast("int")).over(_so_far(keys, order)))
-    within = Window.partitionBy(*keys, "__run").orderBy(*order)
-    marked = marked.withColumn("__k", F.row_number().over(within)).withColumn("__switched", F.max("__switch").over(Window.partitionBy(*keys, "__run")))
-    least = F.when(F.col("__switched"), F.lit(max(interval + 1, 2))).otherwise(F.lit(interval + 1))
-    return marked.where(F.col("__k") >= least).drop("__switch", "__new", "__run", "__k", "__switched")
+    switch, new, run, k, switched = (free_name(df, x) for x in ("switch", "new", "run", "k", "switched"))
+    marked = df.withColumn(switch, own != before).withColumn(new, (own != before) | first)
+    marked = marked.withColumn(run, F.sum(F.col(new).cast("int")).over(_so_far(keys, order)))
+    within = Window.partitionBy(*keys, run).orderBy(*order)
+    marked = marked.withColumn(k, F.row_number().over(within)).withColumn(switched, F.max(switch).over(Window.partitionBy(*keys, run)))
+    least = F.when(F.col(switched), F.lit(max(interval + 1, 2))).otherwise(F.lit(interval + 1))
+    return marked.where(F.col(k) >= least).drop(switch, new, run, k, switched)
 
 
 def status_segments(df: DataFrame, keys: Keys, order: Keys, status: str, offset: str, least_us: int) -> DataFrame:

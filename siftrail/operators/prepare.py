@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftrail.functions.session import free_name
+
 SEED = 42
 
 
@@ -34,7 +36,8 @@ def folder_weights(df: DataFrame, folder: str, key: str, weights: dict[str, floa
         weight = F.when(F.col(folder) == name, float(w)).otherwise(weight)
     whole = F.floor(weight)
     n = (whole + F.when(share(F.col(key), f"weight {seed}") < weight - whole, 1).otherwise(0)).cast("int")
-    return df.withColumn("__n", n).where("__n > 0").withColumn(out, F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    times = free_name(df, "times")
+    return df.withColumn(times, n).where(F.col(times) > 0).withColumn(out, F.explode(F.sequence(F.lit(0), F.col(times) - 1))).drop(times)
 
 
 def multiplied(df: DataFrame, times: int, out: str = "variant") -> DataFrame:

@@ -177,3 +177,22 @@ def test_segments_with_a_classifier(spark):
     status = spark.createDataFrame([(f, i, i * 10_000_000, 3 <= i < 15) for f in ("a", "c") for i in range(20)], "file string, line_no int, offset_us long, is_active boolean")
     got = segments.segments(points, status, KEYS, ORDER, rules, debounce=1).orderBy("file").collect()
     assert [tuple(r) for r in got] == [("a", 40_000_000, 160_000_000, 0), ("b", 0, 190_000_000, 0)]
+
+
+def test_columns_of_the_same_names_as_helpers_pass_through(spark):
+    """Every operator leaves a user's columns as they are, whatever their names."""
+    df, _ = series(spark, seed=3)
+    helpers = ["size", "step_us", "step_m", "on", "island", "switch", "new", "run", "k", "switched", "bucket", "Block"]
+    wide = df
+    for c in helpers:
+        wide = wide.withColumn(c, F.lit(f"my {c}"))
+    mine = lambda d: {tuple(r) for r in d.select(*helpers).distinct().collect()}
+    want = {tuple(f"my {c}" for c in helpers)}
+    assert mine(ordered.at_least(wide, KEYS, 2)) == want
+    assert mine(ordered.moving_rate(wide, KEYS, ORDER, "offset_us", lambda ahead: ahead("lat") - F.col("lat"), 5)) == want
+    held = ordered.debounce(wide, KEYS, ORDER, "active", 1)
+    assert mine(held) == want and held.drop(*helpers).exceptAll(ordered.debounce(df, KEYS, ORDER, "active", 1)).count() == 0
+    runs = ordered.islands(wide, KEYS, ORDER, F.col("active"), "offset_us", F.min("on").alias("a"), F.max("island").alias("b"))
+    assert {(r["a"], r["b"]) for r in runs.collect()} == {("my on", "my island")}
+    segs = spark.createDataFrame([("f0", 0, 10**8)], "file string, start_us long, end_us long")
+    assert mine(intervals.rows_inside(wide, segs, KEYS)) == want
