@@ -7,10 +7,15 @@ positive and the others are false. Average precision is the area below the preci
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftrail.functions.boxes import iou
+from siftrail.functions.session import importable
 
 BOX = ("xc", "yc", "w", "h")
 STEPS = 1024
@@ -43,6 +48,63 @@ def matches_at(predictions: DataFrame, labels: DataFrame, image: list[str], thre
     return best.select("threshold", *image, "class_id", "pred_id", "confidence", "label_id", "overlap", first.alias("is_tp"))
 
 
+def candidates(predictions: DataFrame, labels: DataFrame, image: list[str], least: float) -> DataFrame:
+    """Pairs of a prediction and a label of one image and class that may overlap by ``least``, which is over 0.
+
+    Boxes that overlap by a share t differ in their longer side by a factor of 1/t at most. So a box is dealt to the
+    cells it covers of the grid whose cells are just as long as its longer side, and of the next coarser ones up to that
+    factor; a pair meets in the grid of its larger box alone, in the cell that holds the lower corner of their
+    overlap. An image of n boxes costs some n copies and the pairs of neighbours, not all pairs.
+    """
+    reach = math.ceil(math.log2(1 / (least - 1e-9)) + 1e-9)  # overlaps are compared to nine decimals
+
+    def dealt(boxes: DataFrame, prefix: str) -> DataFrame:
+        low = [F.col(c) - F.col(side) / 2 for c, side in (("xc", "w"), ("yc", "h"))]
+        high = [F.col(c) + F.col(side) / 2 for c, side in (("xc", "w"), ("yc", "h"))]
+        longer = F.greatest("w", "h")
+        own = boxes.where((longer > 0) & (longer < math.inf)).withColumns({f"{prefix}level": F.ceil(F.log2(longer)).cast("int"), f"{prefix}x": low[0], f"{prefix}y": low[1], f"{prefix}xx": high[0], f"{prefix}yy": high[1]})
+        leveled = own.withColumn("level", F.explode(F.sequence(F.col(f"{prefix}level"), F.col(f"{prefix}level") + reach)))
+        cell = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level")))
+        across = leveled.withColumn("cell_x", F.explode(F.sequence(cell(f"{prefix}x"), cell(f"{prefix}xx"))))
+        return across.withColumn("cell_y", F.explode(F.sequence(cell(f"{prefix}y"), cell(f"{prefix}yy"))))
+
+    preds = dealt(predictions.select(*image, "class_id", "pred_id", "confidence", *BOX), "p_").withColumnsRenamed({c: f"p_{c}" for c in BOX})
+    truth = dealt(labels.select(*image, "class_id", "label_id", *BOX), "t_").withColumnsRenamed({c: f"t_{c}" for c in BOX})
+    met = preds.join(truth, [*image, "class_id", "level", "cell_x", "cell_y"])
+    corner = lambda c: F.floor(F.greatest(f"p_{c}", f"t_{c}") / F.pow(F.lit(2.0), F.col("level")))
+    once = (F.col("level") == F.greatest("p_level", "t_level")) & (F.col("cell_x") == corner("x")) & (F.col("cell_y") == corner("y"))
+    return met.where(once).select(*image, "class_id", "pred_id", "confidence", "label_id", *[f"{k}{c}" for k in ("p_", "t_") for c in BOX])
+
+
+def assigned(predictions: DataFrame, labels: DataFrame, image: list[str], threshold: float = 0.5, least_confidence: float = 0.0) -> DataFrame:
+    """(image, class_id, pred_id, confidence, label_id, overlap, is_tp) of every prediction, labels used up by confidence.
+
+    In order of falling confidence, ties by id, a prediction takes the label it overlaps best of those that are
+    still free and overlap it by ``threshold`` (over 0) or more, ties by id; without one it is false. Unlike in ``matches``,
+    a prediction whose best label is gone may take another. What one task holds are the overlapping pairs of an image and class.
+    """
+    preds = predictions.where(F.col("confidence") >= least_confidence)
+    overlap = F.round(iou(tuple(F.col(f"p_{c}") for c in BOX), tuple(F.col(f"t_{c}") for c in BOX)), 9)
+    pairs = candidates(preds, labels, image, threshold).select(*image, "class_id", "pred_id", "confidence", "label_id", overlap.alias("overlap")).where(F.col("overlap") >= threshold)
+    importable(preds.sparkSession)
+    schema = pairs.select(*image, "class_id", "pred_id", "label_id", "overlap").schema
+
+    def assign(table: pa.Table) -> pa.Table:
+        order = pc.sort_indices(table, sort_keys=[("confidence", "descending"), ("pred_id", "ascending"), ("overlap", "descending"), ("label_id", "ascending")])
+        rows, used, done = [], set(), set()
+        for i, p, t in zip(order.to_pylist(), table.column("pred_id").take(order).to_pylist(), table.column("label_id").take(order).to_pylist(), strict=True):
+            if p not in done and t not in used:
+                done.add(p)
+                used.add(t)
+                rows.append(i)
+        return table.take(pa.array(rows, pa.int64())).select(names)
+
+    names = schema.names
+    taken = pairs.groupBy(*image, "class_id").applyInArrow(assign, schema)
+    out = preds.select(*image, "class_id", "pred_id", "confidence").join(taken, [*image, "class_id", "pred_id"], "left")
+    return out.select(*image, "class_id", "pred_id", "confidence", "label_id", "overlap", F.col("label_id").isNotNull().alias("is_tp"))
+
+
 def _list(thresholds: tuple[float, ...]) -> Column:
     return F.array(*[F.lit(float(t)) for t in thresholds])
 

@@ -571,11 +571,15 @@ _BOXES_SQL = """
     judged AS (SELECT p.image, p.class_id, p.pred_id, p.confidence, r.label_id, round(r.overlap, 6) AS overlap, coalesce(r.r = 1, false) AS is_tp FROM preds p LEFT JOIN ranked r USING (image, class_id, pred_id))""".replace("over AS", "ovl AS").replace("FROM over", "FROM ovl")
 
 
-def _boxes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _boxes(spark: SparkSession, sf_dir: str, crowd: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Predictions and labels: an order is an image, or ``crowd`` neighbouring order keys are one of small boxes."""
+    scale = 1 if crowd == 1 else 8
     line = _table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_partkey", "l_suppkey", "l_discount", "l_tax", "l_quantity")
     class_id = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
-    full = line.select(F.col("l_orderkey").alias("image"), (F.col("l_linenumber").cast("bigint") * 10_000_000_000 + F.col("l_partkey") * 100_000 + F.col("l_suppkey")).alias("label_id"), class_id.alias("class_id"), (F.col("l_partkey") % 10 / 10).alias("xc"), (F.col("l_suppkey") % 10 / 10).alias("yc"), (0.2 + F.col("l_discount")).alias("w"), (0.2 + F.col("l_tax")).alias("h"), "l_quantity")
-    moved = full.where("label_id % 4 <> 0").select("image", F.col("label_id").alias("pred_id"), F.when(F.col("label_id") % 6 == 5, (F.col("class_id") + 1) % 3).otherwise(F.col("class_id")).alias("class_id"), ((F.col("l_quantity") * 7 + F.col("image")) % 97 / 97).alias("confidence"), (F.col("xc") + F.col("image") % 5 / 50).alias("xc"), "yc", "w", (F.col("h") * (1 + F.col("image") % 3 / 4)).alias("h"))
+    own = F.col("l_linenumber").cast("bigint") * 10_000_000_000 + F.col("l_partkey") * 100_000 + F.col("l_suppkey") if crowd == 1 else (F.col("l_orderkey") % crowd * 8 + F.col("l_linenumber")) * 10_000_000_000 + F.col("l_partkey") * 100_000 + F.col("l_suppkey")
+    image = F.col("l_orderkey") if crowd == 1 else F.expr(f"l_orderkey div {crowd}")
+    full = line.select(image.alias("image"), own.alias("label_id"), class_id.alias("class_id"), (F.col("l_partkey") % 10 / 10).alias("xc"), (F.col("l_suppkey") % 10 / 10).alias("yc"), ((0.2 + F.col("l_discount")) / scale).alias("w"), ((0.2 + F.col("l_tax")) / scale).alias("h"), "l_quantity")
+    moved = full.where("label_id % 4 <> 0").select("image", F.col("label_id").alias("pred_id"), F.when(F.col("label_id") % 6 == 5, (F.col("class_id") + 1) % 3).otherwise(F.col("class_id")).alias("class_id"), ((F.col("l_quantity") * 7 + F.col("image")) % 97 / 97).alias("confidence"), (F.col("xc") + F.col("image") % 5 / (50 * scale)).alias("xc"), "yc", "w", (F.col("h") * (1 + F.col("image") % 3 / 4)).alias("h"))
     return moved, full.drop("l_quantity")
 
 
@@ -584,6 +588,25 @@ def iou_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.matches(*_boxes(spark, sf_dir), ["image"]).withColumn("overlap", F.round("overlap", 6))
 
 
+_CROWDED = _BOXES_SQL.replace("l_orderkey AS image", "l_orderkey // 400 AS image").replace("CAST(l_linenumber AS BIGINT) * 10000000000 + l_partkey * 100000 + l_suppkey AS label_id", "(l_orderkey % 400 * 8 + l_linenumber) * 10000000000 + l_partkey * 100000 + l_suppkey AS label_id").replace("0.2 + l_discount AS w, 0.2 + l_tax AS h", "(0.2 + l_discount) / 8 AS w, (0.2 + l_tax) / 8 AS h").replace("/ 50 AS xc", "/ 400 AS xc").split("best AS")[0].rstrip().rstrip(",")
+
+
+@_query(f"""
+    WITH RECURSIVE {_CROWDED},
+    cand AS (SELECT image, class_id, pred_id, list(label_id ORDER BY overlap DESC, label_id) AS cands FROM ovl WHERE overlap >= 0.5 GROUP BY ALL),
+    turn AS (SELECT p.image, p.class_id, p.pred_id, coalesce(cands, []) AS cands, row_number() OVER (PARTITION BY p.image, p.class_id ORDER BY p.confidence DESC, p.pred_id) AS k FROM preds p LEFT JOIN cand USING (image, class_id, pred_id)),
+    took AS (SELECT image, class_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS pred_id, CAST(NULL AS BIGINT) AS label_id, CAST([] AS BIGINT[]) AS used FROM turn GROUP BY ALL
+             UNION ALL
+             SELECT t.image, t.class_id, t.k, t.pred_id, list_filter(t.cands, lambda x: NOT list_contains(g.used, x))[1],
+                    CASE WHEN len(list_filter(t.cands, lambda x: NOT list_contains(g.used, x))) > 0 THEN list_append(g.used, list_filter(t.cands, lambda x: NOT list_contains(g.used, x))[1]) ELSE g.used END
+             FROM took g JOIN turn t ON t.image = g.image AND t.class_id = g.class_id AND t.k = g.k + 1)
+    SELECT image, class_id, pred_id, label_id, label_id IS NOT NULL AS is_tp FROM took WHERE k > 0
+""")
+def iou_assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J12 in crowded images: predictions take free labels in order of confidence; pairs come from a grid."""
+    return metrics.assigned(*_boxes(spark, sf_dir, 400), ["image"]).select("image", "class_id", "pred_id", "label_id", "is_tp")
+
+
 _AP_SQL = f"""{_BOXES_SQL},
     totals AS (SELECT class_id, count(*) AS n_labels FROM labels GROUP BY 1),
     pts AS (SELECT class_id, confidence, count(*) FILTER (is_tp) AS tp, count(*) FILTER (NOT is_tp) AS fp FROM judged GROUP BY 1, 2),

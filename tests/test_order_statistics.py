@@ -65,3 +65,57 @@ def test_matches_at_many_thresholds_are_those_of_each(spark):
         one = sorted(map(repr, metrics.matches(preds, labels, ["image"], t).collect()))
         assert sorted(map(repr, every.where(F.col("threshold") == t).drop("threshold").collect())) == one
         assert 0 < sum("is_tp=True" in x for x in one) < 80
+
+
+def crowd(rng, n, scale=1.0):
+    out = []
+    for k in range(n):
+        w, h = scale * 2 ** rng.uniform(-7, -2), scale * 2 ** rng.uniform(-7, -2)
+        out.append((round(rng.random(), 4), round(rng.random(), 4), w, h))
+    return out
+
+
+def overlap_of(a, b):
+    side = lambda i: max(0.0, min(a[i] + a[i + 2] / 2, b[i] + b[i + 2] / 2) - max(a[i] - a[i + 2] / 2, b[i] - b[i + 2] / 2))
+    both = side(0) * side(1)
+    whole = a[2] * a[3] + b[2] * b[3] - both
+    return round(both / whole, 9) if whole else 0.0
+
+
+def greedy(preds, labels, threshold):
+    used, out = set(), {}
+    for p in sorted(preds, key=lambda r: (-r[3], r[1])):
+        found = [(-overlap_of(p[4:], t[3:]), t[1]) for t in labels if t[0] == p[0] and t[2] == p[2] and t[1] not in used]
+        best = min(found, default=(0.0, None))
+        out[p[1]] = best[1] if -best[0] >= threshold else None
+        used.add(out[p[1]])
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.3, 0.5, 0.75, 1.0])
+def test_assigned_labels_are_used_up_by_confidence(spark, threshold):
+    rng = random.Random(threshold)
+    labels = [(k % 2, k, k % 3, *b) for k, b in enumerate(crowd(rng, 240) + [(0.5, 0.5, 0.0, 0.0), (0.5, 0.5, 0.5, 0.5), (0.5, 0.5, 0.5, 0.25)])]
+    moved = [(x + rng.choice([0, 0, 0.001, 0.01]), y, w * rng.choice([1, 1, 0.8, 2]), h) for _, _, _, x, y, w, h in labels for _ in range(2)]
+    preds = [(k // 2 % 2, k, k // 2 % 3, rng.choice([0.1, 0.5, 0.5, 0.9]), *b) for k, b in enumerate(moved)]
+    p = spark.createDataFrame(preds, "image int, pred_id int, class_id int, confidence double, xc double, yc double, w double, h double")
+    t = spark.createDataFrame(labels, "image int, label_id int, class_id int, xc double, yc double, w double, h double")
+    got = metrics.assigned(p, t, ["image"], threshold).collect()
+    assert {r["pred_id"]: r["label_id"] for r in got} == greedy(preds, labels, threshold) and len(got) == len(preds)
+    assert all(r["is_tp"] == (r["label_id"] is not None) for r in got)
+
+
+def test_a_crowded_image_forms_few_pairs(spark):
+    rng = random.Random(8)
+    boxes = [(x, y, w / 4, h / 4) for x, y, w, h in crowd(rng, 5_000)]
+    near = [(x + 0.05 * w, y, w, h) for x, y, w, h in boxes]
+    t = spark.createDataFrame([(1, k, 0, *b) for k, b in enumerate(boxes)], "image int, label_id int, class_id int, xc double, yc double, w double, h double")
+    p = spark.createDataFrame([(1, k, 0, rng.random(), *b) for k, b in enumerate(near)], "image int, pred_id int, class_id int, confidence double, xc double, yc double, w double, h double")
+    pairs = metrics.candidates(p, t, ["image"], 0.5)
+    assert pairs.select("pred_id", "label_id").distinct().count() == pairs.count() < 5_000 * 100
+    found = {(r["pred_id"], r["label_id"]) for r in pairs.collect()}
+    a, b = np.array(near), np.array(boxes)
+    side = lambda i: np.clip(np.minimum(a[:, None, i] + a[:, None, i + 2] / 2, b[None, :, i] + b[None, :, i + 2] / 2) - np.maximum(a[:, None, i] - a[:, None, i + 2] / 2, b[None, :, i] - b[None, :, i + 2] / 2), 0, None)
+    both = side(0) * side(1)
+    close = np.argwhere(both / ((a[:, 2] * a[:, 3])[:, None] + (b[:, 2] * b[:, 3])[None, :] - both) >= 0.5)
+    assert len(close) >= 5_000 and {tuple(x) for x in close.tolist()} <= found
