@@ -90,11 +90,15 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models: weights by which SQL can do the same.
 
 def _classifier() -> inference.Classifier:
-    weights, shift = np.array([[0.03, -0.01], [-0.02, 0.04], [0.0, 0.0]]), np.array([-1.0, -0.5, 0.25])
+    """Scores in the order of the SQL's own arithmetic, as classes may be equally probable but for the last bit."""
 
     def probabilities(value: np.ndarray, part: np.ndarray) -> np.ndarray:
-        scores = np.exp(np.stack([value, part], axis=1) @ weights.T + shift)
-        return scores / scores.sum(axis=1, keepdims=True)
+        scores = np.exp(np.stack([0.03 * value - part / 100 - 1, -0.02 * value + 4 * part / 100 - 0.5, np.full(len(value), 0.25)], axis=1))
+        top = scores.argmax(axis=1)[:, None]
+        found = scores / scores.sum(axis=1, keepdims=True)
+        # the division may make equal what was less: a class before the top one stays below it
+        level = (np.arange(found.shape[1]) < top) & (found >= np.take_along_axis(found, top, axis=1))
+        return np.where(level, np.nextafter(found, 0), found)
 
     return inference.Classifier({0: "active", 1: "idle", 2: "unknown"}, probabilities)
 

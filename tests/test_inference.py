@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import uuid
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from siftrail.operators import inference
+from siftrail.plans import catalog_files
 
 
 def classifier_that_leaves_a_mark(folder):
@@ -53,3 +55,14 @@ def test_detections(spark):
     df = spark.createDataFrame([("a", 2), ("b", 0), ("c", None), ("d", 1)], "frame string, n int")
     got = inference.detected(df, load, ["n"]).collect()
     assert sorted((r["frame"], r["class_id"], r["confidence"], r["h"]) for r in got) == [("a", 0, 0.5, 0.4), ("a", 1, 0.6, 0.4), ("d", 0, 0.5, 0.4)]
+
+
+def test_equally_probable_classes_are_told_apart_as_in_sql(spark, tmp_path):
+    # where two scores are equal but for rounding: a and i at value = part + 10, a and u at 3 value = part + 125, i and u at 2 value = 4 part - 75
+    rows = [(part, value) for part in range(97) for value in (part + 10.0, (125 + part) / 3, (4 * part - 75) / 2) if value >= 0]
+    rows = [(part + 97 * k, value) for k, (part, value) in enumerate(rows)]
+    spark.createDataFrame(rows, "event_id long, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = {tuple(r) for r in catalog_files.classified_frames(spark, str(tmp_path)).collect()}
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert len(got) == len(rows) and got == set(c.execute(catalog_files.ORACLE_SQL["classified_frames"]).fetchall())
