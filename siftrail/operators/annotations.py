@@ -24,9 +24,10 @@ def annotated(images: DataFrame, labels: DataFrame) -> DataFrame:
 def known(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Labels of known classes with their name, area and size class.
 
-    The class dictionary is joined by value; Spark sends it out if it is small, as it is.
+    The class dictionary, a list of names, is sent to the labels. By its own choice Spark would deal the labels by their
+    class, as so few rows leave most partitions empty, and one task would get all of the most frequent class.
     """
-    named = rows.join(classes, "class_id")
+    named = rows.join(F.broadcast(classes), "class_id")
     return named.withColumn("area", area_px(F.col("w"), F.col("h"), F.col("width"), F.col("height"))).withColumn("size_class", size_class(F.col("area")))
 
 
@@ -49,7 +50,7 @@ def images_with_class(rows: DataFrame) -> DataFrame:
 def split_totals(images: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Images, empty images and known objects of each split, and of all of them (split null)."""
     flagged = classes.select("class_id").distinct().withColumn("is_known", F.lit(True))
-    objects = labels.join(flagged, "class_id", "left").groupBy("split", "stem").agg(F.count("*").alias("n"), F.count("is_known").alias("n_known"))
+    objects = labels.join(F.broadcast(flagged), "class_id", "left").groupBy("split", "stem").agg(F.count("*").alias("n"), F.count("is_known").alias("n_known"))
     joined = images.join(objects, ["split", "stem"], "left")
     totals = joined.rollup("split").agg(
         F.count("*").alias("images"),

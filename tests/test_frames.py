@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftrail.operators import frames, metrics, prepare
+from siftrail.operators import annotations, frames, metrics, prepare
+from siftrail.sources import datasets
 
 
 @pytest.mark.parametrize("kind", ["double", "bigint"])
@@ -127,3 +128,13 @@ def test_replay_candidates(spark):
     labels = spark.createDataFrame([("a",), ("a",), ("c",), ("c",), ("d",)], "image string")
     got = {r["key"]: (r["confidence"], r["is_error"], r["is_empty"]) for r in prepare.replay_candidates(images, judged, labels).collect()}
     assert got == {"a": (0.4, False, False), "b": (None, True, False), "c": (0.9, True, False), "d": (None, True, False), "e": (None, False, True)}
+
+
+def test_labels_are_not_dealt_by_their_class(spark):
+    images = spark.range(2).select(F.lit("train").alias("split"), F.col("id").alias("path"), F.col("id").alias("stem"), F.lit(10).alias("width"), F.lit(10).alias("height"))
+    labels = spark.range(6).select(F.lit("train").alias("split"), (F.col("id") % 2).alias("stem"), F.lit(0).alias("class_id"), F.lit(0.5).alias("w"), F.lit(0.5).alias("h"))
+    classes = datasets.class_table(spark, {0: "a", 1: "b"})
+    for made in (annotations.known(annotations.annotated(images, labels), classes), annotations.split_totals(images, labels, classes)):
+        plan = made._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin [class_id" in plan and "SortMergeJoin [class_id" not in plan
+    assert [tuple(r)[:4] for r in annotations.split_totals(images, labels, classes).where("split IS NULL").collect()] == [(None, 2, 0, 6)]
