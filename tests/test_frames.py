@@ -132,7 +132,7 @@ def test_replay_candidates(spark):
 
 def test_labels_are_not_dealt_by_their_class(spark):
     images = spark.range(2).select(F.lit("train").alias("split"), F.col("id").alias("path"), F.col("id").alias("stem"), F.lit(10).alias("width"), F.lit(10).alias("height"))
-    labels = spark.range(6).select(F.lit("train").alias("split"), (F.col("id") % 2).alias("stem"), F.lit(0).alias("class_id"), F.lit(0.5).alias("w"), F.lit(0.5).alias("h"))
+    labels = spark.range(6).select(F.lit("train").alias("split"), (F.col("id") % 2).alias("stem"), (F.col("id") % 1).cast("int").alias("class_id"), F.lit(0.5).alias("w"), F.lit(0.5).alias("h"))
     classes = datasets.class_table(spark, {0: "a", 1: "b"})
     for made in (annotations.known(annotations.annotated(images, labels), classes), annotations.split_totals(images, labels, classes)):
         plan = made._jdf.queryExecution().sparkPlan().toString()
