@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -36,7 +37,7 @@ from siftrail.functions.session import importable
 from siftrail.llm.common import col, map_batches, written
 
 END = b""  # no word is empty
-CHUNK = 1 << 21  # tokens whose grams are counted together in a task
+CHUNK = 1 << 20  # tokens whose grams are counted together in a task
 SHARD_TOKENS = 1 << 21
 REMEMBERED = 400_000  # words a task counts before it gives them away
 STOPS = np.uint64(0x9E3779B97F4A7C15)  # the constants of the splitmix64 finaliser are fixed values
@@ -204,7 +205,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
             blobs = [[x[cuts[s] : cuts[s + 1]].tobytes() for s in some] for x in (grams, n)]
             return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *[pa.array(b, pa.binary()) for b in blobs]], names=["shard", "grams", "n"])
 
-        for batch in batches:
+        for batch in bounded(batches, 0):
             got = reader.read(batch.column(0))
             held += [word_grams(got.own), got.pairs()]
             size += len(got.own)
@@ -227,9 +228,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
     return LanguageModel(words, shards, n_shards, n_bytes, n_tokens, sums["v"], sums["texts"] or 0, probes, prior, common, scale)
 
 
-PIECE = 1 << 20  # bytes hashed at once
+PIECE = 1 << 18  # bytes hashed at once
 LONG = 256  # longer words are hashed one by one
-SEGMENT = 1 << 18  # tokens scored at once
+SEGMENT = 1 << 16  # tokens scored at once
+READ = 1 << 21  # bytes of text whose tokens are in memory at once, or one text
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _FACTOR = 0x5851F42D4C957F2D  # odd, so that it has an inverse
 
@@ -242,6 +244,17 @@ def _powers(factor: int, n: int) -> np.ndarray:
     return out[:n]
 
 
+def bounded(batches: Iterable[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with ``READ`` bytes of text, in the column ``at``, or with one text: a token takes some hundred bytes."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        total, a = np.cumsum(sizes, dtype=np.int64), 0
+        while a < len(sizes):
+            z = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + READ, "right")))
+            yield batch.slice(a, z - a)
+            a = z
+
+
 class Reader:
     """Hashes of the tokens of many texts at once.
 
@@ -433,7 +446,7 @@ def _in_one_scan(frame: DataFrame, model: LanguageModel, sums) -> DataFrame:  #
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(sums.value, bloom.value.opened().levels)
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in bounded(batches, at):
             columns = [c for i, c in enumerate(batch.columns) if i != at]
             rows = pa.array(np.arange(row, row + batch.num_rows), pa.int64())
             row += batch.num_rows

@@ -205,3 +205,13 @@ def test_long_documents_have_lengths_beyond_64_bits(spark):
     n = spark.createDataFrame([(5,), (10**11,)], "n long")
     got = [r[0] for r in n.select(lexical._length_part("n", 10**10, 10**13)).collect()]
     assert got == [10 + 90 * k * 10**10 // 10**13 for k in (5, 10**11)]
+
+
+def test_texts_are_read_in_slices_of_bounded_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from siftrail.llm import lm_score
+
+    monkeypatch.setattr(lm_score, "READ", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["abcd", None, "efgh", "ij", "k" * 30, "", "l"])], names=["i", "t"])
+    assert [b.column(0).to_pylist() for b in lm_score.bounded([batch, batch.slice(0, 0)], 1)] == [[0, 1, 2, 3], [4], [5, 6]]
