@@ -19,6 +19,7 @@ from siftrail.functions.session import importable
 
 BOX = ("xc", "yc", "w", "h")
 STEPS = 1024
+GROWTH = 2.000002  # a grid's cells over those of the next finer one: just over 2, so boxes that overlap by a half are one grid apart at most
 
 
 def matches(predictions: DataFrame, labels: DataFrame, image: list[str], threshold: float = 0.5, least_confidence: float = 0.0) -> DataFrame:
@@ -52,27 +53,34 @@ def candidates(predictions: DataFrame, labels: DataFrame, image: list[str], leas
     """Pairs of a prediction and a label of one image and class that may overlap by ``least``, which is over 0.
 
     Boxes that overlap by a share t differ in their longer side by a factor of 1/t at most. So a box is dealt to the
-    cells it covers of the grid whose cells are just as long as its longer side, and of the next coarser ones up to that
+    cells it covers of the grid whose cells are about as long as its longer side, and of the next coarser ones up to that
     factor; a pair meets in the grid of its larger box alone, in the cell that holds the lower corner of their
     overlap. An image of n boxes costs some n copies and the pairs of neighbours, not all pairs.
     """
-    reach = math.ceil(math.log2(1 / (least - 1e-9)) + 1e-9)  # overlaps are compared to nine decimals
+    reach = math.ceil(math.log(1 / (least - 1e-9)) / math.log(GROWTH) + 1e-9)  # overlaps are compared to nine decimals
 
-    def dealt(boxes: DataFrame, prefix: str) -> DataFrame:
-        low = [F.col(c) - F.col(side) / 2 for c, side in (("xc", "w"), ("yc", "h"))]
-        high = [F.col(c) + F.col(side) / 2 for c, side in (("xc", "w"), ("yc", "h"))]
+    def level(p: str = "") -> Column:
+        return F.ceil(F.log(F.greatest(f"{p}w", f"{p}h")) / math.log(GROWTH)).cast("int")
+
+    def edge(c: str, side: str, sign: int, p: str = "") -> Column:
+        return F.col(f"{p}{c}") + sign * F.col(f"{p}{side}") / 2
+
+    def cell(at: Column) -> Column:
+        return F.floor(at / F.pow(F.lit(GROWTH), F.col("level")))
+
+    def dealt(boxes: DataFrame) -> DataFrame:
+        """Only the boxes themselves are exchanged; what follows from them is computed again where they meet."""
         longer = F.greatest("w", "h")
-        own = boxes.where((longer > 0) & (longer < math.inf)).withColumns({f"{prefix}level": F.ceil(F.log2(longer)).cast("int"), f"{prefix}x": low[0], f"{prefix}y": low[1], f"{prefix}xx": high[0], f"{prefix}yy": high[1]})
-        leveled = own.withColumn("level", F.explode(F.sequence(F.col(f"{prefix}level"), F.col(f"{prefix}level") + reach)))
-        cell = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("level")))
-        across = leveled.withColumn("cell_x", F.explode(F.sequence(cell(f"{prefix}x"), cell(f"{prefix}xx"))))
-        return across.withColumn("cell_y", F.explode(F.sequence(cell(f"{prefix}y"), cell(f"{prefix}yy"))))
-
-    preds = dealt(predictions.select(*image, "class_id", "pred_id", "confidence", *BOX), "p_").withColumnsRenamed({c: f"p_{c}" for c in BOX})
-    truth = dealt(labels.select(*image, "class_id", "label_id", *BOX), "t_").withColumnsRenamed({c: f"t_{c}" for c in BOX})
+        out = boxes.where((longer > 0) & (longer < math.inf)).withColumn("level", F.explode(F.sequence(level(), level() + reach)))
+        for name, c, side in (("cell_x", "xc", "w"), ("cell_y", "yc", "h")):
+            out = out.withColumn(name, F.explode(F.sequence(cell(edge(c, side, -1)), cell(edge(c, side, 1)))))
+        return out
+
+    preds = dealt(predictions.select(*image, "class_id", "pred_id", "confidence", *BOX)).withColumnsRenamed({c: f"p_{c}" for c in BOX})
+    truth = dealt(labels.select(*image, "class_id", "label_id", *BOX)).withColumnsRenamed({c: f"t_{c}" for c in BOX})
     met = preds.join(truth, [*image, "class_id", "level", "cell_x", "cell_y"])
-    corner = lambda c: F.floor(F.greatest(f"p_{c}", f"t_{c}") / F.pow(F.lit(2.0), F.col("level")))
-    once = (F.col("level") == F.greatest("p_level", "t_level")) & (F.col("cell_x") == corner("x")) & (F.col("cell_y") == corner("y"))
+    corner = lambda c, side: cell(F.greatest(edge(c, side, -1, "p_"), edge(c, side, -1, "t_")))
+    once = (F.col("level") == F.greatest(level("p_"), level("t_"))) & (F.col("cell_x") == corner("xc", "w")) & (F.col("cell_y") == corner("yc", "h"))
     return met.where(once).select(*image, "class_id", "pred_id", "confidence", "label_id", *[f"{k}{c}" for k in ("p_", "t_") for c in BOX])
 
 

@@ -138,3 +138,11 @@ def test_labels_are_not_dealt_by_their_class(spark):
         plan = made._jdf.queryExecution().sparkPlan().toString()
         assert "BroadcastHashJoin [class_id" in plan and "SortMergeJoin [class_id" not in plan
     assert [tuple(r)[:4] for r in annotations.split_totals(images, labels, classes).where("split IS NULL").collect()] == [(None, 2, 0, 6)]
+
+
+def test_candidates_exchange_boxes_alone(spark):
+    box = [F.lit(0.5).alias("xc"), F.lit(0.5).alias("yc"), (F.rand(1) + 0.1).alias("w"), F.lit(0.2).alias("h")]
+    preds = spark.range(4).select(F.lit(1).alias("image"), F.lit(0).alias("class_id"), F.col("id").alias("pred_id"), F.lit(0.5).alias("confidence"), *box)
+    truth = spark.range(4).select(F.lit(1).alias("image"), F.lit(0).alias("class_id"), F.col("id").alias("label_id"), *box)
+    made = metrics.candidates(preds, truth, ["image"], 0.5)
+    assert "p_xx" not in made._jdf.queryExecution().analyzed().toString()
