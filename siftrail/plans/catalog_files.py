@@ -33,6 +33,11 @@ def _written(files: DataFrame, label: str) -> str:
     return folder
 
 
+def _read_back(files: DataFrame, column: str = "file") -> DataFrame:
+    """The lines of files in a written list, each with its file's name."""
+    return logs.listed_lines(files).withColumn("file", F.element_at(F.split("file", "/"), -1)).withColumnRenamed("file", column)
+
+
 def _local(folder: str) -> Path:
     """A shared folder as a path, for what reads small files on the driver."""
     path = Path(folder.removeprefix("file://"))
@@ -148,7 +153,7 @@ _LOG_SQL = """
                FROM timed WHERE NOT other AND NOT no_fix AND NOT no_place)"""
 
 
-def _log_folder(spark: SparkSession, sf_dir: str) -> str:
+def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log for each user: every event a line behind a blank one, with faults of all kinds among them."""
     k = F.col("event_id")
     minutes = lambda whole, by: F.format_string(f"{whole}%07.4f", (k % by).cast("double") / 20000 * 60)
@@ -158,12 +163,11 @@ def _log_folder(spark: SparkSession, sf_dir: str) -> str:
     line = F.concat(F.when(k % 5 == 0, "\t ").otherwise(""), stamp, F.lit(";"), sentence, F.when(k % 3 == 0, " \t").otherwise(""))
     rows = _table(spark, sf_dir, "events", "event_id", "user_id", "ts").select(F.col("user_id"), F.struct(F.col("ts").alias("at"), "event_id", line.alias("line")).alias("row"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list("row")), lambda r: F.concat(F.lit(" \n"), r["line"])), "\n")
-    return _written(rows.groupBy("user_id").agg(text.alias("content")).select(F.concat(F.lit("u"), "user_id", F.lit(".log")).alias("name"), "content"), "logs")
+    return sinks.write_named(rows.groupBy("user_id").agg(text.alias("content")).select(F.concat(F.lit("u"), "user_id", F.lit(".log")).alias("name"), "content"), shared_folder(spark, "logs"))
 
 
 def _log_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = logs.log_lines(spark, _log_folder(spark, sf_dir))
-    return logs.points(lines.withColumn("file", F.element_at(F.split("file", "/"), -1)))
+    return logs.points(_read_back(_logs(spark, sf_dir)))
 
 
 @_query(f"WITH {_LOG_SQL} SELECT file, line_no, offset_us, round(lat, 9) AS lat, round(lon, 9) AS lon FROM points")
@@ -251,9 +255,7 @@ def written_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = F.concat(F.lit("u"), F.col("user_id"), F.lit(".log")).alias("file")
     parts = ordered.number(_slow(spark, sf_dir).where("n >= 3"), USER).select(file, "seg_idx", "start_us", "end_us")
     lines = _points(spark, sf_dir).select(file, F.col("event_id").alias("line_no"), F.concat("event_id", F.lit(";"), "event_type").alias("line"), "offset_us")
-    folder = shared_folder(spark, "segments")
-    sinks.write_log_segments(sinks.log_segments(lines, parts), folder)
-    return logs.log_lines(spark, folder).select(F.element_at(F.split("file", "/"), -1).alias("name"), "line_no", "line")
+    return _read_back(sinks.listed_log_segments(sinks.log_segments(lines, parts), shared_folder(spark, "segments")), "name")
 
 
 @_query("""
@@ -265,9 +267,7 @@ def written_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4, K5: a label file for each frame, written and read back line by line; a customer is a detection."""
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
     found = _table(spark, sf_dir, "customer", "c_custkey", "c_nationkey").select(F.concat(F.lit("v"), nation).alias("video"), F.expr("c_custkey div 4").alias("frame_idx"), (key % 7).alias("class_id"), F.array(key / 32, F.lit(0.5), nation / 64, F.lit(0.25)).alias("bbox"))
-    folder = shared_folder(spark, "labels")
-    sinks.write_label_files(frames.label_files(found, "video", "frame_idx"), folder)
-    return logs.log_lines(spark, folder).select(F.element_at(F.split("file", "/"), -1).alias("name"), "line_no", "line")
+    return _read_back(sinks.listed_label_files(frames.label_files(found, "video", "frame_idx"), shared_folder(spark, "labels")), "name")
 
 
 @_query(f"""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,12 @@ from siftrail.functions import logs
 from siftrail.functions.session import cut, importable
 from siftrail.operators.ordered import first_offset
 
+WHOLE = 16 << 20  # bytes of a file that is read whole
+HELD = 4 << 20  # bytes of lines handed on at once
+TASK, CALL = 64 << 20, 16 << 10  # bytes of a task, and bytes that opening a file counts for
+PACKED = r"\.(gz|bz2|deflate|snappy|lz4|zst|zstd|xz)$"
+BOM = b"\xef\xbb\xbf"
+
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
     """(path, name, length) of files; their content is never read. Spark passes over files of no length."""
@@ -68,6 +76,55 @@ def log_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return numbered.join(before, ["file", "start"]).select("file", (F.col("place") + F.col("before")).cast("int").alias("line_no"), "line")
 
 
+def _numbered(files: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    """(file, line_no, line) of whole files; as Spark does, a byte order mark is passed over and bytes are taken as they are."""
+    each = [data.removeprefix(BOM).split(b"\n") for _, data in files]
+    for lines in each:
+        if not lines[-1]:
+            lines.pop()
+    sizes = [len(lines) for lines in each]
+    places = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+    names = pa.array([path for path, _ in files], pa.string()).take(pa.array(np.repeat(np.arange(len(files)), sizes)))
+    lines = pa.array([line for lines in each for line in lines], pa.binary()).view(pa.string())
+    return pa.RecordBatch.from_arrays([names, pa.array(places), lines], names=["file", "line_no", "line"])
+
+
+def listed_lines(files: DataFrame) -> DataFrame:
+    """(file, line_no, line) as ``log_lines`` gives them, of the files in a table (path, length).
+
+    Files are dealt to tasks by their bytes and by the calls they cost. A file of up to ``WHOLE`` bytes is read whole and once, so
+    its lines are numbered as they come; longer and packed ones are read by Spark's ranges, and only their paths pass the driver.
+    """
+    spark = files.sparkSession
+    importable(spark)
+    packed = F.col("path").rlike(PACKED)
+    ranged = (F.col("length") > WHOLE) | packed
+    cost = files.where(~ranged & (F.col("length") > 0)).select("path", "length")
+    total = cost.agg(F.sum(F.col("length") + F.lit(CALL)).alias("n")).first()["n"] or 0
+    dealt = cost.repartition(total // TASK + 1, "path").select("path")
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, store, base = None, None, ""
+        for batch in batches:
+            held, size = [], 0
+            for path in batch.column(0).to_pylist():
+                folder, _, name = path.rpartition("/")
+                if folder != now:
+                    now, (store, base) = folder, fs.FileSystem.from_uri(quote(folder if ":/" in folder else f"file://{folder}", safe="/:@"))
+                with store.open_input_stream(f"{base}/{name}", compression=None) as f:
+                    held.append((path, f.read()))
+                size += len(held[-1][1])
+                if size >= HELD:
+                    yield _numbered(held)
+                    held, size = [], 0
+            if held:
+                yield _numbered(held)
+
+    whole = dealt.mapInArrow(read, "file string, line_no int, line string").select(F.regexp_replace("file", "^file:/+", "file:/").alias("file"), "line_no", F.regexp_replace("line", "\r$", "").alias("line"))
+    long = [r["path"] for r in files.where(ranged & (F.col("length") > 0)).select("path").collect()]
+    return whole.unionByName(log_lines(spark, long)) if long else whole
+
+
 def parsed(lines: DataFrame) -> DataFrame:
     """(file, line_no, line, ts, offset_us, fix) of the lines with a readable time.
 

@@ -22,16 +22,23 @@ def log_segments(lines: DataFrame, segments: DataFrame) -> DataFrame:
     return rows.select(segment_name(stem, F.col("seg_idx"), suffix).alias("name"), "line_no", "line")
 
 
-def write_named(files: DataFrame, folder: str) -> None:
-    """Write each (name, content) row as the file of that name below ``folder``; contents are text or bytes. All files or none."""
-    named_files.save(files.select("name", "content"), folder)
+def write_named(files: DataFrame, folder: str) -> DataFrame:
+    """Write each (name, content) row as the file of that name below ``folder``; contents are text or bytes. All files or none.
 
+    This and the two below that list files give (path, length) of what they have written.
+    """
+    return named_files.save(files.select("name", "content"), folder)
 
-def write_log_segments(named: DataFrame, path: str) -> int:
-    """A file for each segment, its lines in order, all files or none; gives the number of files."""
+
+def listed_log_segments(named: DataFrame, path: str) -> DataFrame:
+    """A file for each segment, its lines in order, all files or none."""
     lines = named.repartition("name").sortWithinPartitions("name", "line_no")
-    named_files.save(lines.select("name", F.concat("line", F.lit("\n")).alias("content")), path)
-    return named.select("name").distinct().count()
+    return named_files.save(lines.select("name", F.concat("line", F.lit("\n")).alias("content")), path)
+
+
+def write_log_segments(named: DataFrame, path: str) -> int:
+    """``listed_log_segments``; gives the number of files."""
+    return listed_log_segments(named, path).count()
 
 
 def segments_written(named: DataFrame, segments: DataFrame) -> DataFrame:
@@ -39,10 +46,14 @@ def segments_written(named: DataFrame, segments: DataFrame) -> DataFrame:
     return segments.join(named.select("name").distinct().withColumn("written", F.lit(True)), "name", "left").na.fill(False, ["written"])
 
 
+def listed_label_files(files: DataFrame, path: str) -> DataFrame:
+    """A text file for each (name, content) row, its whole content, all files or none."""
+    return named_files.save(files.select(F.concat("name", F.lit(".txt")).alias("name"), "content"), path)
+
+
 def write_label_files(files: DataFrame, path: str) -> int:
-    """A text file for each (name, content) row, its whole content, all files or none; gives the number of files."""
-    named_files.save(files.select(F.concat("name", F.lit(".txt")).alias("name"), "content"), path)
-    return files.count()
+    """``listed_label_files``; gives the number of files."""
+    return listed_label_files(files, path).count()
 
 
 def dataset_description(names: dict[int, str], folder: str = ".") -> dict:
