@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from siftrail.functions.boxes import iou
 from siftrail.functions.session import importable
+from siftrail.operators import ordered
 
 BOX = ("xc", "yc", "w", "h")
 STEPS = 1024
@@ -36,7 +37,8 @@ def matches_at(predictions: DataFrame, labels: DataFrame, image: list[str], thre
     preds = predictions.where(F.col("confidence") >= least_confidence)
     truth = labels.select(*image, "class_id", "label_id", *[F.col(c).alias(f"t_{c}") for c in BOX])
     overlap = F.round(iou(tuple(map(F.col, BOX)), tuple(F.col(f"t_{c}") for c in BOX)), 9)
-    met = preds.join(truth, [*image, "class_id"], "left").withColumn("overlap", overlap)
+    keys = [*image, "class_id"]
+    met = ordered.dealt(preds, keys, truth).join(ordered.dealt(truth, keys, preds), keys, "left").withColumn("overlap", overlap)
     met = met.withColumn("overlap", F.when(F.col("overlap") >= min(map(float, thresholds)), F.col("overlap")))
     met = met.withColumn("label_id", F.when(F.col("overlap").isNotNull(), F.col("label_id")))
     # Both windows keep within an image and class, as the join has dealt the rows already. A prediction's best

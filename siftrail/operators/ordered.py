@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from siftrail.functions.session import free_name, importable
 
 Keys = list[str]
+ROWS_IN_TASK = 100_000
 
 
 def _window(keys: Keys, order: Keys):  # noqa: ANN202
@@ -26,6 +27,16 @@ def _so_far(keys: Keys, order: Keys):  # noqa: ANN202
     return _window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def dealt(df: DataFrame, keys: Keys, *others: DataFrame) -> DataFrame:
+    """Rows dealt by the keys to as many tasks as the rows, with those of ``others``, ask for.
+
+    Left to itself, Spark joins blocks by their packed bytes and never makes more than it is set to, so that what the sorts of
+    a task hold grows with the input. Rows are counted, which for a table is read from its footers.
+    """
+    rows = sum(d.count() for d in (df, *others))
+    return df.repartition(rows // ROWS_IN_TASK + 1, *keys)
+
+
 def first_offset(df: DataFrame, keys: Keys, order: Keys, ts: str, out: str = "offset_us") -> DataFrame:
     """Microseconds since the first row of the recording whose time is known."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
