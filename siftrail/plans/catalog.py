@@ -41,7 +41,7 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as points: offset, speed, and a position made from id and value."""
     e = _table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value").withColumn("ts", F.col("ts").cast("timestamp"))
     e = e.withColumn("lat", 52 + (F.col("event_id") % 1000) / 10000 + F.col("value") / 100000).withColumn("lon", 10 + (F.col("event_id") % 777) / 10000)
-    return ordered.first_offset(e, USER, BY_TIME, "ts")
+    return ordered.first_offset(ordered.dealt(e, USER), USER, BY_TIME, "ts")
 
 
 _POINTS_SQL = """
