@@ -17,7 +17,7 @@ from siftrail.operators.ordered import first_offset
 
 WHOLE = 16 << 20  # bytes of a file that is read whole
 HELD = 4 << 20  # bytes of lines handed on at once
-TASK, CALL = 64 << 20, 16 << 10  # bytes of a task, and bytes that opening a file counts for
+TASK, CALL = 16 << 20, 16 << 10  # bytes of a task, and bytes that opening a file counts for
 PACKED = r"\.(gz|bz2|deflate|snappy|lz4|zst|zstd|xz)$"
 BOM = b"\xef\xbb\xbf"
 
