@@ -13,34 +13,45 @@ from siftrail.streaming import timed
 
 SILENCE_US = 2 * 86_400_000_000
 PARTS = 3
+ROWS_IN_FILE = 250_000
+
+
+def _blanks(events: DataFrame, files: int, at: int) -> DataFrame:
+    """Rows of no user, as many as files, each in a task and so in a file of its own."""
+    values = {"event_id": F.lit(-1), "user_id": F.lit(-1), "event_type": F.lit("none"), "value": F.lit(0.0), "active": F.lit(False), "ts": F.timestamp_micros(F.lit(at))}
+    return events.sparkSession.range(0, files, 1, files).select(*[values[c].cast(t).alias(c) for c, t in events.dtypes])
 
 
 def _replayed(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What a stream over the events gives: a micro-batch for each third of the time, every event up to six hours off its place.
 
-    A last row, years later, moves the watermark behind all others.
+    A batch takes a number of files, so all parts are written as that many; blank rows make up for files that a small part
+    lacks. Last rows, years later, move the watermark behind all others.
     """
     e = _table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value").withColumn("ts", F.col("ts").cast("timestamp"))
     e = e.withColumn("active", F.col("event_type").isin("click", "view") & (F.col("value") / 100 >= 0.1))
-    span = e.agg(F.unix_micros(F.min("ts")).alias("a"), F.unix_micros(F.max("ts")).alias("z")).first()
+    span = e.agg(F.unix_micros(F.min("ts")).alias("a"), F.unix_micros(F.max("ts")).alias("z"), F.count("*").alias("n")).first()
     folder, out, state = (shared_folder(spark, label) for label in ("events", "found", "state"))
-    begun = span["a"] or 0
-    length = max(1, ((span["z"] or 0) - begun) // PARTS + 1)
+    begun, end = span["a"] or 0, span["z"] or 0
+    length = max(1, (end - begun) // PARTS + 1)
+    files = span["n"] // PARTS // ROWS_IN_FILE + 1
     place, off = F.unix_micros("ts") - begun, F.pmod(F.xxhash64("event_id"), F.lit(6 * 3_600_000_000))
     part = F.least(F.floor((place + off) / length), F.floor(place / length) + 1, F.lit(PARTS))
     dealt = e.withColumn("part", part.cast("int"))
     for k in range(PARTS + 1):
-        dealt.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(folder)
-    last = spark.createDataFrame([(-1, -1, "none", 0.0, False)], "event_id long, user_id long, event_type string, value double, active boolean").withColumn("ts", F.timestamp_micros(F.lit((span["z"] or 0) + 1_000 * 86_400_000_000)))
-    last.select(*[F.col(c).cast(t).alias(c) for c, t in e.dtypes]).coalesce(1).write.mode("append").parquet(folder)
+        rows = dealt.where(F.col("part") == k).drop("part")
+        (rows.repartition(files) if files > 1 else rows.coalesce(1)).write.mode("append").parquet(folder)
+        if lacking := files * (k + 1) - len(spark.read.schema(e.schema).parquet(folder).inputFiles()):
+            _blanks(e, lacking, begun).write.mode("append").parquet(folder)
+    _blanks(e, files, end + 1_000 * 86_400_000_000).write.mode("append").parquet(folder)
     with timed.stateful(spark):
-        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", files).parquet(folder)
         run = make(stream).writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", state).start()
         try:
             run.processAllAvailable()
         finally:
             run.stop()
-    return spark.read.schema(make(stream).schema).parquet(out).where("user_id <> -1")
+    return spark.read.schema(make(stream).schema).parquet(out).where("NOT user_id <=> -1")
 
 
 _SESSIONS = f"""

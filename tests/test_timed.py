@@ -85,3 +85,11 @@ def test_the_session_is_left_as_it_was(spark):
         assert spark.conf.get(timed.PROVIDER) == timed.ROCKS
         raise KeyError
     assert spark.conf.get(timed.PROVIDER) == before
+
+
+def test_many_keys_share_one_state(spark, tmp_path):
+    parts = [[row(f"f{i}", j, 9 * i + j) for i in range(40) for j in range(5)] + [row(None, j, j) for j in (2, 1)], [row("end", 10_000, 999, False)]]
+    got, progress = streamed(spark, tmp_path, parts, lambda s: timed.in_order(s.withColumnRenamed("file", "f"), timed.Runs(), "f", "ts", "i", "active", "30 minutes", 60 * MINUTE, buckets=3).withColumnRenamed("f", "file").na.fill("none"))
+    assert got == sorted([(f"f{i}", us(0), us(4), 5) for i in range(40)] + [("none", us(1), us(2), 2)])
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert max(states) <= 12  # of three buckets and the keyless one a value and a timer, where each key had its own
