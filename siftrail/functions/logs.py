@@ -32,6 +32,14 @@ def split_line(line: Column) -> tuple[Column, Column]:
     return F.when(has, parts[0]), F.when(has, parts[1])
 
 
+def once(df: DataFrame, value: Column, out: str) -> DataFrame:
+    """``df`` with a value that is computed once a row.
+
+    It passes through a generator of one row; a plain column is computed again in each filter and column that uses it.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(out))
+
+
 def fix(fields: Column) -> Column:
     """struct(quality, lat, lon) of the fields of a fix sentence, seven or more; null of any other.
 

@@ -15,7 +15,7 @@ import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftrail.functions.session import shared_folder
+from siftrail.functions.session import cut, shared_folder
 from siftrail.operators import annotations, frames, inference, ordered, prepare
 from siftrail.plans import catalog_long, catalog_streams, registry, segments, stages  # noqa: F401  the first two add their queries
 from siftrail.plans.catalog import _IMAGES_SQL, _POINTS_SQL, _SLOW, _STATS_SQL, ORACLE_SQL, QUERIES, USER, _dataset, _points, _query, _slow, _stats, _table
@@ -196,7 +196,8 @@ _SPHERE = "2 * 6371008.8 * asin(sqrt(pow(sin(radians(({1}) - ({0})) / 2), 2) + c
 def slow_segments_of_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs to points to speeds to slow segments."""
     rules = segments.SegmentRules(most_kmh=5.0, area=(52.02, 10.01, 52.05, 10.05))
-    return segments.slow_segments(_log_points(spark, sf_dir), ["file"], ["line_no"], rules).select("file", "start_us", "end_us", "n")
+    points = cut(_log_points(spark, sf_dir), "log-points")  # they are counted and then used
+    return segments.slow_segments(points, ["file"], ["line_no"], rules).select("file", "start_us", "end_us", "n")
 
 
 @_query("""

@@ -130,8 +130,10 @@ def parsed(lines: DataFrame) -> DataFrame:
 
     Time zero is the first readable time of the file, whatever its sentence is.
     """
-    when, sentence = logs.split_line(F.col("line"))
-    timed = lines.select("file", "line_no", logs.stripped(F.col("line")).alias("line")).where("line <> ''").select("file", "line_no", "line", logs.timestamp(when).alias("ts"), sentence.alias("sentence")).where("ts IS NOT NULL")
+    bare = logs.once(lines.select("file", "line_no", F.col("line").alias("raw")), logs.stripped(F.col("raw")), "line").where("line <> ''")
+    halves = logs.once(bare, F.split("line", ";", 2), "halves").where("size(halves) = 2")
+    timed = logs.once(halves, logs.timestamp(F.col("halves")[0]), "ts").where("ts IS NOT NULL")
+    timed = timed.select("file", "line_no", "line", "ts", F.col("halves")[1].alias("sentence"))
     timed = logs.with_fix(timed, "sentence").drop("sentence")
     return first_offset(timed, ["file"], ["line_no"], "ts")
 
