@@ -197,7 +197,7 @@ def slow_segments_of_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs to points to speeds to slow segments."""
     rules = segments.SegmentRules(most_kmh=5.0, area=(52.02, 10.01, 52.05, 10.05))
     points = cut(_log_points(spark, sf_dir), "log-points")  # they are counted and then used
-    return segments.slow_segments(points, ["file"], ["line_no"], rules).select("file", "start_us", "end_us", "n")
+    return segments.slow_segments(ordered.dealt(points, ["file"]), ["file"], ["line_no"], rules).select("file", "start_us", "end_us", "n")
 
 
 @_query("""

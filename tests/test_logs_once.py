@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from siftrail.plans import catalog_files
+from siftrail.operators import ordered
+from siftrail.plans import catalog_files, segments
 from siftrail.sources import logs
 
 
@@ -18,3 +19,17 @@ def test_a_line_is_cut_once(spark):
 def test_logs_are_read_once_for_segments(spark, sf_dir):
     found = catalog_files.slow_segments_of_logs(spark, sf_dir)
     assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_following_values_are_looked_up_once(spark):
+    points = spark.createDataFrame([("a", 1, 0, 52.0, 10.0, 7), ("a", 2, 1_000_000, 52.001, 10.0, 8)], "file string, line_no int, offset_us long, lat double, lon double, next_0 int")
+    found = segments.speeds(points, ["file"], ["line_no"], 5)
+    assert found.columns == [*points.columns, "speed_kmh"] and [r["next_0"] for r in found.orderBy("line_no").collect()] == [7, 8]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("lead(") == 3
+
+
+def test_points_of_logs_are_dealt_by_rows(spark, sf_dir, monkeypatch):
+    want = sorted(map(tuple, catalog_files.slow_segments_of_logs(spark, sf_dir).collect()))
+    monkeypatch.setattr(ordered, "ROWS_IN_TASK", 50)
+    found = catalog_files.slow_segments_of_logs(spark, sf_dir)
+    assert found.rdd.getNumPartitions() > 8 and sorted(map(tuple, found.collect())) == want and want
