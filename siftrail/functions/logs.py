@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftrail.functions.geo import degrees
+from siftrail.functions.session import free_name
 
 FIX = "$GPGGA"
 ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?)(Z|[+-]\d{2}:?\d{2})?$"
@@ -37,7 +38,8 @@ def once(df: DataFrame, value: Column, out: str) -> DataFrame:
 
     It passes through a generator of one row; a plain column is computed again in each filter and column that uses it.
     """
-    return df.select("*", F.explode(F.array(value)).alias(out))
+    own = free_name(df, "once")
+    return df.select("*", value.alias(own)).select("*", F.explode(F.array(own)).alias(out)).drop(own)
 
 
 def fix(fields: Column) -> Column:

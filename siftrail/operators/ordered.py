@@ -65,10 +65,10 @@ def moving_rate(df: DataFrame, keys: Keys, order: Keys, micros: str, distance: C
     distance(lambda name: asked.append(name) or F.col(name))
     ahead = {name: free_name(df, f"next_{i}") for i, name in enumerate(dict.fromkeys(asked))}  # each is looked up once, however often the distance has it
     span = F.col(ahead[micros]) - F.col(micros)
-    length = distance(lambda name: F.col(ahead[name]))
+    length = distance(lambda name: F.col(ahead[name]))  # null is added to what must not count: below a condition Spark computes shared parts each time
     us, metres = free_name(df, "step_us"), free_name(df, "step_m")
     followed = df.withColumns({ahead[name]: F.lead(name).over(step) for name in ahead})
-    stepped = followed.withColumn(us, F.when(span > 0, span)).withColumn(metres, F.when(F.col(us).isNotNull(), length)).drop(*ahead.values())
+    stepped = followed.withColumn(us, F.when(span > 0, span)).withColumn(metres, length + F.when(F.col(us).isNotNull(), 0.0)).drop(*ahead.values())
     frame = step.rowsBetween(-half, half - 1)
     rate = F.try_divide(F.sum(metres).over(frame), F.sum(us).over(frame) / 1e6) * 3.6
     return stepped.withColumn(out, F.coalesce(rate, F.lit(0.0))).drop(us, metres)

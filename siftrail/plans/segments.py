@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftrail.functions.geo import distance_m, in_area
+from siftrail.functions.logs import once
 from siftrail.operators import blocks, frames, intervals, ordered
 
 
@@ -51,7 +52,7 @@ def slow_segments(points: DataFrame, keys: list[str], order: list[str], rules: S
     else:
         moving = speeds(ordered.at_least(points, keys, 2), keys, order, rules.window)
         found = ordered.islands(moving, keys, order, slow, "offset_us", *box)
-    kept = ordered.long_enough(found.withColumn("extent_m", extent_m()), int(rules.least_s * 1e6), F.col("extent_m"), rules.least_m)
+    kept = ordered.long_enough(once(found, extent_m(), "extent_m"), int(rules.least_s * 1e6), F.col("extent_m"), rules.least_m)
     return kept.select(*keys, "start_us", "end_us", "n", "extent_m")
 
 

@@ -33,3 +33,10 @@ def test_points_of_logs_are_dealt_by_rows(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(ordered, "ROWS_IN_TASK", 50)
     found = catalog_files.slow_segments_of_logs(spark, sf_dir)
     assert found.rdd.getNumPartitions() > 8 and sorted(map(tuple, found.collect())) == want and want
+
+
+def test_distances_are_computed_once_and_not_below_a_condition(spark):
+    points = spark.createDataFrame([("a", i, i * 10**6, 52 + i / 1000, 10.0) for i in range(9)] + [("a", 9, 8 * 10**6, 53.0, 10.0)], "file string, line_no int, offset_us long, lat double, lon double")
+    plan = segments.slow_segments(points, ["file"], ["line_no"])._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "SIN(" in x and ("CASE WHEN isnotnull" in x.split("SIN(")[0] or "Filter" in x.split("SIN(")[0])]
+    assert [r["speed_kmh"] for r in segments.speeds(points, ["file"], ["line_no"], 3).where("line_no > 8").collect()] == [0.0]  # the step without time does not count
