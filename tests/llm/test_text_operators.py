@@ -7,6 +7,7 @@ import json
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -238,6 +239,63 @@ def test_long_words_merge_alike(library):
         assert own.token_ids(word) == library.encode(word, add_special_tokens=False).ids
 
 
+def test_new_words_are_merged_together_and_seen_ones_not_again(library, monkeypatch):
+    own, rng = bpe.WordBpe(queries.word_vocabulary()), random.Random(5)
+    words = ["".join(rng.choice("antheiolsré") for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    text = " ".join(words + [w.title() + rng.choice([",", ".", "!?", "'s", "1"]) for w in words])
+    want = library.encode(text, add_special_tokens=False).ids
+    for name in ("merged", "pieces"):  # the ways word by word and text by text
+        monkeypatch.setattr(own, name, lambda *_: pytest.fail("one by one"))
+    assert own.token_ids(text) == want
+    monkeypatch.setattr(own, "learn", lambda *_: pytest.fail("again"))
+    assert own.token_ids(text.replace(" ", "\n")) == want
+
+
+def test_merging_in_arrays_equals_one_by_one(library):
+    own, rng = bpe.WordBpe(queries.word_vocabulary()), random.Random(9)
+    lengths = [1, 2, 3, 40, 41, bpe.ARRAYS_TO - 1, bpe.ARRAYS_TO, bpe.ARRAYS_TO + 1, *[rng.randint(1, 30) for _ in range(3000)], 700]
+    raws = ["".join(rng.choice("aaantheiolsré") for _ in range(n)).encode()[:n] for n in lengths]
+    symbols = [own.symbols(r) for r in raws]
+    tokens, counts = own.merged_all(np.array([x for s in symbols for x in s]), np.array(lengths))
+    at = 0
+    for s, n in zip(symbols, counts.tolist(), strict=True):
+        assert tokens[at : at + n].tolist() == own.merged(s)
+        at += n
+    assert at == len(tokens)
+
+
+def test_stretches_give_the_words_of_the_whole_text(library):
+    own, rng = bpe.WordBpe(queries.word_vocabulary(), cached_words=50), random.Random(11)
+    odd = ["\x1c", "\x1f", "\u2000", "\u3000", "\x85", "\u0301", "J\u030c", "ΑΣ", "Σ", "<|endoftext|>", "<|", "\U0001f600", "\u1c89", "\ufacf", "İ", "ﬁ", "a" * 90, "it's", "x,", "y.", "!", "\0", "_" * 70]
+    texts = ["".join(rng.choice([*odd, " ", " ", "\n", "the", "Word"]) for _ in range(60)) for _ in range(400)]
+    for text, ids in zip(texts, own.tokens(texts), strict=True):
+        want = library.encode(text, add_special_tokens=False)
+        assert ids.tolist() == want.ids, text
+        assert b"".join(own.id_pieces(ids)).decode() == " ".join(map(str, want.ids))
+        assert b"".join(own.name_pieces(ids)).decode() == library.decode(want.ids, skip_special_tokens=False)
+    assert max(map(len, own.stretches)) <= 64
+
+
+def test_words_that_reach_over_white_space(tmp_path):
+    letters = list(bpe.byte_letters().values())
+    vocab = {t: i for i, t in enumerate([*letters, *[x + "</w>" for x in letters]])}
+    for pattern, apart in ((r" ?[\p{L}]+", False), (r"[\p{L}]+(?=\s)|.", False), (r"[\p{L}]+", True)):
+        spec = {"model": {"end_of_word_suffix": "</w>", "vocab": vocab, "merges": []}, "added_tokens": [], "pre_tokenizer": {"pretokenizers": [{"type": "Split", "pattern": {"Regex": pattern}}]}}
+        (tmp_path / "v").write_text(json.dumps(spec))
+        own = bpe.WordBpe(str(tmp_path / "v"))
+        assert own.apart is apart
+        for text in ("ab cd 12, ef", "12", " "):
+            assert own.token_ids(text) == [t for w in own.pieces(text) for t in own.symbols(w.encode())]
+
+
+def test_long_token_ids_and_names(library):
+    own = bpe.WordBpe(queries.word_vocabulary())
+    ids = np.array(sorted(own.names) * 2, np.int32)  # more than one piece, long names among them
+    assert b"".join(own.id_pieces(ids)).decode() == " ".join(map(str, ids))
+    assert b"".join(own.name_pieces(ids)).decode() == own.decode(ids.tolist())
+    assert len(list(own.id_pieces(ids))) > 1
+
+
 def test_encoding_of_edge_rows(spark):
     df = docs(spark, [(1, None, "en", "s", 1), (1, None, "en", "s", 1), (2, "", "en", None, None), (None, "The cat", "en", "s", 1)]).withColumn("ids", F.lit("old"))
     out = bpe.encode_decode(df, queries.word_vocabulary)
