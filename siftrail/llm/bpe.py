@@ -145,7 +145,7 @@ class WordBpe:
         self.good = np.empty(0, np.int64)
         self.bad = np.empty(0, np.int64)
         self.known = Recent(cached_words, {t: np.int32(t).tobytes() for t in self.specials.values()})
-        self.stretches = Recent(2 * cached_words, {})
+        self.stretches = Recent(cached_words, {})
         self.cache = Words(self)
         self.apart = self._words_stand_apart()
 
