@@ -108,15 +108,18 @@ class Bloom:
     def has(self, grams: np.ndarray, level: int) -> np.ndarray:
         """Places of the grams that have a level; the others mostly go at the first or second probe."""
         alive = np.arange(len(grams))
-        shard = shard_of(grams, len(self.sizes))
         at, step = events(grams, level)
+        one = len(self.sizes) == 1  # division by one number is much faster
+        shard = 0 if one else shard_of(grams, len(self.sizes))
         start, size = self.starts[shard], self.sizes[shard]
         for _ in range(self.probes):
-            bit = at % size
+            bit = at - at // size * size if one else at % size
             byte = self.bits[start + (bit >> np.uint64(3)).astype(np.int64)]
             left = np.flatnonzero((byte >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
-            alive, start, size, step = alive[left], start[left], size[left], step[left]
-            at = at[left] + step
+            alive = alive[left]
+            start, size = (start, size) if one else (start[left], size[left])
+            at, step = at[left], step[left]
+            at = at + step
         return alive
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
@@ -135,6 +138,12 @@ def events(grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return event & np.uint64(0xFFFFFFFF), (event >> np.uint64(32)) | np.uint64(1)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different numbers in order; by sorting, which takes a tenth of the time of numpy's table."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def shard_of(grams: np.ndarray, n: int) -> np.ndarray:
     return ((grams >> np.uint64(33)) % np.uint64(max(n, 1))).astype(np.int64)
 
@@ -231,6 +240,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
 PIECE = 1 << 18  # bytes hashed at once
 LONG = 256  # longer words are hashed one by one
 SEGMENT = 1 << 16  # tokens scored at once
+ASKED = 1 << 25  # bytes of text whose grams a shard answers at once, on average
 READ = 1 << 21  # bytes of text whose tokens are in memory at once, or one text
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _FACTOR = 0x5851F42D4C957F2D  # odd, so that it has an inverse
@@ -350,8 +360,10 @@ class _Scorer:
 
     def score(self, texts: pa.Array) -> list[pa.Array]:
         """n_tokens, n_known and base_score of common words, score; the other words of each text and how often it has them."""
-        sums, got = self.sums, self.reader.read(texts)
-        n, total = len(texts), len(got.own)
+        return self.score_tokens(self.reader.read(texts))
+
+    def score_tokens(self, got: Tokens) -> list[pa.Array]:
+        sums, n, total = self.sums, len(got.first), len(got.own)
         lengths = np.diff(np.append(got.first, total))
         text_of = np.repeat(np.arange(n), lengths)
         size = sums.tokens + 0.1 * (sums.words + 1)
@@ -464,57 +476,57 @@ def _schema(frame: DataFrame, kept: list) -> T.StructType:
 def _by_shards(frame: DataFrame, model: LanguageModel, sums, chunk_bytes: int = 1 << 22) -> DataFrame:  # noqa: ANN001
     """Scores of all texts, a chunk of them at a time; each chunk's grams are looked up where their shard is.
 
-    A chunk is some megabytes of texts, or one text; rows are dealt to chunks by their place, copies too.
+    A chunk is some megabytes of texts, or one text; rows are dealt to chunks by their place, copies too. A shard's bits
+    are read once for all chunks that ask it, not once for each.
     """
     kept = [f for f in frame.schema if f.name != "t"]
     placed = frame.withColumn("row", F.monotonically_increasing_id())
-    n_chunks = max(1, (placed.agg(F.sum(F.octet_length("t")).cast("bigint").alias("b")).first()["b"] or 0) // chunk_bytes)
+    n_bytes = placed.agg(F.sum(F.octet_length("t")).cast("bigint").alias("b")).first()["b"] or 0
+    n_chunks = max(1, n_bytes // chunk_bytes)
     dealt = written(placed.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(n_chunks))), "lm-chunks")
     n_shards, probes = model.n_shards, model.probes
+    # a shard answers all that is asked of it at once; where far more is scored than was learned, in parts
+    n_parts = -(-n_bytes // (n_shards * ASKED)) or 1
 
-    def ask(key: tuple, table: pa.Table) -> pa.Table:
-        got = Reader().read(table.column("t").combine_chunks())
-        grams = np.unique(np.concatenate([word_grams(np.unique(got.own)), got.pairs()]))
+    def grams_of(got: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The grams of a chunk, once each; their places in order of their shards; where each shard's begin."""
+        grams = distinct(np.concatenate([word_grams(distinct(got.own)), got.pairs()]))
         shard = shard_of(grams, n_shards)
-        some, blobs = [], []
-        by = np.argsort(shard, kind="stable")
-        for part in np.split(by, np.flatnonzero(np.diff(shard[by])) + 1):
-            some.append(int(shard[part[0]]))
-            blobs.append(grams[part].astype("<u8").tobytes())
-        return pa.table({"chunk": pa.array([key[0].as_py()] * len(some), pa.int64()), "shard": pa.array(some, pa.int64()), "grams": pa.array(blobs, pa.binary())})
-
-    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            levels = []
-            for shard, grams, bits in zip(*[batch.column(c).to_pylist() for c in ("shard", "grams", "bits")], strict=True):
-                asked = np.frombuffer(grams, "<u8")
-                levels.append(_bloom(model_like, [{"shard": shard, "bits": bits}] if bits is not None else []).opened().levels(asked).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("grams"), pa.array(levels, pa.binary())], names=["chunk", "grams", "levels"])
+        by = np.argsort(shard.astype(np.uint16) if n_shards < 1 << 16 else shard, kind="stable")  # short numbers are sorted by their digits
+        return grams, by, np.searchsorted(shard[by], np.arange(n_shards + 1))
+
+    def ask(key: tuple, table: pa.Table) -> pa.Table:
+        grams, by, cuts = grams_of(Reader().read(table.column("t").combine_chunks()))
+        grams, some = grams[by].astype("<u8"), np.flatnonzero(cuts[1:] > cuts[:-1])
+        blobs = [grams[cuts[s] : cuts[s + 1]].tobytes() for s in some]
+        chunk = pa.array([key[0].as_py()] * len(some), pa.int64())
+        return pa.table({"chunk": chunk, "shard": pa.array(some, pa.int64()), "part": pa.array([key[0].as_py() % n_parts] * len(some), pa.int64()), "grams": pa.array(blobs, pa.binary())})
+
+    def answer(key: tuple, table: pa.Table, filters: pa.Table) -> pa.Table:
+        blobs = table.column("grams").to_pylist()
+        bits = b"".join(filters.column("bits").to_pylist()) or bytes(8)  # a shard without grams
+        bloom = Bloom(np.zeros(1, np.int64), np.array([8 * len(bits)], np.uint64), bits, probes).opened()
+        asked = np.frombuffer(b"".join(blobs), "<u8")
+        levels = b"".join(bloom.levels(asked[a : a + SEGMENT]).astype(np.uint8).tobytes() for a in range(0, len(asked), SEGMENT))
+        ends = np.cumsum([len(b) // 8 for b in blobs], dtype=np.int64).tolist()
+        return pa.table({"chunk": table.column("chunk"), "shard": table.column("shard"), "levels": pa.array([levels[a:z] for a, z in zip([0, *ends], ends, strict=False)], pa.binary())})
 
     def finish(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = np.frombuffer(b"".join(answers.column("grams").to_pylist()), "<u8")
-        levels = np.frombuffer(b"".join(answers.column("levels").to_pylist()), np.uint8)
-        by = np.argsort(grams)
-        grams, levels = grams[by], levels[by]
+        got = Reader().read(table.column("t").combine_chunks())
+        grams, by, _ = grams_of(got)
+        levels = np.empty(len(grams), np.uint8)
+        levels[by] = np.frombuffer(b"".join(answers.sort_by("shard").column("levels").to_pylist()), np.uint8)
         scorer = _Scorer(sums.value, lambda asked: levels[np.searchsorted(grams, asked)].astype(np.int64))
-        got = scorer.score(table.column("t").combine_chunks())
-        return pa.table([*[table.column(f.name) for f in kept], table.column("row"), *got], names=schema.names)
+        return pa.table([*[table.column(f.name) for f in kept], table.column("row"), *scorer.score_tokens(got)], names=schema.names)
 
-    model_like = _Shape(n_shards, probes)
     schema = _schema(frame, kept)
     importable(frame.sparkSession)
-    asked = dealt.select("chunk", "t").groupBy("chunk").applyInArrow(ask, "chunk bigint, shard bigint, grams binary")
-    met = asked.join(model.shards.hint("merge"), "shard", "left")
-    answers = map_batches(met, answer, "chunk bigint, grams binary, levels binary", rows=4)
+    asked = dealt.select("chunk", "t").groupBy("chunk").applyInArrow(ask, "chunk bigint, shard bigint, part bigint, grams binary")
+    filters = model.shards.withColumn("part", F.explode(F.expr(f"sequence(0L, {n_parts - 1}L)")))
+    answers = asked.groupBy("shard", "part").cogroup(filters.groupBy("shard", "part")).applyInArrow(answer, "chunk bigint, shard bigint, levels binary")
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, schema)
 
 
-@dataclass(frozen=True)
-class _Shape:
-    n_shards: int
-    probes: int
-
-
 def train_and_score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **fit_options: object) -> DataFrame:
     """Every document scored by what the others outside the held-out fold have taught; adds held_out too."""
     model = fit(docs, doc_id, text, **fit_options)

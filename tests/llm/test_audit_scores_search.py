@@ -90,6 +90,21 @@ def slow_base(rows):
     return [(i, i is not None and zlib.crc32(str(i).encode()) % 10 == 0, len(tok(t)), sum(counts[w] > 0 for w in tok(t)), n, sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tok(t))) for i, t, _ in rows]
 
 
+def test_shards_answer_all_chunks_at_once(spark, monkeypatch):
+    """A shard's bits are not joined to what each chunk asks; parts of a shard's answers give equal scores."""
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 700)
+    docs = spark.createDataFrame(documents(3), SCHEMA).select("doc_id", "text").repartition(3)
+    model = lm_score.fit(docs)
+    one = sorted((repr(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm_score.score(docs, model).collect())
+    sums = spark.sparkContext.broadcast(lm_score._Sums(model.n_tokens, model.n_words, model.n_texts, model.prior, model.scale, lm_score._common(model)))
+    for asked in (1 << 25, 1000):
+        monkeypatch.setattr(lm_score, "ASKED", asked)
+        found = lm_score._by_shards(docs.withColumnRenamed("text", "t"), model, sums, chunk_bytes=500)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and plan.count("CoGroup") == 2
+        assert one == sorted((repr(r["doc_id"]), r["n_tokens"], r["score"]) for r in found.collect())
+
+
 @pytest.mark.parametrize(("seed", "common"), [(0, 1 << 22), (1, 40), (2, 1)])
 def test_scores_in_one_scan_and_by_shards(spark, monkeypatch, seed, common):
     monkeypatch.setattr(lm_score, "SHARD_TOKENS", 700)
