@@ -8,11 +8,15 @@ positive and the others are false. Average precision is the area below the preci
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type as pa_type
 
 from siftrail.functions.boxes import iou
 from siftrail.functions.session import importable
@@ -20,6 +24,8 @@ from siftrail.operators import ordered
 
 BOX = ("xc", "yc", "w", "h")
 STEPS = 1024
+PAIRS = 1 << 18  # pairs of boxes looked at together
+BUCKETS = 1 << 16  # of images and classes, by which boxes are counted
 GROWTH = 2.000002  # a grid's cells over those of the next finer one: just over 2, so boxes that overlap by a half are one grid apart at most
 
 
@@ -86,33 +92,124 @@ def candidates(predictions: DataFrame, labels: DataFrame, image: list[str], leas
     return met.where(once).select(*image, "class_id", "pred_id", "confidence", "label_id", *[f"{k}{c}" for k in ("p_", "t_") for c in BOX])
 
 
-def assigned(predictions: DataFrame, labels: DataFrame, image: list[str], threshold: float = 0.5, least_confidence: float = 0.0) -> DataFrame:
+def _rounded(x: np.ndarray) -> np.ndarray:
+    """To nine decimals, halves up, as Spark rounds what is printed of a double."""
+    scaled = x * 1e9
+    out = np.rint(scaled) / 1e9
+    for i in np.flatnonzero(np.abs(scaled - np.floor(scaled) - 0.5) < 1e-4):
+        out[i] = float(Decimal(repr(float(x[i]))).quantize(Decimal("1e-9"), ROUND_HALF_UP))
+    return out
+
+
+def _overlapping(p: np.ndarray, t: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of boxes of ``p`` and of ``t``, columns of xc, yc, w and h, that overlap by ``least``, and by how much.
+
+    The centres of boxes that overlap by a share s are at most (1 - s) / 2s of a side apart, so a box meets
+    those of a stretch in order of xc. Boxes without a size, or that are no number, overlap nothing.
+    """
+    at_p, at_t = (np.flatnonzero(np.isfinite(x).all(0) & (x[2] > 0) & (x[3] > 0)) for x in (p, t))
+    at_t = at_t[np.argsort(t[0, at_t], kind="stable")]
+    p, t, share = p[:, at_p], t[:, at_t], least - 1e-9  # overlaps are compared to nine decimals
+    near = [p[k + 2] * (1 - share) / (2 * share) + 1e-9 * (np.abs(p[k]) + p[k + 2]) for k in (0, 1)]
+    lows = np.searchsorted(t[0], p[0] - near[0], "left")
+    counts = np.maximum(np.searchsorted(t[0], p[0] + near[0], "right") - lows, 0)
+    total = np.concatenate([[0], np.cumsum(counts)])
+    found, a = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
+    while a < len(counts):
+        z = max(a + 1, int(np.searchsorted(total, total[a] + PAIRS, "right")) - 1)
+        i = np.repeat(np.arange(a, z), counts[a:z])
+        j = np.arange(total[a], total[z]) + np.repeat(lows[a:z] - total[a:z], counts[a:z])
+        close = np.abs(t[1, j] - p[1, i]) <= near[1][i]
+        i, j = i[close], j[close]
+        side = [np.maximum(np.minimum(p[k, i] + p[k + 2, i] / 2, t[k, j] + t[k + 2, j] / 2) - np.maximum(p[k, i] - p[k + 2, i] / 2, t[k, j] - t[k + 2, j] / 2), 0.0) for k in (0, 1)]
+        both = side[0] * side[1]
+        overlap = _rounded(both / (p[2, i] * p[3, i] + t[2, j] * t[3, j] - both))
+        good = overlap >= least
+        found.append((at_p[i[good]], at_t[j[good]], overlap[good]))
+        a = z
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _greedy(pairs: pa.Table) -> list[int]:
+    """Places of the pairs that come about where the most confident prediction takes its best free label first."""
+    order = pc.sort_indices(pairs, sort_keys=[("confidence", "descending"), ("pred_id", "ascending"), ("overlap", "descending"), ("label_id", "ascending")])
+    rows, used, done = [], set(), set()
+    for i, p, t in zip(order.to_pylist(), pairs.column("pred_id").take(order).to_pylist(), pairs.column("label_id").take(order).to_pylist(), strict=True):
+        if p not in done and t not in used:
+            done.add(p)
+            used.add(t)
+            rows.append(i)
+    return rows
+
+
+def assigned(predictions: DataFrame, labels: DataFrame, image: list[str], threshold: float = 0.5, least_confidence: float = 0.0, crowd: int = 100_000) -> DataFrame:
     """(image, class_id, pred_id, confidence, label_id, overlap, is_tp) of every prediction, labels used up by confidence.
 
     In order of falling confidence, ties by id, a prediction takes the label it overlaps best of those that are
     still free and overlap it by ``threshold`` (over 0) or more, ties by id; without one it is false. Unlike in ``matches``,
-    a prediction whose best label is gone may take another. What one task holds are the overlapping pairs of an image and class.
+    a prediction whose best label is gone may take another. The boxes of an image and class meet in one task, each exchanged
+    once. Where they may be more than ``crowd``, a grid finds their pairs (``candidates``), and what one task holds are these.
     """
-    preds = predictions.where(F.col("confidence") >= least_confidence)
+    keys = [*image, "class_id"]
+    preds = predictions.where(F.col("confidence") >= least_confidence).select(*keys, "pred_id", "confidence", *BOX)
+    truth = labels.select(*keys, "label_id", *BOX)
+    own = {c: preds.schema[c].dataType for c in keys}
+    kinds = preds.select(*keys).unionByName(truth.select(*keys)).schema
+    preds, truth = (d.withColumns({c: F.col(c).cast(kinds[c].dataType) for c in keys if d.schema[c].dataType != kinds[c].dataType}) for d in (preds, truth))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    sizes = preds.select(bucket.alias("b")).unionAll(truth.select(bucket.alias("b"))).groupBy("b").count().toArrow()  # a row a bucket at most
+    large = sizes.column("b").filter(pc.greater(sizes.column("count"), crowd)).to_pylist()
+    tasks = (pc.sum(sizes.column("count")).as_py() or 0) // ordered.ROWS_IN_TASK + 1
+    if large:
+        crowded = bucket.isin(large)
+        parts = [_met_in_groups(preds.where(~crowded), truth.where(~crowded), keys, threshold, tasks), _met_in_grids(preds.where(crowded), truth.where(crowded), image, threshold)]
+        out = parts[0].unionByName(parts[1])
+    else:
+        out = _met_in_groups(preds, truth, keys, threshold, tasks)
+    return out.select(*[F.col(c).cast(own[c]).alias(c) for c in keys], "pred_id", "confidence", "label_id", "overlap", F.col("label_id").isNotNull().alias("is_tp"))
+
+
+def _met_in_groups(preds: DataFrame, truth: DataFrame, keys: list[str], threshold: float, tasks: int) -> DataFrame:
+    """Predictions with label_id and overlap, all boxes of an image and class in a task."""
+    preds, truth = (d.withColumns({c: F.col(c).cast("double") for c in BOX}) for d in (preds, truth))
+    importable(preds.sparkSession)
+    fields = [*preds.drop(*BOX).schema, truth.schema["label_id"], T.StructField("overlap", T.DoubleType())]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    id_kind = pa_type(schema["label_id"].dataType)
+
+    def boxes(table: pa.Table) -> np.ndarray:
+        return np.array([pc.fill_null(table.column(c), math.nan).to_numpy() for c in BOX]).reshape(4, -1)
+
+    def assign(key: tuple, p: pa.Table, t: pa.Table) -> pa.Table:
+        label, overlap = [None] * p.num_rows, [None] * p.num_rows
+        if p.num_rows and t.num_rows and all(k.is_valid for k in key):
+            i, j, share = _overlapping(boxes(p), boxes(t), threshold)
+            pairs = pa.table({"confidence": p.column("confidence").take(pa.array(i)), "pred_id": p.column("pred_id").take(pa.array(i)), "overlap": pa.array(share), "label_id": t.column("label_id").take(pa.array(j))})
+            rows = pa.array(_greedy(pairs), pa.int64())
+            won = dict(zip(*[pairs.column(c).take(rows).to_pylist() for c in ("pred_id", "label_id")], strict=True))
+            best = dict(zip(*[pairs.column(c).take(rows).to_pylist() for c in ("pred_id", "overlap")], strict=True))
+            ids = p.column("pred_id").to_pylist()
+            label, overlap = [None if k is None else won.get(k) for k in ids], [None if k is None else best.get(k) for k in ids]
+        return p.select(kept).append_column("label_id", pa.array(label, id_kind)).append_column("overlap", pa.array(overlap, pa.float64()))
+
+    kept = schema.names[:-2]
+    dealt = [d.repartition(tasks, *keys).groupBy(*keys) for d in (preds, truth)]
+    return dealt[0].cogroup(dealt[1]).applyInArrow(assign, schema)
+
+
+def _met_in_grids(preds: DataFrame, truth: DataFrame, image: list[str], threshold: float) -> DataFrame:
+    """The same, pairs found by a grid."""
     overlap = F.round(iou(tuple(F.col(f"p_{c}") for c in BOX), tuple(F.col(f"t_{c}") for c in BOX)), 9)
-    pairs = candidates(preds, labels, image, threshold).select(*image, "class_id", "pred_id", "confidence", "label_id", overlap.alias("overlap")).where(F.col("overlap") >= threshold)
+    pairs = candidates(preds, truth, image, threshold).select(*image, "class_id", "pred_id", "confidence", "label_id", overlap.alias("overlap")).where(F.col("overlap") >= threshold)
     importable(preds.sparkSession)
-    schema = pairs.select(*image, "class_id", "pred_id", "label_id", "overlap").schema
+    schema = pairs.drop("confidence").schema
+    names = schema.names
 
     def assign(table: pa.Table) -> pa.Table:
-        order = pc.sort_indices(table, sort_keys=[("confidence", "descending"), ("pred_id", "ascending"), ("overlap", "descending"), ("label_id", "ascending")])
-        rows, used, done = [], set(), set()
-        for i, p, t in zip(order.to_pylist(), table.column("pred_id").take(order).to_pylist(), table.column("label_id").take(order).to_pylist(), strict=True):
-            if p not in done and t not in used:
-                done.add(p)
-                used.add(t)
-                rows.append(i)
-        return table.take(pa.array(rows, pa.int64())).select(names)
+        return table.take(pa.array(_greedy(table), pa.int64())).select(names)
 
-    names = schema.names
     taken = pairs.groupBy(*image, "class_id").applyInArrow(assign, schema)
-    out = preds.select(*image, "class_id", "pred_id", "confidence").join(taken, [*image, "class_id", "pred_id"], "left")
-    return out.select(*image, "class_id", "pred_id", "confidence", "label_id", "overlap", F.col("label_id").isNotNull().alias("is_tp"))
+    return preds.drop(*BOX).join(taken, [*image, "class_id", "pred_id"], "left")
 
 
 def _list(thresholds: tuple[float, ...]) -> Column:

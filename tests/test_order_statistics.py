@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -105,6 +106,30 @@ def test_assigned_labels_are_used_up_by_confidence(spark, threshold):
     assert all(r["is_tp"] == (r["label_id"] is not None) for r in got)
 
 
+@pytest.mark.parametrize("most", [0, 200, 100_000])
+def test_assigned_boxes_of_groups_and_grids(spark, most):
+    """Boxes are exchanged once each; crowded images take the grid, with the same result, ids of any type, nulls and all."""
+    rng = random.Random(7)
+    labels = [(k % 5 // 2, f"t{k}", k % 3, *b) for k, b in enumerate(crowd(rng, 900))] + [(None, "tn", 0, 0.5, 0.5, 0.1, 0.1), (0, "tx", 0, math.nan, 0.5, 0.1, 0.1), (9, "t9", 0, 0.5, 0.5, 0.1, 0.1), (0, "ty", 0, None, 0.5, 0.1, 0.1)]
+    preds = [(i, k, c, rng.choice([0.1, 0.5, 0.9]), x + rng.choice([0, 0.001]), y, w, h) for k, (i, _, c, x, y, w, h) in enumerate(labels[:900])]
+    preds += [(None, 9_001, 0, 0.5, 0.5, 0.5, 0.1, 0.1), (0, 9_002, 0, 0.5, None, 0.5, 0.1, 0.1), (8, 9_003, 0, 0.5, 0.5, 0.5, 0.1, 0.1), (0, None, 0, -1.0, 0.5, 0.5, 0.1, 0.1)]
+    p = spark.createDataFrame(preds, "image int, pred_id int, class_id int, confidence double, xc double, yc double, w double, h double")
+    t = spark.createDataFrame(labels, "image long, label_id string, class_id int, xc double, yc double, w double, h double")
+    found = metrics.assigned(p, t, ["image"], 0.5, crowd=most)
+    assert found.schema["image"].dataType == p.schema["image"].dataType
+    sound = [x for x in labels if None not in x and x[1] != "tx"]
+    got = {r["pred_id"]: r["label_id"] for r in found.collect()}
+    assert got == greedy(preds[:900], sound, 0.5) | {9_001: None, 9_002: None, 9_003: None}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Generate" in plan) == (most < 100_000)  # copies of boxes for the cells of a grid
+
+
+def test_overlaps_are_rounded_as_spark_rounds(spark):
+    x = [0.5, 0.1234567895, 0.1234567885, 0.4999999995, 0.49999999949999, 1.0, 0.3333333333333333, 0.0000000005, 0.7777777774999999] + [k / 1e9 + 5e-10 for k in range(0, 1_000_000_000, 7_777_777)]
+    want = spark.createDataFrame([(k, v) for k, v in enumerate(x)], "k int, x double").select("k", F.round("x", 9).alias("r")).orderBy("k").collect()
+    assert metrics._rounded(np.array(x)).tolist() == [r["r"] for r in want]
+
+
 def test_a_crowded_image_forms_few_pairs(spark):
     rng = random.Random(8)
     boxes = [(x, y, w / 4, h / 4) for x, y, w, h in crowd(rng, 5_000)]
