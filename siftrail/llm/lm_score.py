@@ -240,6 +240,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
 PIECE = 1 << 18  # bytes hashed at once
 LONG = 256  # longer words are hashed one by one
 SEGMENT = 1 << 16  # tokens scored at once
+CHUNKS_IN_TASK = 4
 ASKED = 1 << 25  # bytes of text whose grams a shard answers at once, on average
 READ = 1 << 21  # bytes of text whose tokens are in memory at once, or one text
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -484,6 +485,7 @@ def _by_shards(frame: DataFrame, model: LanguageModel, sums, chunk_bytes: int =
     n_bytes = placed.agg(F.sum(F.octet_length("t")).cast("bigint").alias("b")).first()["b"] or 0
     n_chunks = max(1, n_bytes // chunk_bytes)
     dealt = written(placed.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(n_chunks))), "lm-chunks")
+    dealt = dealt.repartition(n_chunks // CHUNKS_IN_TASK + 1, "chunk")  # Spark exchanges texts once and uses that twice
     n_shards, probes = model.n_shards, model.probes
     # a shard answers all that is asked of it at once; where far more is scored than was learned, in parts
     n_parts = -(-n_bytes // (n_shards * ASKED)) or 1
@@ -521,7 +523,7 @@ def _by_shards(frame: DataFrame, model: LanguageModel, sums, chunk_bytes: int =
 
     schema = _schema(frame, kept)
     importable(frame.sparkSession)
-    asked = dealt.select("chunk", "t").groupBy("chunk").applyInArrow(ask, "chunk bigint, shard bigint, part bigint, grams binary")
+    asked = dealt.groupBy("chunk").applyInArrow(ask, "chunk bigint, shard bigint, part bigint, grams binary")
     filters = model.shards.withColumn("part", F.explode(F.expr(f"sequence(0L, {n_parts - 1}L)")))
     answers = asked.groupBy("shard", "part").cogroup(filters.groupBy("shard", "part")).applyInArrow(answer, "chunk bigint, shard bigint, levels binary")
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(finish, schema)

@@ -103,6 +103,7 @@ def test_shards_answer_all_chunks_at_once(spark, monkeypatch):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and plan.count("CoGroup") == 2
         assert one == sorted((repr(r["doc_id"]), r["n_tokens"], r["score"]) for r in found.collect())
+        assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()  # texts are exchanged once
 
 
 @pytest.mark.parametrize(("seed", "common"), [(0, 1 << 22), (1, 40), (2, 1)])
